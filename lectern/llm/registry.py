@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from lectern.llm.contamination import op5_benchmark_decontamination
 from lectern.llm.near_dup import op1_minhash_near_dedup
+from lectern.llm.packing import op10_best_fit_packing
+from lectern.llm.personal_data import op4_personal_data
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup,
+    op4_personal_data,
     op5_benchmark_decontamination,
+    op10_best_fit_packing,
 )}
 ORACLES: dict[str, str] = {}
