@@ -4,19 +4,25 @@ from __future__ import annotations
 
 from lectern.llm.contamination import op5_benchmark_decontamination
 from lectern.llm.fingerprints import op7_syncmer_fingerprints
+from lectern.llm.licenses import op3_license_scan
 from lectern.llm.near_dup import op1_minhash_near_dedup
 from lectern.llm.packing import op10_best_fit_packing
+from lectern.llm.pages import op9_wrapper_induction
 from lectern.llm.personal_data import op4_personal_data
+from lectern.llm.quality import op8_quality_knn
 from lectern.llm.secrets import op6_secret_scan
 from lectern.llm.shards import op2_balanced_shards
 
 QUERIES = {f.__name__: f for f in (
     op1_minhash_near_dedup,
     op2_balanced_shards,
+    op3_license_scan,
     op4_personal_data,
     op5_benchmark_decontamination,
     op6_secret_scan,
     op7_syncmer_fingerprints,
+    op8_quality_knn,
+    op9_wrapper_induction,
     op10_best_fit_packing,
 )}
 ORACLES: dict[str, str] = {}
