@@ -16,7 +16,7 @@ from lectern.llm.staging import prepare
 
 THRESHOLD = 0.8
 #: Signals apart by more words than this belong to two notices; as many words around them are looked at.
-REACH = 40
+REACH = 100
 
 #: Wording of well-known public notices.
 TEMPLATES = (
@@ -114,15 +114,18 @@ def _best(words: list[str], templates, threshold: float) -> tuple[int, int, str,
         want = _tokens(text)
         if not want or sum(w in have for w in want) < threshold * len(want):
             continue
-        pairs = patience(words, want)
-        if len(pairs) < threshold * len(want):
+        places = [x for x, _ in patience(words, want)]
+        start, run = 0, (0, 0)
+        for end in range(len(places)):  # the most words in place within half as many again as the template has
+            while places[end] - places[start] >= 1.5 * len(want) + 2:
+                start += 1
+            if end + 1 - start > run[1] - run[0]:
+                run = start, end + 1
+        n = run[1] - run[0]
+        if n < threshold * len(want):
             continue
-        first, last = pairs[0][0], pairs[-1][0] + 1
-        if last - first > 2 * len(want):
-            continue
-        key = (len(pairs) / len(want), len(pairs))
-        if best is None or (key[1] > best[4] and key[0] >= threshold) or (key[1] == best[4] and key[0] > best[3]):
-            best = (first, last, name, key[0], len(pairs))
+        if best is None or (n, n / len(want)) > (best[4], best[3]):
+            best = (places[run[0]], places[run[1] - 1] + 1, name, n / len(want), n)
     return best
 
 
