@@ -2,5 +2,14 @@
 
 from __future__ import annotations
 
+from importlib import import_module
+
+MODULES = ("terms",)
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+COVERS: dict[str, tuple[str, ...]] = {}
+for _name in MODULES:
+    _listing = import_module(f"lectern.plans.{_name}").L
+    QUERIES |= _listing.queries
+    ORACLES |= _listing.oracles
+    COVERS |= _listing.covers
