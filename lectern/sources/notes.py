@@ -125,7 +125,7 @@ def table_rows(docs: DataFrame, keys: list[str], heading: str | None = None, tex
     kept = rows.where("piped and not first").where(~F.rlike("line", F.lit(r"^\s*\|[\s:|-]+\|\s*$")))
     if heading:
         kept = kept.where(F.contains(F.lower("section"), F.lit(heading.lower())))
-    cells = F.transform(F.split(F.regexp_replace("line", r"^\s*\||\|\s*$", ""), r"\|"), F.trim)
+    cells = F.transform(F.split(F.regexp_replace("line", r"^\s*\||\|\s*$", ""), r"\|"), lambda x: F.trim(x))
     return kept.select(*keys, "line_no", "section", cells.alias("cells"))
 
 
