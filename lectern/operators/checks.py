@@ -179,8 +179,8 @@ def bigram_coverage(titles: DataFrame, corpus: DataFrame, key: str) -> DataFrame
     """Share of a title's syllables that stand in a pair with a neighbour which the corpus has."""
     pairs = lambda s: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(s) - 1)), lambda i: F.concat_ws(" ", F.slice(s, i, F.lit(2))))
     words = lambda c: F.filter(F.split(F.lower(c), r"[^\p{L}\p{M}]+"), lambda w: w != "")
-    have = corpus.select(F.explode(F.array_distinct(pairs(words("text")))).alias("pair")).distinct().withColumn("_hit", F.lit(1))
-    rows = titles.select(key, F.size(words("title")).alias("n"), F.posexplode(pairs(words("title"))).alias("i", "pair")).join(have, "pair", "left")
+    have = corpus.select(F.explode(F.array_distinct(T.let(words("text"), pairs))).alias("pair")).distinct().withColumn("_hit", F.lit(1))
+    rows = titles.select(key, F.size(words("title")).alias("n"), F.posexplode(T.let(words("title"), pairs)).alias("i", "pair")).join(have, "pair", "left")
     covered = rows.where("_hit is not null").select(key, F.explode(F.array("i", F.col("i") + 1)).alias("i")).distinct().groupBy(key).agg(F.count("*").alias("covered"))
     return rows.groupBy(key).agg(F.max("n").alias("n")).join(covered, key, "left").select(key, "n", F.round(F.least(F.lit(1.0), F.coalesce("covered", F.lit(0)) / F.greatest("n", F.lit(1))), 6).alias("coverage"))
 
