@@ -12,6 +12,7 @@ from lectern.functions import fixed
 
 
 def with_field(df: DataFrame, name: str, kind: K.DataType) -> K.StructType:
+    """The schema of ``df`` and one more field."""
     return K.StructType([*df.schema.fields, K.StructField(name, kind)])
 
 
@@ -47,10 +48,11 @@ def heading_numbers(rows: DataFrame, keys: list[str], order: str, level: str) ->
     w = W.partitionBy(*keys).orderBy(order)
     rows = rows.withColumn("_h2", F.sum((F.col(level) == 2).cast("int")).over(w))
     inside = W.partitionBy(*keys, "_h2").orderBy(order)
-    rows = rows.withColumn("_n", F.sum((F.col(level).isin(0, 3)).cast("int")).over(inside))
-    h2, n = F.col("_h2").cast("string"), F.col("_n").cast("string")
-    out = F.when(F.col(level) == 1, F.lit("0")).when(F.col(level) == 2, F.concat_ws("-", h2, F.lit("0"))).when(F.col(level) == 3, F.concat_ws("-", h2, n, F.lit("0"))).otherwise(F.concat_ws("-", h2, n))
-    return rows.withColumn("assigned_id", out).drop("_h2", "_n")
+    count = lambda k: F.sum((F.col(level) == k).cast("int")).over(inside).cast("string")
+    rows = rows.withColumns({"_h3": count(3), "_n": count(0)})
+    h2 = F.col("_h2").cast("string")
+    out = F.when(F.col(level) == 1, F.lit("0")).when(F.col(level) == 2, F.concat_ws("-", h2, F.lit("0"))).when(F.col(level) == 3, F.concat_ws("-", h2, "_h3", F.lit("0"))).otherwise(F.concat_ws("-", h2, "_n"))
+    return rows.withColumn("assigned_id", out).drop("_h2", "_h3", "_n")
 
 
 def depth_ids(rows: DataFrame, keys: list[str], order: str, depth: str) -> DataFrame:

@@ -49,7 +49,7 @@ def g_content_offsets(spark, sf_dir):
 _HEAD = "hd as (select doc_id, line_no, case when length(line) < 20 then 2 when length(line) < 40 then 3 else 0 end as level from ln)"
 
 
-@L.add("G7", f"with {LINES_SQL}, {_HEAD}, a as (select *, sum((level = 2)::int) over (partition by doc_id order by line_no)::bigint as h2 from hd), b as (select *, sum((level in (0, 3))::int) over (partition by doc_id, h2 order by line_no)::bigint as n from a) select doc_id, line_no, case when level = 2 then h2 || '-0' when level = 3 then h2 || '-' || n || '-0' else h2 || '-' || n end as assigned_id from b")
+@L.add("G7", f"with {LINES_SQL}, {_HEAD}, a as (select *, sum((level = 2)::int) over (partition by doc_id order by line_no)::bigint as h2 from hd), b as (select *, sum((level = 0)::int) over (partition by doc_id, h2 order by line_no)::bigint as n, sum((level = 3)::int) over (partition by doc_id, h2 order by line_no)::bigint as h3 from a) select doc_id, line_no, case when level = 2 then h2 || '-0' when level = 3 then h2 || '-' || h3 || '-0' else h2 || '-' || n end as assigned_id from b")
 def g_heading_numbers(spark, sf_dir):
     rows = _lines(spark, sf_dir).withColumn("level", F.when(F.length("line") < 20, 2).when(F.length("line") < 40, 3).otherwise(0))
     return sequence.heading_numbers(rows, ["doc_id"], "line_no", "level").select("doc_id", "line_no", "assigned_id")

@@ -73,7 +73,7 @@ def accumulated_blocks(docs: DataFrame, keys: list[str], text: str = "text") ->
     rows = rows.withColumn("group", F.coalesce(F.sum((F.col("id") != "").cast("int")).over(order), F.lit(0)))
     joined = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda s: s["line"]), "\n")
     found = rows.groupBy(*keys, "group").agg(F.max("id").alias("block_id"), joined.alias("block"), F.min("line_no").alias("line_no"))
-    return found.where("block_id <> ''").select(*keys, "block_id", "line_no", F.trim(F.regexp_replace("block", r"\s*\^[\w-]+\s*$", "")).alias("block"))
+    return found.where("block_id <> ''").select(*keys, "block_id", "line_no", F.regexp_replace("block", r"^\s+|\s*\^[\w-]+\s*$", "").alias("block"))
 
 
 def typed_units(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
