@@ -125,12 +125,12 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     what any document over the threshold must have, so nothing is lost.
 
     An item of fewer than five words has one shingle of all its words. Null or
-    wordless texts, on either side, match nothing. Repeated items each match;
+    wordless texts, on either side, match nothing, nor do rows without an id. Repeated items each match;
     a repeated document matches once a row. Empty tables give no rows.
     """
     spark = docs.sparkSession
     prepare(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null and item_id is not null")
     chars = items.agg(F.coalesce(F.sum(F.length("text") + 100), F.lit(0))).first()[0]
     blocks = max(1, -(-chars // BLOCK_CHARS))

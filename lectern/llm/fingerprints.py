@@ -116,7 +116,8 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     n, low, high = docs.agg(F.count("*"), F.min(key), F.max(key)).first()
     buckets = max(1, n // PER_BUCKET)
     width = max(1, -(-((high or 0) - (low or 0) + 1) // buckets))
-    place = F.floor((key.cast("decimal(20,0)") - F.lit(low or 0).cast("decimal(20,0)")) / width).cast("long")
+    whole = lambda n: F.lit(str(n)).cast("decimal(20,0)")  # noqa: E731  ids may span more than a long holds
+    place = F.floor((key.cast("decimal(20,0)") - whole(low or 0)) / whole(width)).cast("long")
     counts = staged(docs.select(place.alias("bucket"), key.alias("key")).groupBy("bucket").agg(F.count("*").alias("n"), F.min("key").alias("head")))
     if (counts.agg(F.max("n")).first()[0] or 0) > 8 * PER_BUCKET:  # ids that are far from evenly spread
         bounds = sorted(set(docs.select(key.cast("double").alias("key")).approxQuantile("key", [i / min(buckets, 2000) for i in range(1, min(buckets, 2000))], 0.0005)))

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.staging import prepare
+from lectern.llm.staging import map_rows, prepare
 
 THRESHOLD = 0.8
 #: Signals apart by more words than this belong to two notices; as many words around them are looked at.
@@ -200,7 +200,7 @@ def license_notices(docs: DataFrame) -> DataFrame:
     """
     prepare(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(_scan, "doc_id long, n_notices long, licenses string, coverage double, notices string")
+    return map_rows(rows, _scan, "doc_id long, n_notices long, licenses string, coverage double, notices string")
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import textkit
-from lectern.llm.staging import buckets_for, prepare, running_total, staged
+from lectern.llm.staging import buckets_for, map_rows, prepare, running_total, staged
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
@@ -151,7 +151,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
-    pieces = staged(docs.mapInPandas(_piecer(tokenizer, capacity, end_id, with_ids), schema))
+    pieces = staged(map_rows(docs, _piecer(tokenizer, capacity, end_id, with_ids), schema))
     counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     plan = best_fit_plan(counts, capacity)
     rows = spark.createDataFrame(plan or [(0, 0, 0, 0, 1, 0)], "of_length long, from_rank long, n long, first long, each long, base long")

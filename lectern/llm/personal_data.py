@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.staging import prepare
+from lectern.llm.staging import as_ddl, map_rows, prepare, whole_numbers
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -328,13 +328,13 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """
     prepare(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInPandas(_finder(trained(), False), "doc_id long, base string, spans string")
+    return map_rows(docs, _finder(trained(), False), "doc_id long, base string, spans string")
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with every span in ``text`` replaced by its kind; other columns, and null texts, stay."""
     prepare(docs.sparkSession)
-    return docs.mapInPandas(_finder(trained(), True), docs.schema)
+    return map_rows(docs, _finder(trained(), True), as_ddl(docs), whole_numbers(docs))
 
 
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:

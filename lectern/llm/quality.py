@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import textkit
-from lectern.llm.staging import prepare
+from lectern.llm.staging import as_ddl, map_rows, prepare, whole_numbers
 
 #: Labelled documents that the model is made of, at most; they are taken by a hash of their id.
 SAMPLE = 4000
@@ -164,7 +164,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     prepare(spark, rows=256)
     sent = spark.sparkContext.broadcast(model)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInPandas(_scorer(sent), "doc_id long, score double")
+    return map_rows(rows, _scorer(sent), "doc_id long, score double")
 
 
 def good(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
@@ -178,7 +178,7 @@ def good(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
             found = [np.zeros(0)] + [sent.value.score(counts(run)) for _, run in textkit.chunks(pdf["text"])]
             yield pdf[np.concatenate(found) >= cut]
 
-    return docs.mapInPandas(keep, docs.schema)
+    return map_rows(docs, keep, as_ddl(docs), whole_numbers(docs))
 
 
 def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -49,6 +50,26 @@ def prepare(spark: SparkSession, rows: int = 500) -> None:
     sc._lectern_sent = True
 
 
+def map_rows(df: DataFrame, f, schema: str, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``mapInPandas`` that keeps whole-number keys whole: a null among them would make pandas turn all into floats.
+
+    ``f`` gets the keys as text, and gives them back as text where ``schema`` has them.
+    """
+    ids = [c for c in keys if c in df.columns]
+    wanted = StructType.fromDDL(schema)
+    given = StructType([StructField(x.name, StringType()) if x.name in ids else x for x in wanted.fields])
+    out = df.withColumns({c: F.col(c).cast("long").cast("string") for c in ids}).mapInPandas(f, given)
+    return out.select(*(F.col(x.name).cast(x.dataType).alias(x.name) if x.name in ids else x.name for x in wanted.fields))
+
+
+def whole_numbers(df: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c, kind in df.dtypes if kind in ("tinyint", "smallint", "int", "bigint"))
+
+
+def as_ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{c.replace('`', '``')}` {kind}" for c, kind in df.dtypes)
+
+
 def buckets_for(rows: int, per_bucket: int = 20_000, least: int = 16) -> int:
     return max(least, -(-rows // per_bucket))
 

@@ -33,6 +33,21 @@ def odd_rows(spark):
     return df
 
 
+def test_ids_stay_whole_beside_null_ones(spark):
+    big = 2 ** 62 + 1
+    docs = spark.createDataFrame([(big, "a@b.co " + A, None, None, None), (None, "x", "en", "s", None)], DOCS)
+    model = quality.train(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    for df, kept in (
+        (licenses.license_notices(docs), 2), (personal_data.personal_data(docs), 2), (personal_data.redact(docs), 2), (packing.pack(docs), 2), (quality.scored(docs, model), 2), (quality.good(docs, model), 2),
+        (near_dup.near_duplicates(docs), 1), (secrets.secrets(docs), 2), (fingerprints.fingerprints(docs), 2), (fingerprints.with_next(docs, ["text"]), 2), (shards.balanced_shards(docs, 2), 2),
+        (contamination.contaminated(docs, spark.createDataFrame([(1, A)], "item_id long, text string")), 1),
+    ):
+        got = [r["doc_id"] for r in df.collect()]
+        assert big in got and len(got) == kept
+    odd = pages.extract(spark.createDataFrame([(big, "http://a/", "<p>x"), (None, None, None)], "page_id long, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in odd.collect()} == {big: "x", None: ""}
+
+
 def words_of(text):
     return re.findall(r"\w+", text.lower())
 
