@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import textkit
-from lectern.llm.staging import prepare
+from lectern.llm.staging import prepare, table
 
 THRESHOLD = 0.8
 #: Least hashes kept of a test item, and how many of them are needed for each size class of items (log2 of its shingles, from 0).
@@ -144,4 +144,4 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return contaminated(table(spark, sf_dir, "documents"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.llm.staging import staged
+from lectern.llm.staging import staged, table
 
 #: Words in a k-mer and in its inner substrings.
 WORDS, INNER = 13, 2
@@ -135,7 +135,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def op7_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     pairs = with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ["text"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.staging import map_rows, prepare
+from lectern.llm.staging import map_rows, prepare, table
 
 THRESHOLD = 0.8
 #: Signals apart by more words than this belong to two notices; as many words around them are looked at.
@@ -204,4 +204,4 @@ def license_notices(docs: DataFrame) -> DataFrame:
 
 
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_notices(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return license_notices(table(spark, sf_dir, "documents"))

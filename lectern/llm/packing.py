@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import textkit
-from lectern.llm.staging import buckets_for, map_rows, prepare, running_total, staged
+from lectern.llm.staging import buckets_for, map_rows, prepare, running_total, staged, table
 
 TOKENIZER = "byte_bpe_50k.json"
 CAPACITY = 1024
@@ -163,4 +163,4 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack(table(spark, sf_dir, "documents"))

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.staging import as_ddl, map_rows, prepare, whole_numbers
+from lectern.llm.staging import as_ddl, map_rows, prepare, table, whole_numbers
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -338,6 +338,6 @@ def redact(docs: DataFrame) -> DataFrame:
 
 
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = personal_data(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = personal_data(table(spark, sf_dir, "documents"))
     count = lambda kind: F.regexp_count("base", F.lit(f"{kind}:")).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *map(count, KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm import textkit
-from lectern.llm.staging import as_ddl, map_rows, prepare, whole_numbers
+from lectern.llm.staging import as_ddl, map_rows, prepare, table, whole_numbers
 
 #: Labelled documents that the model is made of, at most; they are taken by a hash of their id.
 SAMPLE = 4000
@@ -182,6 +182,6 @@ def good(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
 
 
 def op8_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return scored(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= CUT).cast("int").alias("predicted"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.staging import staged
+from lectern.llm.staging import staged, table
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -157,6 +157,6 @@ def joined(spans: str) -> Column:
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = secrets(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
     return found.select("doc_id", *map(count, range(3)), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.staging import buckets_for, running_total, staged
+from lectern.llm.staging import buckets_for, running_total, staged, table
 
 SHARDS, ROUNDS = 40, 6
 OVERHEAD = 16
@@ -137,5 +137,5 @@ def _dealt(placed: DataFrame, n: int) -> DataFrame:
 
 
 def op2_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dealt = balanced_shards(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    dealt = balanced_shards(table(spark, sf_dir, "documents"))
     return dealt.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

@@ -23,6 +23,13 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of a folder. One in fewer files than there are cores is dealt out first, as a file of one row group is one task."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def staged(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
