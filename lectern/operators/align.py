@@ -277,3 +277,30 @@ def unique_grams(docs: DataFrame, key: str, k: int) -> DataFrame:
     t = T.letters_only("text")
     spread = docs.select(key, F.posexplode(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - k + 1)), lambda i: F.substring(t, i, F.lit(k)))).alias("pos", "gram"))
     return spread.groupBy(key, "gram").agg(F.count("*").alias("n"), F.min("pos").alias("pos")).where("n = 1").drop("n")
+
+
+LABEL = r"\(([A-Za-z]{1,3})\)"
+
+
+def labelled_parts(blocks: DataFrame, key: str) -> DataFrame:
+    """Parts of a block by the labels ``(Ka)`` before them; what stands before the first has none."""
+    labels = F.regexp_extract_all("text", F.lit(LABEL), F.lit(1))
+    parts = F.split("text", LABEL)
+    rows = blocks.select(key, F.posexplode(F.arrays_zip(F.concat(F.array(F.lit("")), labels).alias("label"), parts.alias("part"))).alias("pos", "p"))
+    return rows.select(key, "pos", F.lower("p.label").alias("label"), F.trim("p.part").alias("part")).where("part <> ''")
+
+
+def labelled_pairs(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
+    """Parts of both sides of a block by label; a source block without labels goes with the target's part without one, or with its first."""
+    a, b = labelled_parts(source, key), labelled_parts(target, key)
+    plain = a.groupBy(key).agg(F.max("label").alias("_m"), F.max("part").alias("source_part")).where("_m = ''").select(key, "source_part")
+    first = b.groupBy(key).agg(F.coalesce(F.max(F.when(F.col("label") == "", F.col("part"))), F.min_by("part", "pos")).alias("target_part"))
+    own = plain.join(first, key).select(key, F.lit("").alias("label"), "source_part", "target_part")
+    others = a.join(plain.select(key), key, "left_anti").select(key, "label", F.col("part").alias("source_part"))
+    return own.union(others.join(b.select(key, "label", F.col("part").alias("target_part")), [key, "label"]))
+
+
+def best_match(a: DataFrame, b: DataFrame, key_a: str, key_b: str, threshold: float, k: int = 5) -> DataFrame:
+    """The most alike text of ``b`` for each of ``a``, the first key on a tie."""
+    scored = fuzzy_map(a, b, key_a, key_b, threshold, k)
+    return scored.groupBy(key_a).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(key_b))).alias("m")).select(key_a, F.col(f"m.{key_b}").alias(key_b), (-F.col("m.s")).alias("score"))

@@ -260,3 +260,13 @@ def sha_changes(now: DataFrame, lock: DataFrame, key: str = "path") -> DataFrame
     """Files that changed against a lock, went, or came."""
     both = now.select(key, F.sha2("content", 256).alias("sha")).join(lock.select(key, F.col("sha").alias("locked")), key, "full_outer")
     return both.select(key, F.when(F.col("sha").isNull(), "missing").when(F.col("locked").isNull(), "added").when(F.col("sha") != F.col("locked"), "changed").otherwise("same").alias("status"))
+
+
+def tree_shapes(root: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Nodes whose ref or children differ between two trees ``(path, ref)``, whatever their titles are."""
+    def shape(df):
+        kids = df.groupBy(*keys, F.element_at(F.split("path", r"\.(?=[^.]*$)"), 1).alias("path"), F.contains("path", F.lit(".")).alias("_deep")).agg(F.count("*").alias("_n")).where("_deep").drop("_deep")
+        return df.join(kids, [*keys, "path"], "left").select(*keys, "path", "ref", F.coalesce("_n", F.lit(0)).alias("children"))
+    a, b = shape(root), shape(other).select(*keys, "path", F.col("ref").alias("_ref"), F.col("children").alias("_children"))
+    both = a.join(b, [*keys, "path"], "full_outer").where("not (ref <=> _ref and children <=> _children)")
+    return finding(both, "tree_shape", "major", F.concat_ws("-", *(F.col(k).cast("string") for k in keys), "path"), F.concat_ws("/", F.coalesce("ref", F.lit("-")), F.coalesce("_ref", F.lit("-"))))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -81,3 +82,48 @@ def isolate(units: list, probe: Callable[[list], bool]) -> list:
         return units
     half = len(units) // 2
     return isolate(units[:half], probe) + isolate(units[half:], probe)
+
+
+class QuotaSpent(Exception):
+    """A service says that no more calls are allowed; it is not tried again."""
+
+
+def retrying(call: Callable[[list[str]], list[str]], tries: int = 4, wait: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> Callable[[list[str]], list[str]]:
+    """A call that is made again after a failure, each time after twice the wait; a spent quota, and the last failure, are raised."""
+    def run(prompts: list[str]) -> list[str]:
+        for n in range(tries):
+            try:
+                return call(prompts)
+            except QuotaSpent:
+                raise
+            except Exception:
+                if n == tries - 1:
+                    raise
+                sleep(wait * 2 ** n)
+        raise AssertionError
+    return run
+
+
+def repaired(rows: DataFrame, prompt: str, call: Callable[[list[str]], list[str]], good: Callable[[str, str], bool], passes: int = 3, out: str = "reply") -> DataFrame:
+    """Replies asked for again, one by one, until they are well formed or the passes are used up; ``passes`` tells how many it took, 0 if none was good."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = []
+            for p in pdf[prompt]:
+                reply, took = None, 0
+                for n in range(1, passes + 1):
+                    reply = call([p])[0]
+                    if good(p, reply):
+                        took = n
+                        break
+                found.append((reply, took))
+            yield pdf.assign(**{out: [r for r, _ in found], "passes": [n for _, n in found]})
+    return rows.mapInPandas(run, K.StructType([*rows.schema.fields, K.StructField(out, K.StringType()), K.StructField("passes", K.IntegerType())]))
+
+
+def delivered(payloads: DataFrame, key: str, post: Callable[[str], str], ledger: DataFrame | None = None, dry_run: bool = True) -> DataFrame:
+    """Payloads that a ledger doesn't have, posted, with the answer as a ledger row; a dry run posts nothing."""
+    rows = payloads if ledger is None else payloads.join(ledger.where("status = 'sent'").select(key).distinct(), key, "left_anti")
+    if dry_run:
+        return rows.select(key, F.lit("dry-run").alias("status"), F.lit(None).cast("string").alias("answer"))
+    return call_model(rows, "payload", lambda batch: [post(p) for p in batch], "answer").select(key, F.lit("sent").alias("status"), "answer")

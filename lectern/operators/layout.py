@@ -223,3 +223,11 @@ def verse_units(clauses: DataFrame, key: str, low: int = 5, high: int = 25, leas
             before = verse[k] or final[k] or total >= longest
         return pdf.assign(unit=[u for u, _ in out], kind=[t for _, t in out])
     return clauses.groupBy(key).applyInPandas(cut, K.StructType([*with_field(clauses, "unit", K.IntegerType()).fields, K.StructField("kind", K.StringType())]))
+
+
+def moved_up(lines: DataFrame, keys: list[str], order: str, marked: Column) -> DataFrame:
+    """Marked lines, such as transclusions, put before the run of lines that they stand in; their order stays."""
+    w = W.partitionBy(*keys).orderBy(order)
+    rows = lines.withColumns({"_m": marked, "_blank": F.trim("line") == ""})
+    rows = rows.withColumn("_run", F.sum((F.col("_blank") != F.lag("_blank", 1, True).over(w)).cast("int")).over(w))
+    return rows.withColumn("new_line", F.row_number().over(W.partitionBy(*keys).orderBy("_run", (~F.col("_m")).cast("int"), order))).drop("_m", "_blank", "_run")

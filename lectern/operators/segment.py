@@ -39,6 +39,11 @@ def rule_cuts(text: str, rules=RULES) -> list[tuple[int, str]]:
     return sorted(found.items())
 
 
+def valid_cut(text: str, at: int, rules=RULES) -> bool:
+    """Whether a text may be cut at a place: a rule makes a cut there."""
+    return any(at == p for p, _ in rule_cuts(text, rules))
+
+
 def clauses(text: Column | str) -> Column:
     """Spans up to and with a closing mark."""
     return F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"[^།.!?]+[།.!?]*\s*"), F.lit(0)), lambda x: F.trim(x)), lambda x: x != "")
@@ -144,7 +149,7 @@ def segments(docs: DataFrame, key: str, most: int = 40, least: int = 4, text: st
 
 def stanza_cut(text: Column | str) -> Column:
     """A stanza's lines: after a closing pair of marks, or a single one inside the line."""
-    return F.filter(F.transform(F.split(F.regexp_replace(text, r"(།\s*།|།)\s*(?=\S)", "$1\n"), "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.regexp_replace(text, r"(།\s*།|།)\s*(?=[^\s།])", "$1\n"), "\n"), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def verse_share(clause_rows: DataFrame, keys: list[str], order: str, size: str) -> DataFrame:
@@ -193,17 +198,21 @@ def two_word_splits(words: DataFrame, vocabulary: DataFrame, least: int = 2) ->
 def adjusted(start: Column, end: Column, ops: Column, continuous: bool) -> Column:
     """A span after edits ``array<struct<type, start, end, text>>``, the last place first and deletions before insertions of a place.
 
-    An insertion at the end of a continuous span is in it, at the end of an annotation it is not.
+    An insertion at the end of a continuous span is in it, at the end of an annotation it is not. A span of which nothing is left is null.
     """
     order = F.array_sort(F.transform(ops, lambda o: F.struct((-o["start"]).alias("s"), F.when(o["type"] == "delete", 0).otherwise(1).alias("k"), o["end"].alias("end"), F.length(F.coalesce(o["text"], F.lit(""))).alias("n"))))
 
     def step(acc: Column, o: Column) -> Column:
         p, q, n, a, b = -o["s"], o["end"], o["n"], acc["a"], acc["b"]
-        inside = (p <= b) if continuous else (p < b)
-        ins_a = F.when(p < a, a + n).when((p == a) & ~F.lit(continuous), a + n).otherwise(a)
-        ins_b = F.when(inside & ((p > a) | (F.lit(continuous) & (p == a))), b + n).when(p <= a, b + n).otherwise(b)
+        stays = (p > a) | ((p == 0) & (a == 0)) if continuous else p > a
+        reach = p <= b if continuous else p < b
         moved = lambda x: x - F.greatest(F.lit(0), F.least(x, q) - p)
-        return F.struct(F.when(o["k"] == 1, ins_a).otherwise(F.when(p < a, moved(a)).otherwise(a)).alias("a"), F.when(o["k"] == 1, ins_b).otherwise(F.when(p < b, moved(b)).otherwise(b)).alias("b"))
+        gone = (p <= a) & (q >= b)
+        ins_a, ins_b = F.when(stays, a).otherwise(a + n), F.when(stays & ~reach, b).otherwise(b + n)
+        del_a = F.when(gone, F.lit(None)).when(p < a, moved(a)).otherwise(a)
+        del_b = F.when(gone, F.lit(None)).when(p < b, moved(b)).otherwise(b)
+        adds = o["k"] == 1
+        return F.struct(F.when(a.isNull(), a).when(adds, ins_a).otherwise(del_a).alias("a"), F.when(a.isNull(), b).when(adds, ins_b).otherwise(del_b).alias("b"))
 
     done = F.aggregate(order, F.struct(start.cast("int").alias("a"), end.cast("int").alias("b")), step)
     return F.struct(done["a"].alias("start"), done["b"].alias("end"))
@@ -290,3 +299,10 @@ def first_wrap(text: Column, term: str, before: str, after: str) -> Column:
     """The first place of a term in marks."""
     at = F.instr(text, term)
     return F.when(at > 0, F.concat(F.substring(text, F.lit(1), at - 1), F.lit(before + term + after), F.substring(text, at + len(term), F.length(text)))).otherwise(text)
+
+
+def simulated(spans: DataFrame, ops: DataFrame, key: str) -> DataFrame:
+    """Line spans ``(key, start, end)`` of a content after the edits ``(key, ops)``; if they tiled it before they tile it after, which `checks.tiling` can prove."""
+    both = spans.join(ops, key, "left")
+    none = F.array().cast(dict(ops.dtypes)["ops"])
+    return both.withColumn("_s", adjusted(F.col("start"), F.col("end"), F.coalesce("ops", none), True)).select(key, *(c for c in spans.columns if c not in (key, "start", "end")), F.col("_s.start").alias("start"), F.col("_s.end").alias("end"))

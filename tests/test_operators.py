@@ -99,6 +99,7 @@ def test_quotes(spark):
 @pytest.mark.parametrize(("continuous", "span", "op", "want"), [
     (True, (2, 5), ("insert", 5, 5, "x"), (2, 6)), (False, (2, 5), ("insert", 5, 5, "x"), (2, 5)),
     (True, (2, 6), ("delete", 4, 8, None), (2, 4)), (False, (2, 6), ("delete", 0, 1, None), (1, 5)),
+    (True, (0, 3), ("insert", 0, 0, "x"), (0, 4)), (True, (3, 5), ("insert", 3, 3, "x"), (4, 6)), (False, (2, 6), ("delete", 1, 7, None), (None, None)),
 ])
 def test_span_edits(spark, continuous, span, op, want):
     df = spark.createDataFrame([(*span, [op], "abcdefghij")], "start int, end int, ops array<struct<type:string,start:int,end:int,text:string>>, text string")
