@@ -75,13 +75,21 @@ def body_ids(rows: DataFrame, keys: list[str], order: str, label: Column, consum
     return rows.withColumn("assigned_id", F.when(F.col("_c") & F.col("_label").isNotNull(), F.concat_ws("-", "_label", n.cast("string")))).drop("_label", "_c")
 
 
+def total_before(rows: DataFrame, order: str, value: str, out: str, width: int = 10_000) -> DataFrame:
+    """Adds ``out``: the sum of ``value`` over rows with a smaller whole-number ``order``, by ranges of it and then within each, so no task sees all rows."""
+    rows = rows.withColumn("_range", F.floor(F.col(order) / width))
+    totals = rows.groupBy("_range").agg(F.sum(value).alias("_t"))
+    starts = totals.select("_range", F.coalesce(F.sum("_t").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_start"))  # one row a range
+    inside = W.partitionBy("_range").orderBy(order).rangeBetween(W.unboundedPreceding, -1)
+    return rows.join(starts, "_range").withColumn(out, F.col("_start") + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop("_range", "_start")
+
+
 def verse_buckets(verses: DataFrame, chapter: str, verse: str, k: int) -> DataFrame:
-    """Days of up to ``k`` verses that never cross a chapter."""
+    """Days of up to ``k`` verses that never cross a chapter; chapters are whole numbers."""
     rows = verses.withColumn("_b", F.floor((F.row_number().over(W.partitionBy(chapter).orderBy(verse)) - 1) / k))
     days = rows.groupBy(chapter, "_b").agg(F.min(verse).alias("vstart"), F.max(verse).alias("vend"), F.count("*").alias("n"))
     per = days.groupBy(chapter).agg(F.count("*").alias("_d"))
-    base = per.withColumn("_before", F.coalesce(F.sum("_d").over(W.orderBy(chapter).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))  # one row a chapter
-    return days.join(base, chapter).select((F.col("_before") + F.col("_b") + 1).cast("long").alias("day"), chapter, "vstart", "vend", "n")
+    return days.join(total_before(per, chapter, "_d", "_before"), chapter).select((F.col("_before") + F.col("_b") + 1).cast("long").alias("day"), chapter, "vstart", "vend", "n")
 
 
 def shifted(schedule: DataFrame, chapter: int, verse: int, to_day: int) -> DataFrame:

@@ -130,11 +130,10 @@ def d_termbase_consistency(spark, sf_dir):
     return checks.termbase_consistency(keywords, c.select(F.col("conv_id").alias("verse_id"), "text"))
 
 
-@L.add("D30", "with s as (select row_number() over (order by l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice) as day, l_orderkey as chapter, l_linenumber as vstart, l_linenumber + (l_partkey % 2)::int as vend from lineitem), p as (select *, lag(vend) over (partition by chapter order by day) as prev from s) select 'gap' as check_name, 'major' as severity, day || '' as entity_id, prev || '>' || vstart as detail from p where vstart > prev + 1 union all select 'overlap', 'major', day || '', prev || '>' || vstart from p where vstart <= prev union all select 'malformed', 'minor', day || '', chapter || '' from s where chapter % 100 = 0")
+@L.add("D30", "with s as (select (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey as day, l_orderkey as chapter, l_linenumber as vstart, l_linenumber + (l_partkey % 2)::int as vend from lineitem), p as (select *, lag(vend) over (partition by chapter order by day) as prev from s) select 'gap' as check_name, 'major' as severity, day || '' as entity_id, prev || '>' || vstart as detail from p where vstart > prev + 1 union all select 'overlap', 'major', day || '', prev || '>' || vstart from p where vstart <= prev union all select 'malformed', 'minor', day || '', chapter || '' from s where chapter % 100 = 0 union all select 'duplicate_id', 'major', day || '', count(*) || '' from s group by day having count(*) > 1")
 def d_schedule_audit(spark, sf_dir):
-    from pyspark.sql import Window as W
     rows = table(spark, sf_dir, "lineitem")
-    day = F.row_number().over(W.orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    day = (F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")
     s = rows.select(day.alias("day"), F.col("l_orderkey").alias("chapter"), F.col("l_linenumber").alias("vstart"), (F.col("l_linenumber") + (F.col("l_partkey") % 2).cast("int")).alias("vend"), (F.col("l_orderkey") % 100 != 0).alias("well_formed"))
     return checks.schedule_audit(s)
 

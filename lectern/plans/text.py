@@ -56,11 +56,11 @@ def c_work_days(spark, sf_dir):
     return table(spark, sf_dir, "events").groupBy(T.work_day("ts").alias("day")).agg(F.count("*").alias("n"), F.count_distinct("user_id").alias("users"))
 
 
-@L.add("C41", "select o_orderkey, '1-' || o_orderkey as block_id, row_number() over (order by o_orderkey) as place from orders")
+@L.add("C41", "select o_orderkey, '1-' || o_orderkey as block_id, row_number() over (partition by o_custkey order by o_orderkey) as place from orders")
 def c_natural_order(spark, sf_dir):
     from pyspark.sql import Window as W
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("1-"), F.col("o_orderkey").cast("string")).alias("block_id"))
-    return rows.withColumn("place", F.row_number().over(W.orderBy(T.natural_key("block_id"))).cast("long"))
+    rows = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.concat(F.lit("1-"), F.col("o_orderkey").cast("string")).alias("block_id"))
+    return rows.withColumn("place", F.row_number().over(W.partitionBy("o_custkey").orderBy(T.natural_key("block_id"))).cast("long")).drop("o_custkey")
 
 
 @L.add("C37 A35 A36", "select page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '(?s)<!--.*?-->', ' ', 'g'), '(?s)<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&nbsp;', ' '), '&amp;', '&'), '\\s+', ' ', 'g')) as plain from pages")
