@@ -66,8 +66,8 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, links: DataFrame | No
     the text and 16), ``text_crc32``, ``shard`` and ``slot`` (from 0 in its shard,
     without gaps).
 
-    Groups over half a shard are first split into parts of that size, as no
-    shard can hold them. Linked documents are placed by `propagate`; those over
+    Groups over three quarters of a shard are first split into as few equal parts
+    of that size as will do, as no shard can hold them. Linked documents are placed by `propagate`; those over
     a shard's quota join the unlinked ones, which fill the room that is left,
     larger ones first, so that what remains uneven is of the size of the
     smallest documents. A null text has 16 bytes, crc32 of nothing, and no
@@ -88,10 +88,11 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, links: DataFrame | No
         groups = joined.groupBy("group").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).where("n > 1")
         linked = joined.join(groups, "group").select("doc_id", "id", "size", "group", "bytes")
     capacity = total / shards
-    part = max(1.0, capacity / 2)
-    large = linked.where(F.col("bytes") > part)
-    split = running_total(large, ["group"], ["doc_id", "id"], "before", buckets_for(n), F.col("size")).select("id", "size", F.concat("group", F.floor(F.col("before") / part).cast("string").cast("binary")).alias("group"))
-    linked = staged(linked.where(F.col("bytes") <= part).select("id", "size", "group").union(split))
+    whole = max(1.0, 0.75 * capacity)
+    part = F.col("bytes") / F.ceil(F.col("bytes") / whole)
+    large = linked.where(F.col("bytes") > whole)
+    split = running_total(large, ["group"], ["doc_id", "id"], "before", buckets_for(n), F.col("size")).select("id", "size", F.concat("group", F.least(F.floor(F.col("before") / part), F.ceil(F.col("bytes") / whole) - 1).cast("string").cast("binary")).alias("group"))
+    linked = staged(linked.where(F.col("bytes") <= whole).select("id", "size", "group").union(split))
     items = linked.groupBy("id").agg(F.min("size").alias("weight"))
     placed = propagate(items, linked.select("id", "group").distinct(), shards, capacity)
     first_group = linked.groupBy("id").agg(F.min("group").alias("group"))
