@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 
+_written: dict[str, list[str]] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only where none is named."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -39,9 +42,20 @@ def staged(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession) -> int:
+    """Deletes what `staged` has written for this application; for a caller who has saved the results. Returns how many tables went."""
+    paths = _written.pop(spark.sparkContext.applicationId, [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    return len(paths)
+
+
 def prepare(spark: SparkSession, rows: int = 500) -> None:
     """Sends this package to the executors, once a context, and bounds the rows in an Arrow batch so that long texts fit a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

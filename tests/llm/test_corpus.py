@@ -431,6 +431,25 @@ def test_fast_ids_are_those_of_tokenizers(text):
     assert next(packing.token_ids([text])).tolist() == slow.encode(text, add_special_tokens=False).ids
 
 
+# staging
+
+def test_sweep_deletes_what_was_staged(spark):
+    import os
+    from lectern.llm import staging
+    df = staging.staged(spark.range(5))
+    path = df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path) and staging.sweep(spark) > 0 and not os.path.exists(path) and staging.sweep(spark) == 0
+
+
+def test_running_totals(spark):
+    from pyspark.sql import functions as F
+    from lectern.llm import staging
+    df = spark.range(1000).withColumn("k", F.col("id") % 3)
+    got = staging.running_total(df, ["k"], ["id"], "n", 7).collect()
+    for k in range(3):
+        assert sorted(r["n"] for r in got if r["k"] == k) == list(range(len([r for r in got if r["k"] == k])))
+
+
 # the pipeline
 
 def test_pipeline_by_brute_force(spark):
