@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lectern.functions import fixed
 
@@ -36,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def longs(df: DataFrame, *columns: str) -> DataFrame:
+    """Places and counts as the whole numbers that SQL gives."""
+    return df.withColumns({c: F.col(c).cast("long") for c in columns})
+
+
 _WORD = f"[a-zA-Z{fixed.TRANSLITERATION}À-ÖØ-öø-ÿß]+"
 STOP = "[" + ", ".join(f"'{w}'" for w in fixed.STOPWORDS) + "]"
 

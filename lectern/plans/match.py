@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.operators import align
-from lectern.plans.base import LINES_SQL, Listing, sql_words, table
+from lectern.plans.base import LINES_SQL, Listing, longs, sql_words, table
 from lectern.sources import notes
 
 L = Listing()
@@ -144,7 +144,7 @@ def e_carried_marks(spark, sf_dir):
 def e_repointed(spark, sf_dir):
     e = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("dst_block"))
     m = table(spark, sf_dir, "supplier").where("s_suppkey % 4 <> 0").select(F.col("s_suppkey").alias("old"), F.explode(F.array(F.lit(0), F.lit(1))).alias("pos"))
-    return align.repointed(e, m.withColumn("new", F.col("old") * 10 + F.col("pos")))
+    return longs(align.repointed(e, m.withColumn("new", F.col("old") * 10 + F.col("pos"))), "new_pos")
 
 
 @L.add("E39", "with n as (select user_id % 10 as k, ts, event_id from events where event_id % 50 = 0) select e.event_id as id, e.user_id % 10 as k, n.event_id as node from events e asof left join n on e.user_id % 10 = n.k and e.ts >= n.ts")
@@ -164,7 +164,7 @@ def e_overlap_join(spark, sf_dir):
 @L.add("E42 H35", f"with {LINES_SQL}, h as (select doc_id, line_no, abs(line_no - 10) as d from ln where contains(line, 'the ')) select doc_id, line_no from (select *, row_number() over (partition by doc_id order by d, line_no) as r from h) where r = 1")
 def e_nearest_line(spark, sf_dir):
     rows = notes.lines(_docs(spark, sf_dir).select("doc_id", "text"), ["doc_id"]).where(F.contains(F.col("line"), F.lit("the "))).withColumn("target", F.lit(10))
-    return align.nearest(rows, "doc_id", "line_no", "target")
+    return longs(align.nearest(rows, "doc_id", "line_no", "target"), "line_no")
 
 
 @L.add("E22", "with t as (select item_id, regexp_replace(text, '[^\\p{L}]', '', 'g') as t from benchmark), g as (select item_id, i - 1 as pos, substr(t, i, 12) as gram from t, unnest(range(1, greatest(1, length(t) - 11) + 1)) as u(i)) select item_id, gram, min(pos) as pos from g group by all having count(*) = 1")

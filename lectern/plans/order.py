@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as T
 from lectern.operators import scores, segment, sequence
-from lectern.plans.base import LINES_SQL, Listing, table
+from lectern.plans.base import LINES_SQL, Listing, longs, table
 from lectern.sources import notes
 
 L = Listing()
@@ -18,7 +18,7 @@ def _lines(spark, sf_dir):
 
 @L.add("G1 G2", f"with {LINES_SQL}, n as (select doc_id, count(*) as n from ln group by doc_id), w as (select doc_id, n, i as \"window\" from n, unnest(range(0, greatest(0, cast(ceil((n - 15) / 10.0) as bigint)) + 1)) as t(i)) select doc_id, \"window\", \"window\" * 10 + 1 as \"start\", least(\"window\" * 10 + 15, n) as \"end\" from w")
 def g_overlapping_windows(spark, sf_dir):
-    return sequence.overlapping_windows(_lines(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("n")), ["doc_id"], "n", 15, 5)
+    return longs(sequence.overlapping_windows(_lines(spark, sf_dir).groupBy("doc_id").agg(F.count("*").alias("n")), ["doc_id"], "n", 15, 5), "window", "start")
 
 
 _STITCH = "s as (select event_id, user_id, ts, sum(case when prev_user = user_id and epoch(ts) - epoch(prev_ts) <= 600 then 0 else 1 end) over (order by ts rows unbounded preceding)::bigint as unit from (select *, lag(user_id) over (order by ts) as prev_user, lag(ts) over (order by ts) as prev_ts from events))"
@@ -43,7 +43,7 @@ def g_verse_buckets(spark, sf_dir):
 
 @L.add("G16", f"with {LINES_SQL} select doc_id, line_no, coalesce(sum(length(line) + 1) over (partition by doc_id order by line_no rows between unbounded preceding and 1 preceding), 0)::bigint as \"start\", coalesce(sum(length(line) + 1) over (partition by doc_id order by line_no rows between unbounded preceding and 1 preceding), 0)::bigint + length(line) as \"end\" from ln")
 def g_content_offsets(spark, sf_dir):
-    return sequence.content_offsets(_lines(spark, sf_dir), ["doc_id"], "line_no", "line").select("doc_id", "line_no", "start", "end")
+    return longs(sequence.content_offsets(_lines(spark, sf_dir), ["doc_id"], "line_no", "line").select("doc_id", "line_no", "start", "end"), "line_no")
 
 
 _HEAD = "hd as (select doc_id, line_no, case when length(line) < 20 then 2 when length(line) < 40 then 3 else 0 end as level from ln)"
@@ -52,7 +52,7 @@ _HEAD = "hd as (select doc_id, line_no, case when length(line) < 20 then 2 when
 @L.add("G7", f"with {LINES_SQL}, {_HEAD}, a as (select *, sum((level = 2)::int) over (partition by doc_id order by line_no)::bigint as h2 from hd), b as (select *, sum((level = 0)::int) over (partition by doc_id, h2 order by line_no)::bigint as n, sum((level = 3)::int) over (partition by doc_id, h2 order by line_no)::bigint as h3 from a) select doc_id, line_no, case when level = 2 then h2 || '-0' when level = 3 then h2 || '-' || h3 || '-0' else h2 || '-' || n end as assigned_id from b")
 def g_heading_numbers(spark, sf_dir):
     rows = _lines(spark, sf_dir).withColumn("level", F.when(F.length("line") < 20, 2).when(F.length("line") < 40, 3).otherwise(0))
-    return sequence.heading_numbers(rows, ["doc_id"], "line_no", "level").select("doc_id", "line_no", "assigned_id")
+    return longs(sequence.heading_numbers(rows, ["doc_id"], "line_no", "level").select("doc_id", "line_no", "assigned_id"), "line_no")
 
 
 @L.add("G14 D41", f"with {LINES_SQL}, o as (select doc_id, line_no, line, coalesce(sum(length(line) + 1) over (partition by doc_id order by line_no rows between unbounded preceding and 1 preceding), 0)::bigint as off, sum(length(line) + 1) over (partition by doc_id)::bigint as total from ln), h as (select doc_id, line_no as pos, case when length(line) < 20 then 1 else 2 end as level, off, total from o where length(line) < 40) select a.doc_id, a.pos, a.level, a.off as \"start\", coalesce(min(b.off), any_value(a.total)) as \"end\" from h a left join h b on a.doc_id = b.doc_id and b.pos > a.pos and b.level <= a.level group by a.doc_id, a.pos, a.level, a.off")
@@ -60,7 +60,7 @@ def g_nested_spans(spark, sf_dir):
     rows = sequence.content_offsets(_lines(spark, sf_dir), ["doc_id"], "line_no", "line")
     total = rows.groupBy("doc_id").agg(F.sum(F.length("line") + 1).alias("total"))
     heads = rows.where(F.length("line") < 40).select("doc_id", F.col("line_no").alias("pos"), F.when(F.length("line") < 20, 1).otherwise(2).alias("level"), F.col("start").alias("offset")).join(total, "doc_id")
-    return sequence.nested_spans(heads, ["doc_id"], "total")
+    return longs(sequence.nested_spans(heads, ["doc_id"], "total"), "pos")
 
 
 @L.add("G17 G18", "with n as (select conv_id, max(turn) as n from conversations group by 1 having max(turn) >= 2), w as (select conv_id, i as \"window\", i * 2 as s, least(i * 2 + 4, n) as e from n, unnest(range(0, greatest(0, cast(ceil((n - 4) / 2.0) as bigint)) + 1)) as t(i)), j as (select conv_id, \"window\", b from w, unnest(range(s, e)) as t(b) where (b * 7 + \"window\") % 3 <> 0), seen as (select k.conv_id, k.b, count(*) as seen from (select distinct conv_id, b from j) k join w using (conv_id) where s <= b and e >= b + 1 group by all), votes as (select conv_id, b, count(*) as votes from j group by all) select conv_id, b, votes, seen, votes = seen as kept from votes join seen using (conv_id, b)")

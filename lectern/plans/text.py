@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as T
 from lectern.operators import segment, terms
-from lectern.plans.base import LINES_SQL, Listing, sql_words, table
+from lectern.plans.base import LINES_SQL, Listing, longs, sql_words, table
 from lectern.sources import notes, sinks
 
 L = Listing()
@@ -80,12 +80,12 @@ def a_tag_counts(spark, sf_dir):
 
 @L.add("A36 A41", "with a as (select page_id, regexp_extract_all(html, '<a\\s+href=\"([^\"]*)\"[^>]*>([^<]*)</a>') as l from pages) select page_id, i - 1 as pos, regexp_extract(l[i], 'href=\"([^\"]*)\"', 1) as href, regexp_extract(l[i], '>([^<]*)<', 1) as label from a, unnest(range(1, len(l) + 1)) as t(i)")
 def a_link_runs(spark, sf_dir):
-    return notes.link_runs(table(spark, sf_dir, "pages"))
+    return longs(notes.link_runs(table(spark, sf_dir, "pages")), "pos")
 
 
 @L.add("A2 A7", f"with {LINES_SQL} select doc_id, lang, source, line_no, doc_id || '-' || line_no as block_id, line from ln where trim(line) <> ''")
 def a_doc_blocks(spark, sf_dir):
-    return notes.doc_blocks(_docs(spark, sf_dir))
+    return longs(notes.doc_blocks(_docs(spark, sf_dir)), "line_no")
 
 
 @L.add("A26", "with e as (select unnest(map_entries(cast(cast(props as json) as map(varchar, json)))) as e from events) select e.key as key, count(*) as n, count(distinct json_extract_string(e.value, '$')) as n_values, min(json_extract_string(e.value, '$')) as sample from e group by 1")
@@ -123,7 +123,7 @@ def a_span_segments(spark, sf_dir):
     docs = _docs(spark, sf_dir).select("doc_id", "text")
     n = F.length("text")
     spans = docs.where(n > 0).select("doc_id", n.alias("n"), F.explode(F.sequence(F.lit(0), F.floor((n - 1) / 100).cast("int"))).alias("i")).select("doc_id", (F.col("i") * 100).alias("start"), F.least(F.col("i") * 100 + 100, F.col("n")).alias("end"))
-    return notes.span_segments(docs, spans, "doc_id")
+    return longs(notes.span_segments(docs, spans, "doc_id"), "start", "end")
 
 
 @L.add("B4 B5", "select doc_id, sha256(text) as sha from documents")
@@ -156,7 +156,7 @@ def h_two_word_splits(spark, sf_dir):
 @L.add("H2 H10", f"with {LINES_SQL}, c as (select doc_id, line_no, list_filter(list_transform(regexp_extract_all(line, '[^།.!?]+[།.!?]*\\s*'), lambda x: trim(x)), lambda x: x <> '') as l from ln) select doc_id, line_no, i - 1 as pos, l[i] as clause from c, unnest(range(1, len(l) + 1)) as t(i)")
 def h_clauses(spark, sf_dir):
     rows = notes.lines(_docs(spark, sf_dir), ["doc_id"])
-    return rows.select("doc_id", "line_no", F.posexplode(segment.clauses("line")).alias("pos", "clause"))
+    return longs(rows.select("doc_id", "line_no", F.posexplode(segment.clauses("line")).alias("pos", "clause")), "line_no", "pos")
 
 
 @L.add("H1 H3 H4 H6 H8")
