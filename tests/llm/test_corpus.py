@@ -362,6 +362,16 @@ def test_wrapper_drops_constant_slots_and_boilerplate(spark, monkeypatch):
     assert pages.extract(source.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("source", "want"), [
+    ("<header>Site</header><nav>x</nav><main><h1>T &eacute;</h1><p>One<p>Two <a href=x>l</a><ul><li>a<li>b</ul><div class=ad-slot>Buy</div><form>Mail</form></main><aside>s</aside><section id=comments><p>nice</section><footer>c", "T é One Two l a b"),
+    ("<article><div class='article-header'><h1>H</h1><p>by me</p></div><p>x <b>y</b><br>z</p><div class=comment>no</div><footer>f</footer></article>", "H x y z"),
+    ("<div class=site-header><h1>Site</h1></div><div><p>only</div><ul><li><a href=a>a link here</a></ul>", "only"),
+    ("<article><p>cut sh", "cut sh"), ("<p>a<script>var x='<p>no';</script><style>p{}</style><!-- c --><p hidden>h<p>b", "a b"), ("plain &amp; text", "plain & text"), ("<p title=\"a>b\">t</p><p title='x>q</p>", "t"),
+])
+def test_main_text_of_odd_pages(source, want):
+    assert pages.main_text(pages.parse(source), set()) == want
+
+
 def test_simple_tree_matching_keeps_order():
     a = ((-1, ""), (0, "nav"), (0, "div"), (2, "p"), (0, "footer"))
     b = ((-1, ""), (0, "div"), (1, "h1"), (1, "p"), (0, "aside"), (0, "footer"))
