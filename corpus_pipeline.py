@@ -14,9 +14,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of exact and near copies."""
-    kept = near_dup.near_duplicates(docs).where("keep").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi")
+    """One document, that of the smallest id, of each group of exact and near copies; of rows with one id, one."""
+    kept = staged(near_dup.near_duplicates(docs).where("keep").select("doc_id"))
+    once = docs.join(kept, docs.doc_id == kept.doc_id, "left_semi")
+    repeated = not kept.groupBy("doc_id").count().where("count > 1").isEmpty()
+    return once.dropDuplicates(["doc_id"]) if repeated else once
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -484,6 +484,21 @@ def test_pipeline_by_brute_force(spark):
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, corpus_pipeline.run(spark, SF).collect()))
 
 
+def test_stages_take_odd_rows(spark):
+    import corpus_pipeline
+    docs = table(spark, [A, A, None, "", "x " * 30, B + " mail a@b.co", B])
+    docs = docs.union(docs.where("doc_id in (0, 5)"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert stage(spark, docs.limit(0), SF).count() == 0, name
+        if name == "near_duplicates":
+            assert sorted(r["doc_id"] for r in out.collect()) == [0, 2, 3, 4, 5]
+        elif name == "personal_data":
+            assert out.count() == docs.count() and {r["text"] for r in out.where("doc_id = 5").collect()} == {B + " mail [EMAIL]"}
+        else:
+            assert out.count() > 0, name
+
+
 @pytest.mark.parametrize("name", [f"op{i}_" for i in range(1, 11)])
 def test_every_operator_has_one_query(name):
     from lectern.llm import registry
