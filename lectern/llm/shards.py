@@ -80,12 +80,12 @@ def balanced_shards(docs: DataFrame, shards: int = SHARDS, links: DataFrame | No
     n, total = base.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     base = base.withColumn("id", F.xxhash64("doc_id", "text_crc32", "size"))
     if links is None:
-        groups = base.groupBy("same").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).where("n > 1 and same is not null")
+        groups = staged(base.groupBy("same").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).where("n > 1 and same is not null"))
         linked = base.join(groups, "same").select("doc_id", "id", "size", F.col("same").alias("group"), "bytes")
     else:
         given = links.select("doc_id", F.col("group").cast("string").cast("binary").alias("group")).where("group is not null").distinct()
         joined = base.join(given, "doc_id")
-        groups = joined.groupBy("group").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).where("n > 1")
+        groups = staged(joined.groupBy("group").agg(F.count("*").alias("n"), F.sum("size").alias("bytes")).where("n > 1"))
         linked = joined.join(groups, "group").select("doc_id", "id", "size", "group", "bytes")
     capacity = total / shards
     whole = max(1.0, 0.75 * capacity)
