@@ -161,7 +161,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     texts have equal scores. Repeated rows stay; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    prepare(spark, rows=256)
+    prepare(spark, rows=128)
     sent = spark.sparkContext.broadcast(model)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return map_rows(rows, _scorer(sent), "doc_id long, score double")
@@ -170,7 +170,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 def good(docs: DataFrame, model: Model, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` that score ``cut`` or more."""
     spark = docs.sparkSession
-    prepare(spark, rows=256)
+    prepare(spark, rows=128)
     sent = spark.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -116,7 +116,7 @@ def shingles(w: Words, n_texts: int, size: int = SHINGLE_WORDS) -> tuple[np.ndar
     return hashed, doc, first
 
 
-def chunks(texts: Iterable[str | None], chars: int = 1_500_000) -> Iterator[tuple[int, list[str]]]:
+def chunks(texts: Iterable[str | None], chars: int = 400_000) -> Iterator[tuple[int, list[str]]]:
     """The texts in runs of bounded size (one long text is a run by itself), each with the index of its first; null is empty."""
     run: list[str] = []
     size = at = 0
