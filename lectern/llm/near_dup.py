@@ -19,8 +19,10 @@ THRESHOLD = 0.8
 #: A word in fewer than this share of the documents has the largest inverse document frequency.
 RARE = 1e-3
 TOP = 1.5
-#: At most so many documents of a bucket outside its largest class are compared with every other one by this bucket alone.
+#: Up to so many documents of a bucket outside its largest class are compared with every other one pair by pair; more, in blocks.
 DIRECT = 40
+#: Documents and characters in a block, about.
+BLOCK_DOCS, BLOCK_CHARS = 128, 2_000_000
 _POOL = 1 << 16
 
 
@@ -180,6 +182,63 @@ def _similar(pairs: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFr
     return staged(both.mapInPandas(_verifier(idf, threshold), "a long, b long, similarity double"))
 
 
+def _across(idf, threshold):
+    """Compares the documents of two blocks of a bucket (of one, where both are the same) that are of different classes.
+
+    A pair that shares a band before this one is compared there.
+    """
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        low, high, band = pdf["low"].iloc[0], pdf["high"].iloc[0], pdf["band"].iloc[0]
+        pdf = pdf.sort_values("block", kind="stable")
+        sets = [x for _, run in textkit.chunks(pdf["text"]) for x in weighted_sets(run, idf.value)]
+        ids, block, cls = (pdf[c].to_numpy() for c in ("doc_id", "block", "class"))
+        before = np.array(pdf["bands"].tolist(), dtype=np.int64)[:, :band]
+        vocabulary, at = np.unique(np.concatenate([x for x, _ in sets]), return_inverse=True)
+        weight = np.concatenate([w for _, w in sets])
+        starts = np.concatenate(([0], np.cumsum([len(x) for x, _ in sets])))
+        total = np.add.reduceat(weight, starts[:-1])
+        own = np.zeros(len(vocabulary))
+        out = []
+        for i in np.flatnonzero(block == low):
+            first = i + 1 if low == high else int(np.searchsorted(block, high))
+            wanted = first + np.flatnonzero((cls[first:] != cls[i]) & ~(before[first:] == before[i]).any(axis=1))
+            if not len(wanted):
+                continue
+            mine = slice(starts[i], starts[i + 1])
+            own[at[mine]] = weight[mine]
+            shared = np.add.reduceat(np.minimum(own[at[starts[first]:]], weight[starts[first]:]), starts[first:-1] - starts[first])[wanted - first]
+            own[at[mine]] = 0
+            for j in wanted[shared >= (threshold - 1e-9) * (total[i] + total[wanted] - shared)]:
+                similarity = weighted_jaccard(sets[i], sets[j])
+                if similarity >= threshold:
+                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j]), similarity))
+        return pd.DataFrame(out, columns=["a", "b", "similarity"]).astype({"a": "int64", "b": "int64", "similarity": "float64"})
+    return compare
+
+
+def _similar_across(crowded: DataFrame, classes: DataFrame, signed: DataFrame, docs: DataFrame, idf, threshold: float) -> DataFrame:
+    """All pairs of different classes of the buckets ``(band, key, doc_id)`` whose texts are alike enough.
+
+    The documents outside a bucket's largest class, and those inside it, are dealt into blocks;
+    each block of the first is compared with itself and all others.
+    """
+    known = crowded.join(classes, crowded.doc_id == classes.node, "left").select("band", "key", "doc_id", F.coalesce("component", "doc_id").alias("class"))
+    ids = known.select(F.col("doc_id").alias("id")).distinct()
+    rows = docs.join(ids.hint("merge"), F.col("doc_id") == F.col("id"), "left_semi").select("doc_id", "text", F.length("text").alias("size"))
+    texts = staged(rows.join(signed.select("doc_id", "bands").hint("merge"), "doc_id"))
+    known = staged(known.join(texts.select("doc_id", "size").hint("merge"), "doc_id"))
+    per_class = known.groupBy("band", "key", "class").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    buckets = per_class.groupBy("band", "key").agg(F.max(F.struct("n", "class", "size")).alias("most"), F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("classes")).where("classes > 1")
+    blocks = lambda n, size: F.greatest(F.ceil(n / BLOCK_DOCS), F.ceil(size / BLOCK_CHARS)).cast("int")
+    buckets = staged(buckets.select("band", "key", F.col("most.class").alias("largest"), blocks(F.col("n") - F.col("most.n"), F.col("size") - F.col("most.size")).alias("outside"), blocks(F.col("most.n"), F.col("most.size")).alias("inside")))
+    of = lambda n: F.pmod(F.xxhash64("doc_id"), n).cast("int")
+    is_in = F.col("class") == F.col("largest")
+    placed = known.join(buckets, ["band", "key"]).withColumn("block", F.when(is_in, F.col("outside") + of(F.col("inside"))).otherwise(of(F.col("outside"))))
+    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.when(is_in, F.col("outside")).otherwise(F.col("outside") + F.col("inside")) - 1)))
+    dealt = staged(spread.select("band", "key", "doc_id", "class", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")))
+    return staged(dealt.join(texts.select("doc_id", "text", "bands").hint("merge"), "doc_id").groupBy("band", "key", "low", "high").applyInPandas(_across(idf, threshold), "a long, b long, similarity double"))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Groups documents whose five-word shingle sets, weighted by TF-IDF, have a weighted Jaccard similarity of ``threshold`` or more.
 
@@ -192,8 +251,8 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     Copies are represented by their smallest id. In each band's bucket all
     representatives are compared with the smallest one; where a bucket still
     holds several classes, documents outside its largest class are compared with
-    all of the bucket, or, where they are many, with those that share a second
-    band too. What is joined by a text or class is written first, so that Spark
+    all of the bucket; where they are many, those that share a second band are
+    tied first, and the classes that are left are compared in blocks. What is joined by a text or class is written first, so that Spark
     can split the join of one that has many documents. A null text is like no other; texts without words, the empty one
     among them, are alike only where they are equal. Empty input gives no rows.
     """
@@ -211,10 +270,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     stars = staged(shared.where("doc_id <> leader").select(F.col("leader").alias("a"), F.col("doc_id").alias("b")).distinct())
     links = _similar(stars, docs, idf, threshold)
     classes = staged(components(links))
-    rest = staged(_unresolved(shared, classes).join(stars, ["a", "b"], "left_anti"))
+    known, open_rows = _open(shared, classes)
+    rest = staged(_second_round(known, open_rows).join(stars, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         links = staged(links.union(_similar(rest, docs, idf, threshold)))
         classes = staged(components(links))
+    crowded = open_rows.where(F.col("outside") > DIRECT).select("band", "key", "doc_id")
+    if not crowded.isEmpty():
+        links = staged(links.union(_similar_across(crowded, classes, signed, docs, idf, threshold)))
+        classes = staged(components(links))
     n_links = links.select(F.explode(F.array("a", "b")).alias("rep_id")).groupBy("rep_id").agg(F.count("*").alias("n_links"))
     tied = staged(first.join(classes, first.rep_id == classes.node, "left").join(n_links, "rep_id", "left").select(
         "sha", "rep_id", F.coalesce("component", "rep_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
@@ -223,13 +287,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     return members.join(count, "class_id").select("doc_id", "rep_id", "class_id", "n_links", "class_size", (F.col("doc_id") == F.col("class_id")).alias("keep"))
 
 
-def _unresolved(shared: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs of different classes in a bucket that the comparison with its leader left open."""
+def _open(shared: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of all buckets with their class, and those of buckets of several classes with the largest and the number outside it."""
     known = staged(shared.join(classes, shared.doc_id == classes.node, "left").select("band", "key", "doc_id", F.coalesce("component", "doc_id").alias("class")))
     per_class = known.groupBy("band", "key", "class").agg(F.count("*").alias("n"))
     buckets = per_class.groupBy("band", "key").agg(F.sum("n").alias("n"), F.max_by("class", F.struct("n", "class")).alias("largest"), F.max("n").alias("most"), F.count("*").alias("classes")).where("classes > 1")
     buckets = staged(buckets.withColumn("outside", F.col("n") - F.col("most")).drop("classes", "most", "n"))
-    open_rows = staged(known.join(buckets, ["band", "key"]))
+    return known, staged(known.join(buckets, ["band", "key"]))
+
+
+def _unresolved(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of different classes in a bucket that the comparison with its leader left open; of crowded buckets, a first choice."""
+    return _second_round(*_open(shared, classes))
+
+
+def _second_round(known: DataFrame, open_rows: DataFrame) -> DataFrame:
     few = open_rows.where(F.col("outside") <= DIRECT)
     outside = few.where(F.col("class") != F.col("largest")).select("band", "key", F.col("doc_id").alias("x"), F.col("class").alias("class_x"))
     inside = few.select("band", "key", F.col("doc_id").alias("y"), F.col("class").alias("class_y"))

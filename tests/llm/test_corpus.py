@@ -85,6 +85,40 @@ def test_near_duplicates_link_every_similar_pair(spark):
     assert got == {i: root(i) for i in ids}
 
 
+def test_near_duplicates_link_all_copies_to_an_original_with_a_middle_id(spark):
+    """Copies are like the original, and not like each other."""
+    rng = np.random.default_rng(3)
+    own = [f"w{i}" for i in range(200)]
+    texts = []
+    for k in range(300):
+        words = list(own)
+        for at in rng.choice(40, 3, replace=False) * 5 + 2:
+            words[at] = f"edit{k}x{at}"
+        texts.append(" ".join(words))
+    texts[150] = " ".join(own)
+    docs = table(spark, texts)
+    idf = near_dup.word_idf(docs.select("text"), len(texts))
+    sets = near_dup.weighted_sets(texts, idf)
+    assert all(near_dup.weighted_jaccard(sets[150], x) >= near_dup.THRESHOLD for x in sets)
+    assert near_dup.weighted_jaccard(sets[0], sets[1]) < near_dup.THRESHOLD
+    # each copy misses all ten bands of the original with a probability of at most (1 - 0.8 ** 3) ** 10
+    sizes = Counter(r["class_id"] for r in near_dup.near_duplicates(docs).collect())
+    assert max(sizes.values()) >= 298
+
+
+def test_blocks_compare_every_pair_of_classes(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "BLOCK_DOCS", 4)
+    texts = [" ".join(f"s{i}x{j}" for j in range(60)) for i in range(24)] * 2
+    texts = [t + (f" end{i}" if i >= 24 else "") for i, t in enumerate(texts)]
+    docs = table(spark, texts)
+    signed = spark.createDataFrame([(i, [i + 100, 7]) for i in range(48)], "doc_id long, bands array<long>")
+    crowded = spark.createDataFrame([(1, 7, i) for i in range(48)], "band int, key long, doc_id long")
+    classes = spark.createDataFrame([(i, 0) for i in range(10)], "node long, component long")
+    idf = spark.sparkContext.broadcast(near_dup.word_idf(docs.select("text"), 48))
+    got = near_dup._similar_across(crowded, classes, signed, docs, idf, 0.8).collect()
+    assert sorted((r["a"], r["b"]) for r in got) == [(i, i + 24) for i in range(24)]
+
+
 def test_near_duplicates_odd_rows(spark):
     edited = A.replace("fox", "cat")
     got = rows(near_dup.near_duplicates(table(spark, [A, A, None, "", "", "x", B, None, edited + " " + B, "!!", "??"])))
