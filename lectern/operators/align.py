@@ -111,20 +111,26 @@ def capped(hits: DataFrame, key: str, order: list, most: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(W.partitionBy(key).orderBy(*order))).where(F.col("rank") <= most)
 
 
-def kgram_pairs(a: DataFrame, b: DataFrame, key_a: str, key_b: str, k: int = 5, most_df: int = 200) -> DataFrame:
-    """Pairs of texts that share a run of k characters which at most ``most_df`` texts of a side have, white space aside."""
-    def grams(df, key):
+def kgram_pairs(a: DataFrame, b: DataFrame, key_a: str, key_b: str, k: int = 5, threshold: float = 0.0) -> DataFrame:
+    """Pairs of texts that share a run of k characters, white space aside, and whose lengths allow a ratio of ``threshold``.
+
+    A run in common is met at its first k-gram only: where what stands before differs, or a text begins.
+    """
+    def grams(df, key, side):
         t = T.squeeze("text")
-        spread = df.select(key, F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - k + 1)), lambda i: F.xxhash64(F.substring(t, i, F.lit(k)))))).alias("g"))
-        rare = spread.groupBy("g").agg(F.count("*").alias("n")).where(F.col("n") <= most_df).select("g")
-        return spread.join(rare, "g", "left_semi")
-    return grams(a, key_a).join(grams(b, key_b), "g").select(key_a, key_b).distinct()
+        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - k + 1))
+        of = lambda i: F.struct(F.xxhash64(F.substring(t, i, F.lit(k))).alias("g"), F.when(i > 1, F.substring(t, i - 1, F.lit(1))).otherwise("").alias("before"))
+        spread = df.select(key, F.length("text").alias(f"_n_{side}"), F.explode(F.array_distinct(F.transform(places, of))).alias("_g"))
+        return spread.select(key, f"_n_{side}", F.col("_g.g").alias("g"), F.col("_g.before").alias(f"_p_{side}"))
+    shared = (F.col("_p_a") != F.col("_p_b")) | (F.col("_p_a") == "")
+    near = 2 * F.least("_n_a", "_n_b") >= (threshold - 1e-9) * (F.col("_n_a") + F.col("_n_b"))
+    return grams(a, key_a, "a").join(grams(b, key_b, "b"), "g").where(shared & near).select(key_a, key_b).distinct()
 
 
 def fuzzy_map(a: DataFrame, b: DataFrame, key_a: str, key_b: str, threshold: float, k: int = 5) -> DataFrame:
     """Texts of ``a`` with the texts of ``b`` that are like them, equal ones by an equi-join, others among pairs with a k-gram in common."""
     same = a.select(key_a, "text").join(b.select(key_b, "text"), "text").select(key_a, key_b, F.lit(1.0).alias("score"))
-    pairs = kgram_pairs(a, b, key_a, key_b, k).join(same.select(key_a, key_b), [key_a, key_b], "left_anti")
+    pairs = kgram_pairs(a, b, key_a, key_b, k, threshold).join(same.select(key_a, key_b), [key_a, key_b], "left_anti")
     full = pairs.join(a.select(key_a, F.col("text").alias("_a")), key_a).join(b.select(key_b, F.col("text").alias("_b")), key_b)
     scored = full.select(key_a, key_b, fold.ratio("_a", "_b", F.lit(threshold)).alias("score")).where(F.col("score") >= threshold)
     return same.union(scored)

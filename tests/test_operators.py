@@ -154,6 +154,13 @@ def test_fuzzy_map(spark):
     assert [(x, y) for x, y, _ in got] == [(1, 7), (2, 8)] and got[1][2] == 1.0
 
 
+def test_fuzzy_map_keeps_runs_that_many_texts_have(spark):
+    common = "the quick brown fox jumps over the lazy dog and runs far away from the old grey house"
+    texts = spark.createDataFrame([(i, f"{common} {i:03d}") for i in range(210)], "a int, text string")
+    got = align.fuzzy_map(texts, texts.withColumnRenamed("a", "b"), "a", "b", 0.9, 12).where("a < b")
+    assert got.count() == 210 * 209 // 2
+
+
 def test_stanza_places(spark):
     stanza = spark.createDataFrame([(1, 5, ["one line", "two line"])], "doc_id long, stanza_id long, lines array<string>")
     doc = spark.createDataFrame([(1, ["zero", "one lime", "two line", "end"])], "doc_id long, lines array<string>")
