@@ -15,6 +15,8 @@ WORDS, INNER = 13, 2
 #: The same in characters, for texts up to SHORT and up to TINY characters, which have few words.
 CHARS, INNER_CHARS, SHORT = 8, 3, 400
 TINY_CHARS, TINY_INNER, TINY = 2, 1, 32
+#: A text with more characters than this for each of its words is one without spaces, and has anchors of characters at any length.
+LONG_WORDS = 32
 PER_BUCKET = 2_000
 
 
@@ -67,15 +69,17 @@ def char_anchors(text: Column, chars: int = CHARS, part: int = INNER_CHARS) -> C
 
 
 def anchors(text: Column) -> Column:
-    """Anchors of a text that is not null, in text order: those of words and, for a short text, those of characters. None where it is empty."""
+    """Anchors of a text that is not null, in text order: those of words and, for a text that is short, has few spaces or no anchor of words, those of characters. None only where it is empty."""
     none = F.array().cast("array<struct<pos:int,hash:int>>")
     size = F.length(text)
     few = F.concat(word_anchors(text), char_anchors(text))
-    return F.when(size == 0, none).when(size <= TINY, F.concat(few, char_anchors(text, TINY_CHARS, TINY_INNER))).when(size <= SHORT, few).otherwise(word_anchors(text))
+    spaced = F.size(F.filter(F.split(text, r"\s+"), lambda w: w != "")) * LONG_WORDS >= size
+    long = F.when(spaced, let(word_anchors(text), lambda w: F.when(F.size(w) > 0, w).otherwise(char_anchors(text)))).otherwise(few)
+    return F.when(size == 0, none).when(size <= TINY, F.concat(few, char_anchors(text, TINY_CHARS, TINY_INNER))).when(size <= SHORT, few).otherwise(long)
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Twice the anchors in common by those of both, each counted once; two texts without anchors are alike."""
+    """Twice the anchors in common by those of both, each counted once; two texts without anchors, which are empty, are alike."""
     own = lambda x: F.array_distinct(F.transform(x, lambda s: s["hash"]))
     both = F.struct(own(a).alias("a"), own(b).alias("b"))
     return let(both, lambda x: F.when((F.size(x["a"]) == 0) & (F.size(x["b"]) == 0), F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(x["a"], x["b"])) / (F.size(x["a"]) + F.size(x["b"]))))
