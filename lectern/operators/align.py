@@ -192,7 +192,8 @@ def concordance(pairs: DataFrame, min_overlap: int = 8) -> DataFrame:
                 la, lb = (["".join(c for c in t if c.isalpha()) for t in x] for x in (a, b))
                 own_a, own_b = ([i for i, t in enumerate(x) for _ in t] for x in (la, lb))
                 votes: dict[tuple[int, int], int] = {}
-                for m in difflib.SequenceMatcher(None, "".join(la), "".join(lb), autojunk=False).get_matching_blocks():
+                x, y = "".join(la), "".join(lb)
+                for m in [difflib.Match(0, 0, len(x))] if x == y else difflib.SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks():
                     for k in range(m.size):
                         key = own_a[m.a + k], own_b[m.b + k]
                         votes[key] = votes.get(key, 0) + 1

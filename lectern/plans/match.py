@@ -174,26 +174,27 @@ def e_unique_grams(spark, sf_dir):
 
 @L.add("E15 E16 E24 E17")
 def e_fuzzy_map(spark, sf_dir):
-    docs = _docs(spark, sf_dir).where("n_chars <= 400").select("doc_id", "text")
+    docs = _docs(spark, sf_dir).select("doc_id", "text")
     return align.fuzzy_map(docs, docs.withColumnRenamed("doc_id", "other_id"), "doc_id", "other_id", 0.9, 12).where("doc_id < other_id")
 
 
 @L.add("E18 H30")
 def e_best_windows(spark, sf_dir):
-    docs = _docs(spark, sf_dir).where("n_chars <= 1000")
+    docs = _docs(spark, sf_dir)
     lines = docs.select("doc_id", F.get(F.split("text", "\n"), F.lit(1)).alias("line")).where("line is not null")
     return align.best_windows(lines, docs.select("doc_id", F.col("text").alias("passage")), "doc_id")
 
 
 @L.add("E19")
 def e_concordance(spark, sf_dir):
-    docs = _docs(spark, sf_dir).where("n_chars <= 1500").select(F.col("doc_id").cast("string").alias("work"), F.split("text", "\n").alias("a"), F.split("text", r"(?<=[.])\s").alias("b"))
+    text = F.coalesce("text", F.lit(""))
+    docs = _docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("work"), F.split(text, "\n").alias("a"), F.split(text, r"(?<=[.])\s").alias("b"))
     return align.concordance(docs)
 
 
 @L.add("E20 E31 E35 A48")
 def e_projected_spans(spark, sf_dir):
-    docs = _docs(spark, sf_dir).where("n_chars between 50 and 3000")
+    docs = _docs(spark, sf_dir).withColumn("text", F.coalesce("text", F.lit("")))
     texts = docs.select("doc_id", F.col("text").alias("a"), F.regexp_replace("text", "\n", " — ").alias("b"))
-    return align.projected_spans(docs.select("doc_id", F.lit(10).alias("start"), F.lit(40).alias("end")), texts, "doc_id")
+    return align.projected_spans(docs.select("doc_id", F.least(F.lit(10), F.length("text")).alias("start"), F.least(F.lit(40), F.length("text")).alias("end")), texts, "doc_id")
 

@@ -239,3 +239,13 @@ def test_shapes_and_moves(spark):
     lines = spark.createDataFrame([("n", i, x) for i, x in enumerate(["a", "b", "![[r]]", "", "c"])], "k string, n int, line string")
     moved = layout.moved_up(lines, ["k"], "n", F.col("line").startswith("![["))
     assert [r["line"] for r in moved.orderBy("new_line").collect()] == ["![[r]]", "a", "b", "", "c"]
+
+
+def test_queries_without_sql_read_all_documents(spark, tmp_path):
+    from lectern.plans import match
+    long = " ".join(f"word{i}." for i in range(600))
+    docs = [(1, long + "\nend", None), (2, long + "\nend!", 5000), (3, "x", 1), (4, None, None)]
+    spark.createDataFrame(docs, "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [(r["doc_id"], r["other_id"]) for r in match.e_fuzzy_map(spark, str(tmp_path)).collect()] == [(1, 2)]
+    assert {r["work"] for r in match.e_concordance(spark, str(tmp_path)).collect()} == {"1", "2", "3"}
+    assert {(r["doc_id"], r["end"]) for r in match.e_projected_spans(spark, str(tmp_path)).collect()} == {(1, 40), (2, 40), (3, 1), (4, 0)}
