@@ -137,13 +137,18 @@ def fuzzy_map(a: DataFrame, b: DataFrame, key_a: str, key_b: str, threshold: flo
 
 
 def best_windows(queries: DataFrame, texts: DataFrame, on: str) -> DataFrame:
-    """Of the runs of about a line's syllables in a passage the one most like it: ``(line, passage)`` by ``on``."""
+    """Of the runs of about a line's syllables in a passage the one most like it: ``(line, passage)`` by ``on``; other columns of the queries stay."""
+    extra = [c for c in queries.columns if c not in (on, "line")]
+
     def find(batches):
         for pdf in batches:
             rows = []
-            for key, line, passage in zip(pdf[on], pdf["line"], pdf["passage"], strict=True):
+            for key, line, passage, *more in zip(pdf[on], pdf["line"], pdf["passage"], *(pdf[c] for c in extra), strict=True):
                 want, have = (line or "").split(), (passage or "").split()
                 best = (0.0, "")
+                if want and f" {' '.join(want)} " in f" {' '.join(have)} ":
+                    rows.append((key, *more, line, 1.0, " ".join(want)))
+                    continue
                 for n in range(max(1, len(want) - 1), len(want) + 2):
                     for i in range(len(have) - n + 1):
                         window = " ".join(have[i:i + n])
@@ -155,10 +160,10 @@ def best_windows(queries: DataFrame, texts: DataFrame, on: str) -> DataFrame:
                             best = (score, window)
                     if best[0] == 1.0:
                         break
-                rows.append((key, line, *best))
-            yield pd.DataFrame(rows, columns=[on, "line", "score", "window"])
-    kind = dict(queries.dtypes)[on]
-    return queries.join(texts, on).select(on, "line", "passage").mapInPandas(find, f"{on} {kind}, line string, score double, window string")
+                rows.append((key, *more, line, *best))
+            yield pd.DataFrame(rows, columns=[on, *extra, "line", "score", "window"])
+    kinds = ", ".join(f"{c} {dict(queries.dtypes)[c]}" for c in (on, *extra))
+    return queries.join(texts, on).select(on, *extra, "line", "passage").mapInPandas(find, f"{kinds}, line string, score double, window string")
 
 
 def stanza_places(stanzas: DataFrame, docs: DataFrame, threshold: float = 0.8) -> DataFrame:

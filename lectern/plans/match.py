@@ -181,7 +181,7 @@ def e_fuzzy_map(spark, sf_dir):
 @L.add("E18 H30")
 def e_best_windows(spark, sf_dir):
     docs = _docs(spark, sf_dir)
-    lines = docs.select("doc_id", F.get(F.split("text", "\n"), F.lit(1)).alias("line")).where("line is not null")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)
     return align.best_windows(lines, docs.select("doc_id", F.col("text").alias("passage")), "doc_id")
 
 

@@ -249,3 +249,11 @@ def test_queries_without_sql_read_all_documents(spark, tmp_path):
     assert [(r["doc_id"], r["other_id"]) for r in match.e_fuzzy_map(spark, str(tmp_path)).collect()] == [(1, 2)]
     assert {r["work"] for r in match.e_concordance(spark, str(tmp_path)).collect()} == {"1", "2", "3"}
     assert {(r["doc_id"], r["end"]) for r in match.e_projected_spans(spark, str(tmp_path)).collect()} == {(1, 40), (2, 40), (3, 1), (4, 0)}
+
+
+def test_best_windows_query_searches_every_line(spark, tmp_path):
+    from lectern.plans import match
+    docs = [(1, "one line", None), (2, "first words here\nsecond words\nthird", 5000)]
+    spark.createDataFrame(docs, "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {(r["doc_id"], r["line_no"], r["window"], r["score"]) for r in match.e_best_windows(spark, str(tmp_path)).collect()}
+    assert got == {(1, 1, "one line", 1.0), (2, 1, "first words here", 1.0), (2, 2, "second words", 1.0), (2, 3, "third", 1.0)}
