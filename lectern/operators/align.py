@@ -166,22 +166,55 @@ def best_windows(queries: DataFrame, texts: DataFrame, on: str) -> DataFrame:
     return queries.join(texts, on).select(on, *extra, "line", "passage").mapInPandas(find, f"{kinds}, line string, score double, window string")
 
 
-def stanza_places(stanzas: DataFrame, docs: DataFrame, threshold: float = 0.8) -> DataFrame:
-    """Where each stanza's lines stand in a document: best place first, places taken once; ``(doc_id, stanza_id, lines)`` and ``(doc_id, lines)``."""
+#: How a line begins that closes a quoted stanza, without its marks.
+CLOSERS = ("zespa ni", "cespani", "zesgsung")
+
+
+def _same_line(x: str, y: str) -> bool:
+    return bool(x and y) and (x == y or (len(x) >= 8 and x in y) or fold.similarity(x, y, 0.8) >= 0.8)
+
+
+def stanza_span(lines: list[str], doc: list[str], start: int, closers: tuple[str, ...] = CLOSERS) -> tuple[int, int]:
+    """Lines of a stanza that a document has from ``start`` on, and how many of the document's lines they take; (0, 0) if too few.
+
+    One line of the document may hold the whole stanza. Else lines go with
+    lines up to the second that differs, and half of them, two at least, must
+    be alike; one is enough before a closing line.
+    """
+    whole = "".join(lines)
+    if whole and (whole == doc[start] or fold.similarity(whole, doc[start], 0.78) >= 0.78):
+        return len(lines), 1
+    alike = [_same_line(x, y) for x, y in zip(lines, doc[start:], strict=False)]
+    misses = [i for i, same in enumerate(alike) if not same]
+    reach = misses[1] if len(misses) > 1 else len(alike)
+    matched = sum(alike[:reach])
+    closed = matched > 0 and start + reach < len(doc) and doc[start + reach].startswith(closers)
+    return (matched, reach) if matched >= max(2, -(-len(lines) // 2)) or closed else (0, 0)
+
+
+def stanza_places(stanzas: DataFrame, docs: DataFrame) -> DataFrame:
+    """Where each stanza stands in a document: the place with most of its lines, the first of several, each line of the document taken once.
+
+    Takes ``(doc_id, stanza_id, lines)`` and ``(doc_id, lines)``, lines without
+    marks. Places to look at are those where a line of the document begins with
+    the first five characters of a line of the stanza, or of the whole stanza,
+    with or without the very first.
+    """
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, taken = [], set()
+        out, taken, at = [], set(), {}
+        for i, line in enumerate(pdf["doc_lines"].iloc[0] if len(pdf) else ()):
+            if len(line) >= 5:
+                at.setdefault(line[1:6], set()).add(i)
+                at.setdefault(line[:5], set()).add(i)
         for r in pdf.sort_values("stanza_id").itertuples():
-            best = None
-            for start in range(len(r.doc_lines) - len(r.lines) + 1):
-                span = range(start, start + len(r.lines))
-                if taken.intersection(span):
-                    continue
-                hit = sum(x == y or (len(x) >= 8 and x in y) or fold.similarity(x, y, threshold) >= threshold for x, y in zip(r.lines, r.doc_lines[start:], strict=False))
-                if hit and (best is None or (hit, -start) > best):
-                    best = (hit, -start)
-            if best and best[0] / len(r.lines) >= 0.78:
-                taken.update(range(-best[1], -best[1] + len(r.lines)))
-                out.append((r.doc_id, r.stanza_id, -best[1], best[0]))
+            lines, doc = list(r.lines), list(r.doc_lines)
+            probes = [(k, x) for k, x in [*enumerate(lines), (0, "".join(lines))] if len(x) >= 5]
+            starts = {i - k for k, x in probes for g in (x[:5], x[1:6]) for i in at.get(g, ())}
+            found = [(matched, -start, reach) for start in starts if start >= 0 and start not in taken for matched, reach in [stanza_span(lines, doc, start)] if matched and not taken.intersection(range(start, start + reach))]
+            if found:
+                matched, start, reach = max(found)
+                taken.update(range(-start, reach - start))
+                out.append((r.doc_id, r.stanza_id, -start, matched))
         return pd.DataFrame(out, columns=["doc_id", "stanza_id", "start_line", "matched"])
     joined = stanzas.join(docs.select("doc_id", F.col("lines").alias("doc_lines")), "doc_id")
     return joined.groupBy("doc_id").applyInPandas(place, "doc_id long, stanza_id long, start_line int, matched int")

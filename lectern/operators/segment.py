@@ -91,15 +91,19 @@ def merged_short(pieces: list[str], least: int, most: int) -> list[str]:
     return ["".join(parts) for parts, _ in out]
 
 
-def halved(text: str, most: int) -> list[str]:
-    """A long text cut at the break nearest its middle, between a fifth and 85 % of it, and its parts again."""
-    if syllable_size(text) <= most:
-        return [text]
-    ends = [m.end() for m in re.finditer(r"།\s*|[.!?;,:]\s+|\s+|་", text) if 0.2 * len(text) <= m.end() <= 0.85 * len(text)]
+def halved(text: str, least: int = 800, at: str = r"།\s*།") -> list[str]:
+    """A text of ``least`` characters or more cut at the double mark nearest its middle, and its parts again.
+
+    A cut lies strictly between a fifth and 85 % of the text, just after the
+    mark; white space around it goes. A text without such a mark stays whole.
+    """
+    n = len(text)
+    ends = [m.end() for m in re.finditer(at, text) if n / 5 < m.end() < 0.85 * n] if n >= least else []
     if not ends:
         return [text]
-    at = min(ends, key=lambda e: (abs(e - len(text) / 2), e))
-    return halved(text[:at], most) + halved(text[at:], most)
+    cut = min(ends, key=lambda e: abs(e - n / 2))
+    parts = text[:cut].rstrip(), text[cut:].lstrip()
+    return [x for part in parts for x in halved(part, least, at)] if all(parts) else [text]
 
 
 def at_connectors(text: str, most: int, connectors=("and", "but", "or", "because", "དང་", "ནས", "སྟེ")) -> list[str]:

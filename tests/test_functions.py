@@ -83,6 +83,7 @@ def test_alignment_functions():
     a = "x" + "abcdefghijklmnop" + "qrstuvwxyz0123456789"
     assert fold.project(a, "__" + a[1:], [1, 17])[0] == 2
     assert fold.locate_letters("A, bcd efg", "cd e") == 2 and fold.locate_letters("abc", "zzz") == -1
+    assert fold.letter_span("xx abcdefgh ijkl mnop yy", "abcdefgh mnop") is None and fold.letter_span("xx abcdefgh ij mnopqrst yy", "abcdefghmnopqrst") == (2, 20)  # by its ends
     assert fold.align_outline(["alpha", "beta"], ["noise", "alpha", "betas"]) == [(0, 1), (1, 2)]
     chain = fold.anchor_chain("abcdefgh12345678", "zzabcdefgh__12345678", 4)
     assert chain[0] == (0, 2) and chain[-1] == (12, 16)

