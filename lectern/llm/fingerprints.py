@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from lectern.llm.staging import staged, table
 
-#: Words in a k-mer and in its inner substrings.
-WORDS, INNER = 13, 2
-#: The same in characters, for texts up to SHORT and up to TINY characters, which have few words.
-CHARS, INNER_CHARS, SHORT = 8, 3, 400
-TINY_CHARS, TINY_INNER, TINY = 2, 1, 32
-#: A text with more characters than this for each of its words is one without spaces, and has anchors of characters at any length.
-LONG_WORDS = 32
+#: Pieces in a k-mer and in its inner substrings.
+PIECES, INNER = 9, 2
+#: Inner substrings in a k-mer, and ends added on each side of a text.
+MANY, ENDS = PIECES - INNER + 1, PIECES - 2
+#: A word is cut into pieces of up to so many characters from its start on.
+PIECE = 4
+#: From this character on in a run without spaces each is a piece by itself.
+RUN = 32
+#: Letters of scripts that put no spaces between words, each a piece by itself.
+UNSPACED = r"\u0E00-\u0FFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u9FFF\uF900-\uFAFF\x{20000}-\x{3FFFF}"
 PER_BUCKET = 2_000
+_TOP = 2 ** 31 - 1
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -25,75 +29,102 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _closed(inner: Column, at: Column, many: int) -> Column:
-    """Whether the least of ``many`` inner hashes from ``at`` on is the first or the last; ties go to the first in the text."""
-    first = last = None
-    for i in range(1, many):
-        ahead = inner[at] <= inner[at + i]
-        behind = inner[at + many - 1] < inner[at + many - 1 - i]
-        first = ahead if first is None else first & ahead
-        last = behind if last is None else last & behind
-    return first | last
+def pieces(text: Column) -> Column:
+    """The pieces of a text, by one rule at every length.
 
-
-def _positions(size: Column) -> Column:
-    return F.when(size > 0, F.sequence(F.lit(0), size - 1)).otherwise(F.array().cast("array<int>"))
+    Words are cut from their start on into four characters each; a letter of a
+    script without spaces, and every character beyond the 32nd of a run without
+    spaces, is a piece by itself, so an insertion moves no cut further on.
+    """
+    spaced = F.when(F.rlike(text, F.lit(rf"\S{{{RUN + 1}}}")), F.regexp_replace(text, rf"(?<=\S{{{RUN}}})\S", " $0")).otherwise(text)
+    mixed = F.regexp_extract_all(spaced, F.lit(rf"[{UNSPACED}]|[^\s{UNSPACED}]{{1,{PIECE}}}"), F.lit(0))
+    return F.when(F.rlike(text, F.lit(f"[{UNSPACED}]")), mixed).otherwise(F.regexp_extract_all(spaced, F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0)))
 
 
-def word_anchors(text: Column) -> Column:
-    """``array<struct<pos, hash>>``: the closed syncmers of 13 words whose least inner pair of words is its first or last; ``pos`` counts words."""
-    many = WORDS - INNER + 1
-    words = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    hashed = F.transform(words, lambda w: F.hash(w))
+def packed_anchors(text: Column) -> Column:
+    """The closed syncmers of a text in its order, each ``hash * 2 ** 32 + pos + ENDS`` as one ``long``.
 
-    def anchors(pairs: Column) -> Column:
-        kept = F.filter(_positions(F.size(pairs) - many + 1), lambda i: _closed(pairs, i, many))
-        covered = [*range(0, many, INNER), *([many - 1] if (many - 1) % INNER else [])]
-        return F.transform(kept, lambda i: F.struct(i.alias("pos"), F.hash(*(pairs[i + j] for j in covered)).alias("hash")))
+    The text's pieces stand between ends of ``ENDS`` marks. A k-mer is an anchor
+    if the least hash of its inner pairs of pieces is that of its first or last
+    pair; pairs of marks have the greatest. Of any ``PIECES - INNER`` k-mers in
+    a row one is an anchor, so every text with a piece has one; a text of white
+    space alone is an anchor as a whole.
+    """
+    mark = lambda n: F.hash(F.lit(n))
+    marks = F.array_repeat(F.lit(_TOP), ENDS - 1)
 
-    return let(hashed, lambda h: let(F.transform(_positions(F.size(h) - 1), lambda i: F.hash(h[i], h[i + 1])), anchors))
+    def pairs(h: Column) -> Column:
+        n = F.size(h)
+        own = F.transform(h, lambda x, i: F.when(i == n - 1, F.hash(x, mark(2))).otherwise(F.hash(x, h[i + 1])))
+        return F.concat(marks, F.array(F.hash(mark(1), h[0])), own, marks)
 
+    def chosen(p: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(p) - MANY), lambda i: F.least(p[i], p[i + MANY - 1]) <= F.array_min(F.slice(p, i + 1, MANY)))
+        covered = [*range(0, MANY, INNER), *([MANY - 1] if (MANY - 1) % INNER else [])]
+        return F.transform(at, lambda i: F.shiftleft(F.hash(*(p[i + j] for j in covered)).cast("long"), 32) + i)
 
-def char_anchors(text: Column, chars: int = CHARS, part: int = INNER_CHARS) -> Column:
-    """The same over characters; a text shorter than a k-mer is an anchor as a whole."""
-    many = chars - part + 1
-    size = F.length(text)
+    found = let(F.transform(pieces(text), lambda w: F.hash(w)), lambda h: F.when(F.size(h) > 0, let(pairs(h), chosen)))
+    blank = F.array(F.shiftleft(F.hash(text).cast("long"), 32))
+    return F.when(text == "", F.array().cast("array<bigint>")).otherwise(F.coalesce(found, blank))
 
-    def anchors(inner: Column) -> Column:
-        kept = F.filter(_positions(size - chars + 1), lambda i: _closed(inner, i, many))
-        return F.transform(kept, lambda i: F.struct(i.alias("pos"), F.hash(F.substring(text, i + 1, F.lit(chars))).alias("hash")))
 
-    inner = F.transform(_positions(size - part + 1), lambda i: F.hash(F.substring(text, i + 1, F.lit(part))))
-    whole = F.array(F.struct(F.lit(0).alias("pos"), F.hash(text).alias("hash")))
-    return F.when(size < chars, whole).otherwise(let(inner, anchors))
+def unpacked(found: Column) -> Column:
+    """``array<struct<pos, hash>>``; ``pos`` counts pieces, and is below 0 for an anchor that begins before the text's first."""
+    return F.transform(found, lambda x: F.struct((x.bitwiseAND(F.lit(0xFFFFFFFF)) - ENDS).cast("int").alias("pos"), F.shiftright(x, 32).cast("int").alias("hash")))
 
 
 def anchors(text: Column) -> Column:
-    """Anchors of a text that is not null, in text order: those of words and, for a text that is short, has few spaces or no anchor of words, those of characters. None only where it is empty."""
-    none = F.array().cast("array<struct<pos:int,hash:int>>")
-    size = F.length(text)
-    few = F.concat(word_anchors(text), char_anchors(text))
-    spaced = F.size(F.filter(F.split(text, r"\s+"), lambda w: w != "")) * LONG_WORDS >= size
-    long = F.when(spaced, let(word_anchors(text), lambda w: F.when(F.size(w) > 0, w).otherwise(char_anchors(text)))).otherwise(few)
-    return F.when(size == 0, none).when(size <= TINY, F.concat(few, char_anchors(text, TINY_CHARS, TINY_INNER))).when(size <= SHORT, few).otherwise(long)
+    """`packed_anchors`, `unpacked`."""
+    return unpacked(packed_anchors(text))
+
+
+def matches(a: Column, b: Column) -> Column:
+    """``array<struct<pos_a, pos_b>>`` of two arrays of packed anchors: where the anchors of ``a``, each at its first place, stand first in ``b``; by rising ``pos_a``.
+
+    Both sides are sorted by hash, side and place as one array of numbers, where an anchor of
+    both stands beside its match, so the work grows as that of a sort.
+    """
+    side = 2 ** 31
+    low = lambda x: x.bitwiseAND(F.lit(side - 1))
+    same = lambda x, y: F.shiftright(x, 32) == F.shiftright(y, 32)
+    both = lambda: F.sort_array(F.concat(a, F.transform(b, lambda x: x + F.lit(side))))
+    of_b = lambda x: x.bitwiseAND(F.lit(side)) != 0
+
+    def firsts(s: Column) -> Column:
+        return F.filter(s, lambda x, i: (i == 0) | ~same(x, s[i - 1]) | (of_b(x) & ~of_b(s[i - 1])))
+
+    def beside(s: Column) -> Column:
+        hit = F.filter(F.sequence(F.lit(1), F.size(s) - 1), lambda i: of_b(s[i]) & same(s[i], s[i - 1]))
+        return F.array_sort(F.transform(hit, lambda i: F.struct((low(s[i - 1]) - ENDS).cast("int").alias("pos_a"), (low(s[i]) - ENDS).cast("int").alias("pos_b"))))
+
+    none = F.array().cast("array<struct<pos_a:int,pos_b:int>>")
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), none).otherwise(let(let(both(), firsts), lambda s: F.when(F.size(s) < 2, none).otherwise(beside(s))))
+
+
+def _distinct(a: Column) -> Column:
+    return let(F.sort_array(a), lambda s: F.size(F.filter(s, lambda x, i: (i == 0) | (F.shiftright(x, 32) != F.shiftright(s[i - 1], 32)))))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Twice the anchors in common by those of both, each counted once; two texts without anchors, which are empty, are alike."""
-    own = lambda x: F.array_distinct(F.transform(x, lambda s: s["hash"]))
-    both = F.struct(own(a).alias("a"), own(b).alias("b"))
-    return let(both, lambda x: F.when((F.size(x["a"]) == 0) & (F.size(x["b"]) == 0), F.lit(1.0)).otherwise(2.0 * F.size(F.array_intersect(x["a"], x["b"])) / (F.size(x["a"]) + F.size(x["b"]))))
+    """Twice the anchors that stand in place in both, by the distinct anchors of both; 1 for two empty texts, 0 for one.
 
+    A `matches` entry stands in place if its displacement is that of the entry
+    before or after it, or none, or that of the texts' ends; an anchor that the
+    texts have at places unrelated to their neighbours' says nothing.
+    """
+    def held(m: Column) -> Column:
+        shift = lambda i: m[i]["pos_b"] - m[i]["pos_a"]
+        end = F.greatest(F.element_at(b, -1).bitwiseAND(F.lit(2 ** 31 - 1)), F.lit(0)) - F.greatest(F.element_at(a, -1).bitwiseAND(F.lit(2 ** 31 - 1)), F.lit(0))
+        last = F.size(m) - 1
+        stands = lambda i: (shift(i) == 0) | (shift(i) == end) | ((i > 0) & (shift(i) == shift(F.greatest(i - 1, F.lit(0))))) | ((i < last) & (shift(i) == shift(F.least(i + 1, last))))
+        return F.when(F.size(m) == 0, F.lit(0)).otherwise(F.size(F.filter(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), stands)))
 
-def matches(a: Column, b: Column) -> Column:
-    """``array<struct<pos_a, pos_b>>``: where the anchors of ``a`` stand in ``b``, each at its first place there."""
-    place = F.map_from_entries(F.transform(F.array_distinct(F.transform(b, lambda s: s["hash"])), lambda h: F.struct(h, F.element_at(F.filter(b, lambda s: s["hash"] == h), 1)["pos"])))
-    return let(place, lambda m: F.transform(F.filter(a, lambda s: F.map_contains_key(m, s["hash"])), lambda s: F.struct(s["pos"].alias("pos_a"), m[s["hash"]].alias("pos_b"))))
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), F.lit(1.0)).otherwise(2.0 * let(matches(a, b), held) / (_distinct(a) + _distinct(b)))
 
 
 def written(found: Column) -> Column:
-    """The anchors' hashes in text order, eight hex digits each."""
-    return F.array_join(F.transform(found, lambda s: F.lpad(F.hex(s["hash"].cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
+    """The hashes of packed anchors in text order, eight hex digits each."""
+    return F.array_join(F.transform(found, lambda x: F.substring(F.hex(F.shiftrightunsigned(x, 32) + F.lit(1 << 32)), -8, 8)), "")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -101,7 +132,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 
     Takes ``doc_id`` and ``text``; other columns are ignored. Equal texts have
     equal anchors. A null text is taken as empty, and an empty one has no
-    anchors. Repeated rows stay; an empty table gives no rows.
+    anchors; every other text has one at least. Repeated rows stay; an empty
+    table gives no rows.
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
@@ -139,10 +171,10 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def op7_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    pairs = with_next(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")), ["text"])
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    pairs = with_next(docs.withColumn("own", packed_anchors(F.col("text"))), ["text", "own"])
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     pairs = pairs.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half)))
-    found = pairs.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), anchors(F.col("text")).alias("own"), anchors(F.col("edited")).alias("changed"), anchors(F.col("next_text")).alias("next"))
+    found = pairs.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "own", packed_anchors(F.col("edited")).alias("changed"), F.col("next_own").alias("next"))
     return found.select("doc_id", "n_chars", "edited_sha256", written(F.col("own")).alias("fingerprint"), written(F.col("changed")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("changed")).alias("near_edited"), likeness(F.col("own"), F.col("next")).alias("near_next"))
