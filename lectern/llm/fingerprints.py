@@ -12,7 +12,7 @@ from lectern.llm.staging import staged, table
 
 #: Pieces in a k-mer and in its inner substrings.
 PIECES, INNER = 9, 2
-#: Inner substrings in a k-mer, and ends added on each side of a text.
+#: Inner substrings in a k-mer, a power of two, and ends added on each side of a text.
 MANY, ENDS = PIECES - INNER + 1, PIECES - 2
 #: A word is cut into pieces of up to so many characters from its start on.
 PIECE = 4
@@ -41,6 +41,16 @@ def pieces(text: Column) -> Column:
     return F.when(F.rlike(text, F.lit(f"[{UNSPACED}]")), mixed).otherwise(F.regexp_extract_all(spaced, F.lit(rf"\S{{1,{PIECE}}}"), F.lit(0)))
 
 
+def _least_ahead(values: Column) -> Column:
+    """The least of each value and the ``MANY - 1`` after it, by doubling the stretch that is looked at (fewer values at the end)."""
+    ahead = lambda v, n: F.transform(v, lambda x, i: F.least(x, F.get(v, i + n)))
+
+    def doubled(v: Column, n: int) -> Column:
+        return v if n == MANY else let(ahead(v, n), lambda w: doubled(w, 2 * n))
+
+    return doubled(values, 1)
+
+
 def packed_anchors(text: Column) -> Column:
     """The closed syncmers of a text in its order, each ``hash * 2 ** 32 + pos + ENDS`` as one ``long``.
 
@@ -59,7 +69,10 @@ def packed_anchors(text: Column) -> Column:
         return F.concat(marks, F.array(F.hash(mark(1), h[0])), own, marks)
 
     def chosen(p: Column) -> Column:
-        at = F.filter(F.sequence(F.lit(0), F.size(p) - MANY), lambda i: F.least(p[i], p[i + MANY - 1]) <= F.array_min(F.slice(p, i + 1, MANY)))
+        return let(_least_ahead(p), lambda least: _anchored(p, least))
+
+    def _anchored(p: Column, least: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(p) - MANY), lambda i: F.least(p[i], p[i + MANY - 1]) <= least[i])
         covered = [*range(0, MANY, INNER), *([MANY - 1] if (MANY - 1) % INNER else [])]
         return F.transform(at, lambda i: F.shiftleft(F.hash(*(p[i + j] for j in covered)).cast("long"), 32) + i)
 
@@ -140,9 +153,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "text", F.length("text").cast("long").alias("n_chars"), anchors(F.col("text")).alias("anchors"))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
+def with_next(docs: DataFrame, columns: list[str], made: dict[str, Column] | None = None) -> DataFrame:
     """Adds ``next_<column>`` of the next document by rising ``doc_id``; the first follows the last, rows of one id follow each other.
 
+    ``made`` are columns to add to the rows first, once they are dealt out, so that they are not shuffled.
+
     Rows go to ranges of ids of about ``PER_BUCKET`` rows, and the first row of
     each range also to the range before, so the order costs one shuffle and no
     task sees all rows. A null id comes before all others.
@@ -164,7 +179,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     heads = staged(counts.select("head", F.coalesce(before, F.lit(last).cast("long")).alias("to")))
     rows = docs.withColumn("_key", key)
     tails = rows.join(heads, rows["_key"] == heads["head"]).drop("head").withColumnRenamed("to", "_bucket").withColumn("_tail", F.lit(1))
-    both = rows.withColumn("_bucket", place).withColumn("_tail", F.lit(0)).unionByName(tails)
+    both = rows.withColumn("_bucket", place).withColumn("_tail", F.lit(0)).unionByName(tails).repartition("_bucket").withColumns(made or {})
     window = W.partitionBy("_bucket").orderBy("_tail", "_key")
     ahead = both.withColumns({f"next_{c}": F.lead(c).over(window) for c in columns})
     return ahead.where("_tail = 0").drop("_bucket", "_tail", "_key")
@@ -172,7 +187,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def op7_syncmer_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    pairs = with_next(docs.withColumn("own", packed_anchors(F.col("text"))), ["text", "own"])
+    pairs = with_next(docs, ["text", "own"], {"own": packed_anchors(F.col("text"))})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     pairs = pairs.withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next_text"), F.lit(1), half)))

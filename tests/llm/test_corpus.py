@@ -404,7 +404,7 @@ def test_wrapper_drops_constant_slots_and_boilerplate(spark, monkeypatch):
     ("<article><p>cut sh", "cut sh"), ("<p>a<script>var x='<p>no';</script><style>p{}</style><!-- c --><p hidden>h<p>b", "a b"), ("plain &amp; text", "plain & text"), ("<p title=\"a>b\">t</p><p title='x>q</p>", "t q"),
 ])
 def test_main_text_of_odd_pages(source, want):
-    assert pages.main_text(pages.parse(source), set()) == want
+    assert pages.main_text(pages.parse(source)) == want
 
 
 def test_simple_tree_matching_keeps_order():

@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lectern.llm import contamination, fingerprints, secrets
+from lectern.llm import contamination, fingerprints, licenses, pages, personal_data, secrets, shards
 from tests.llm.test_corpus import DOCS, rows, shingle_set, table
 
 
@@ -146,7 +146,7 @@ def test_likeness_at_all_lengths_and_scripts(spark):
     han = lambda n: "".join(chr(c) for c in rng.integers(0x4E00, 0x9FA0, n))
     prose = lambda n: " ".join("".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(n))
     first, long, short = han(600), prose(600), prose(90)
-    pairs = [(han(600), han(600), 0, 0.05), (first, "前" + first, 0.95, 1), (long, "some more words " + long, 0.95, 1), (short[:398], short[:401], 0.85, 1), (short[:31], short[:34], 0.3, 1), ("", "", 1, 1), ("", "a", 0, 0), ("a", "b", 0, 0), (" ", "\t\t", 0, 0), (long, prose(600), 0, 0.05), (long, long[:2000] + prose(300), 0.4, 0.8)]
+    pairs = [(han(600), han(600), 0, 0.05), (first, "前" + first, 0.95, 1), (long, "some more words " + long, 0.95, 1), (short[:398], short[:401], 0.85, 1), (short[:31], short[:34], 0, 1), ("", "", 1, 1), ("", "a", 0, 0), ("a", "b", 0, 0), (" ", "\t\t", 0, 0), (long, prose(600), 0, 0.05), (long, long[:2000] + prose(300), 0.4, 0.8)]
     token = "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz0123456789"), 5000))
     pairs += [(token, "zz" + token, 0.95, 1), (token, token[::-1], 0, 0.05)]
     df = spark.createDataFrame([(i, a, b) for i, (a, b, _, _) in enumerate(pairs)], "i int, a string, b string")
@@ -155,3 +155,210 @@ def test_likeness_at_all_lengths_and_scripts(spark):
         assert pairs[r["i"]][2] <= r["x"] <= pairs[r["i"]][3] and abs(r["x"] - r["y"]) < 0.05, (pairs[r["i"]][0][:30], r["x"])
         if r["i"] == 2:
             assert {m["pos_b"] - m["pos_a"] for m in r["m"] if m["pos_a"] >= 0} == {4}
+
+
+# pages
+
+NEUTRAL = "<html><body><div class=a><div>{nav}</div><div>Our own site since 1990</div></div><div class=b><div class=c><h2>T{i}</h2><p>{first}</p><p>{second}</p><p>" + "This notice stands on every page of the site and is rather long. " * 8 + "</p></div><div class=d>{side}</div></div><div class=e>All of it is ours {i}</div></body></html>"
+
+
+def prose(rng, n):
+    return " ".join("".join(rng.choice(list("abcdefghij"), rng.integers(2, 9))) for _ in range(n))
+
+
+def test_wrappers_find_the_content_without_telling_names(spark):
+    rng = np.random.default_rng(9)
+    data, want = [], {}
+    for i in range(12):
+        first, second = prose(rng, 60), prose(rng, 80)
+        data.append((i, f"http://n.example.org/{i}", NEUTRAL.format(i=i, nav=prose(rng, 3), side=prose(rng, 4), first=first, second=second)))
+        want[i] = f"T{i} {first} {second}"
+    source = spark.createDataFrame(data, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in pages.extract(source).collect()}
+    assert got == want
+    assert all(pages.main_text(pages.parse(h)) != want[i] for i, _, h in data)  # the wrapper decides
+
+
+def test_constant_blocks_among_varying_siblings_are_template(spark):
+    page = "<main><p>One {0} of a kind and more</p><p>Read our terms</p><p>Two {0} of another</p></main>"
+    source = spark.createDataFrame([(i, "http://c.example.org/x", page.format(i)) for i in range(5)], "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in pages.extract(source).collect()} == {i: f"One {i} of a kind and more Two {i} of another" for i in range(5)}
+
+
+def test_copied_articles_stay(spark):
+    """A group of copies on a host, and pages that are the same everywhere, are no template."""
+    page = "<div class=x><h1>T{0}</h1><p>Story {0} is long and good</p></div>"
+    data = [(i, "http://a.example.org/", page.format(0 if i < 4 else i)) for i in range(12)] + [(20 + i, "http://b.example.org/", page.format(7)) for i in range(5)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == f"T{n} Story {n} is long and good" for i, n in [(0, 0), (3, 0), (5, 5), (11, 11), (20, 7), (24, 7)])
+
+
+def test_deep_and_wide_pages(spark):
+    deep, wide = "<div>" * 3000 + "x{0} text" + "</div>" * 3000, "<ul>" + "".join(f"<div class=c>item {i} {{0}}</div><section>b</section>" for i in range(1500)) + "</ul>"
+    data = [(i, "http://d.example.org/", deep.format(i)) for i in range(4)] + [(10 + i, "http://w.example.org/", wide.format(i)) for i in range(4)]
+    got = {r["page_id"]: r["text"] for r in pages.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert got[2] == "x2 text" and got[12].startswith("item 0 2 item 1 2")
+
+
+def plain_matching(a, b):
+    """Size of a largest matching, by the textbook recursion."""
+    def kids(t, x):
+        return [i for i, (p, _) in enumerate(t) if p == x]
+
+    def match(x, y):
+        if a[x][1] != b[y][1]:
+            return 0
+        left, right = kids(a, x), kids(b, y)
+        m = np.zeros((len(left) + 1, len(right) + 1), int)
+        for i, u in enumerate(left):
+            for j, v in enumerate(right):
+                m[i + 1, j + 1] = max(m[i, j + 1], m[i + 1, j], m[i, j] + match(u, v))
+        return int(m[-1, -1]) + 1
+    return match(0, 0)
+
+
+@settings(deadline=None, max_examples=200)
+@given(*[st.lists(st.tuples(st.integers(0, 30), st.sampled_from("xyz")), max_size=9)] * 2)
+def test_matching_is_a_largest_one(left, right):
+    a, b = (((-1, "r"), *((at % (i + 1), name) for i, (at, name) in enumerate(t))) for t in (left, right))
+    got = pages.simple_tree_matching(a, b)
+    assert len(got) == plain_matching(a, b) and len(set(got.values())) == len(got)
+    assert all(a[x][1] == b[y][1] and (x == 0 or got[a[x][0]] == b[y][0]) for x, y in got.items())
+    order = sorted(got)
+    assert all(not (a[x][0] == a[u][0] and got[x] > got[u]) for i, x in enumerate(order) for u in order[i + 1:])
+
+
+# licences
+
+def plain_lcs(a, b):
+    m = np.zeros((len(a) + 1, len(b) + 1), int)
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            m[i + 1, j + 1] = m[i, j] + 1 if x == y else max(m[i, j + 1], m[i + 1, j])
+    return int(m[-1, -1])
+
+
+def test_notices_over_the_table_by_brute_force(spark):
+    """Every stretch of every text that has the words of a one-sentence notice in order, by a longest common subsequence."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    got = {r["doc_id"]: set(r["licenses"].split(",")) - {""} for r in licenses.license_notices(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()}
+    short = [(n, re.findall(r"\w+", t.lower())) for n, t in licenses.TEMPLATES if len(t) < 90]
+    found = 0
+    for i, text in docs.items():
+        words = re.findall(r"\w+", text.lower())
+        want = set()
+        for name, t in short:
+            names = set(licenses.NAMES[name].split()) & set(t)
+            size = int(1.5 * len(t)) + 2
+            for at in range(len(words)):
+                stretch = words[at:at + size]
+                if stretch[0] in t and names <= set(stretch) and plain_lcs(stretch, t) >= 0.8 * len(t):
+                    want.add(name)
+        found += bool(want)
+        assert bool(got[i]) == bool(want) and got[i] <= want, i
+    assert found > 3
+
+
+@pytest.mark.parametrize(("text", "want"), [
+    ("it is offered under CC BY 4.0 to all", ["CC-BY-4.0"]), ("Licensed under CC BY-NC-SA 4.0", ["CC-BY-NC-SA-4.0"]), ("licensed under the BSD License.", []),
+    ("all rights reserved. All Rights Reserved", ["All-rights-reserved"] * 2), ("Released under MIT License", ["MIT"]), ("the rights of all are reserved here", []),
+    (licenses.TEMPLATES[-6][1] + " " + licenses.TEMPLATES[-2][1], ["MIT", "Zlib"]), (licenses.TEMPLATES[-4][1].replace("contributors", "members").upper(), ["BSD-3-Clause"]),
+])
+def test_notices_without_telling_words_and_whole_licences(text, want):
+    assert [n for _, _, n, _ in licenses.notices(text)] == want
+
+
+# personal data
+
+#: Lines that are not in the labelled table.
+HELD_OUT = (
+    "please call {phone 0711 4567890} tomorrow",
+    "phone {phone 069 7654321} after ten",
+    "dial {phone (040) 765-4321} for help",
+    "tel {phone 555-867-5309} is hers",
+    "call {phone 030 7654321}",
+    "ring {phone 01 44 55 66 77} today",
+    "her mobile {phone 0160-555-0111} is off",
+    "mail {email karl at firm.example.net} now",
+    "write to {email ann (at) lake (dot) net} soon",
+    "send it to {email eva [at] example [dot] org}",
+    "{email rob at sea.example.com}",
+    "reach {email admin@gateway} first",
+    "host {ip 2001:db8::42} is up",
+    "from {ip fe80:0:0:0:1:2:3:4} it came",
+    "card {card 4012-8888.8888 1881} was lost",
+    "pay with {card 5105.1051.0510.5100} now",
+    "in 2021 we had 14 of 20",
+    "on 12.05.2021 at 10.30 we met",
+    "we sold 200 000 copies by 2005",
+    "order 991234 and item 12 came",
+    "chapter 12 verse 8 of it",
+    "look at example.net tomorrow",
+    "the ratio is 4:3 or 21:9",
+    "from 1900 to 1950 it stood",
+    "he went at 5 and came at 6",
+    "ask @nobody about it",
+)
+
+
+def test_field_on_held_out_lines():
+    """Whole spans of lines that the field was not trained on: precision and recall."""
+    lines, want = [], []
+    for line in HELD_OUT:
+        m = re.search(r"\{(\w+) ([^}]*)\}", line)
+        lines.append(re.sub(r"\{\w+ ([^}]*)\}", r"\1", line))
+        want.append([(m.start(), m.start() + len(m[2]), m[1])] if m else [])
+    got = [[s for s in all_ if s not in base] for base, all_ in personal_data.all_spans(lines, personal_data.trained())]
+    right = sum(s in w for g, w in zip(got, want, strict=True) for s in g)
+    assert right / max(1, sum(map(len, got))) >= 0.9 and right / sum(map(len, want)) >= 0.8, [(x, g) for x, g, w in zip(lines, got, want, strict=True) if g != w]
+
+
+def test_viterbi_over_lines_of_all_lengths_by_all_paths():
+    crf, rng = personal_data.trained(), np.random.default_rng(1)
+    lines = [np.stack([rng.integers(0, c, n) for c in crf.cards], axis=1) for n in (1, 2, 3, 4, 5, 5)]
+    for feats, path in zip(lines, crf.decode(lines), strict=True):
+        s, many = crf.scores(feats), len(personal_data.LABELS)
+        value = lambda p: sum(s[i, x] for i, x in enumerate(p)) + sum(crf.move[x, y] for x, y in zip(p, p[1:], strict=False))
+        best = max(value([code // many ** i % many for i in range(len(s))]) for code in range(many ** len(s)))
+        assert abs(value(path.tolist()) - best) < 1e-9
+
+
+def test_long_words_and_lines_are_not_cut():
+    crf = personal_data.trained()
+    word = "x" * 5000
+    assert personal_data._word_features(word + "1")[1] != personal_data._word_features(word + "@1")[1]
+    text = " ".join(["filler"] * 20_000) + " call 030 1234567"
+    assert personal_data.model_spans([text], crf)[0] == [(len(text) - 11, len(text), "phone")]
+
+
+# shards
+
+def test_fewer_links_are_parted_than_by_hash(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    links = docs.select("doc_id", F.sha2("text", 256).alias("group"))
+    dealt = spark.createDataFrame(shards.balanced_shards(docs).select("doc_id", "shard").collect(), "doc_id long, shard int")
+    cut, whole = shards.parted_links(dealt, links)
+    by_hash, _ = shards.parted_links(docs.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(40)).cast("int").alias("shard")), links)
+    assert whole > 0 and cut == 0 and by_hash > 0.9 * whole
+
+
+def test_groups_stay_whole_where_shards_are_full(spark):
+    """Forty groups of a quarter to half a shard in ten shards: no member is parted from its group, and sizes stay near."""
+    texts = [f"group {g} " + "x" * 400 for g in range(25) for _ in range(8)] + [f"single {i} " + "y" * (i % 90) for i in range(700)]
+    got = shards.balanced_shards(table(spark, texts), 10).collect()
+    where, load = {}, {}
+    for r in got:
+        where.setdefault(texts[r["doc_id"]], set()).add(r["shard"])
+        load[r["shard"]] = load.get(r["shard"], 0) + r["size"]
+    assert all(len(s) == 1 for t, s in where.items()) and max(load.values()) < 1.25 * min(load.values())
+
+
+def test_requests_of_larger_gain_come_first(spark):
+    """Two pairs want one shard that has room for one; the heavier pair's move gains more."""
+    ids = {s: [] for s in range(2)}
+    for r in spark.range(200).select("id", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(2)).alias("s")).collect():
+        ids[r["s"]].append(r["id"])
+    items = [(ids[0][0], 50), (ids[1][0], 10), (ids[0][1], 8), (ids[1][1], 7), (ids[0][2], 30)]
+    links = [(items[0][0], "big"), (items[1][0], "big"), (items[2][0], "small"), (items[3][0], "small")]
+    got = {r["id"]: r["shard"] for r in shards.propagate(spark.createDataFrame(items, "id long, weight long"), spark.createDataFrame([(i, g.encode()) for i, g in links], "id long, group binary"), 2, 100, 1).collect()}
+    assert got[items[1][0]] == 0 and got[items[0][0]] == 0 and got[items[3][0]] == 1
