@@ -172,7 +172,8 @@ def _into_room(rank: DataFrame, order: list[str], shards: int, goal: list[int],
 
 
 def _dealt(placed: DataFrame, n: int) -> DataFrame:
-    return running_total(placed, ["shard"], ["doc_id", "id"], "slot", buckets_for(n)).select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
+    # a shard of small documents has far more rows than others
+    return running_total(placed, ["shard"], ["doc_id", "id"], "slot", max(16, min(n // 500, int(n ** 0.5)))).select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
 
 
 def parted_links(dealt: DataFrame, links: DataFrame) -> tuple[int, int]:
