@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 import base64
-import bisect
 import re
 import zlib
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Callable, Iterator
+from functools import cache, partial, reduce
 from pathlib import Path
 
 import numpy as np
@@ -69,69 +68,119 @@ def _piecer(tokenizer: str, capacity: int, end_id: int, with_ids: bool):
     return pieces
 
 
-def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
-    """Where the documents of each length go, by their rank among those of that length.
+#: What a superstep works on: documents of one length by their rank among those, and sequences with one gap, by their number.
+STATE = "kind string, size long, start long, n long, to long, each long, base long"
+#: Documents over the longest's length divided by this are matched together, and those over that by this open sequences together.
+MATCHED, OPENED = 3, 1.2
+#: A superstep that places a smaller share of the documents that are matched together is the last before sequences are opened.
+SETTLED = 0.1
 
-    Rows ``(length, rank, n, sequence, per_sequence, offset)``: the ``n``
-    documents from ``rank`` on go to sequences from ``sequence`` on,
-    ``per_sequence`` to each, the first at ``offset``.
 
-    One superstep per length, longest first: documents of the length are matched
-    with the smallest gap that takes them, then its successor, and so on, until
-    either side is used up; what no gap takes opens sequences. Gaps of one size,
-    and documents of one length, are interchangeable, so a superstep moves
-    ranges of ranks, and the work goes by the lengths there are, not by rows.
+Run = tuple[str, int, int, int, int | None, int | None, int | None]
+
+
+def matched(runs: list[Run], low: int, capacity: int, bundled: bool) -> list[Run]:
+    """Sorted documents and gaps, as runs, matched by one sweep for successors: placed documents, and the runs that are left.
+
+    From the largest size down, gaps are laid on a pile and documents longer
+    than ``low`` take from its top: the nearest gap above them that no longer
+    document took, which is their successor, the smallest gap that takes them.
+    Conflicts for a gap are so settled by rank, and each gap takes one document,
+    or one bundle: where documents outnumber the gaps, several of a length go
+    together, up to half a sequence. Documents that find no gap, shorter ones,
+    and what is left of gaps are runs of the next superstep.
     """
-    gaps: dict[int, list[list[int]]] = {}  # gap: ranges [first sequence, sequences]
-    sizes: list[int] = []
-    plan, fresh = [], 0
-
-    def put(gap: int, first: int, n: int) -> None:
-        if gap and n:
-            if gap not in gaps:
-                gaps[gap] = []
-                bisect.insort(sizes, gap)
-            if gaps[gap] and gaps[gap][-1][0] + gaps[gap][-1][1] == first:
-                gaps[gap][-1][1] += n
+    room = sum(r[3] for r in runs if r[0] == "gap")
+    items = []
+    out: list[Run] = []
+    for kind, size, start, n, *_ in runs:
+        if kind == "gap":
+            items.append((size, 1, size, start, n, 1))
+        elif kind == "doc" and size <= low:
+            out.append(("doc", size, start, n, None, None, None))
+        elif kind == "doc":
+            each = max(1, min(-(-n // max(1, room)), capacity // (2 * size))) if bundled else 1
+            items.append((size * each, 0, size, start, n, each))
+    pile: list[list[int]] = []  # gap, first sequence, sequences
+    for takes, is_gap, size, start, n, each in sorted(items, key=lambda x: (-x[0], -x[1], x[2], x[3])):
+        if is_gap:
+            pile.append([size, start, n])
+            continue
+        while n >= each and pile:
+            gap, first, many = pile[-1]
+            use = min(many, n // each)
+            out.append(("plan", size, start, use * each, first, each, capacity - gap))
+            if gap > takes:
+                out.append(("gap", gap - takes, first, use, None, None, None))
+            start, n = start + use * each, n - use * each
+            if use == many:
+                pile.pop()
             else:
-                gaps[gap].append([first, n])
-
-    def fill(length: int, rank: int, left: int, gap: int, first: int, n: int) -> tuple[int, int]:
-        """Fills up to ``n`` sequences of one gap; returns the documents placed and the sequences touched."""
-        each = gap // length
-        whole = min(n, left // each)
-        placed = whole * each
-        if whole:
-            plan.append((length, rank, placed, first, each, capacity - gap))
-            put(gap - each * length, first, whole)
-        rest = left - placed
-        if rest and whole < n:
-            plan.append((length, rank + placed, rest, first + whole, rest, capacity - gap))
-            put(gap - rest * length, first + whole, 1)
-            return left, whole + 1
-        return placed, whole
-
-    for length in sorted(counts, reverse=True):
-        rank, left = 0, counts[length]
-        at = bisect.bisect_left(sizes, length)
-        while left and at < len(sizes):
-            gap = sizes[at]
-            ranges = gaps[gap]
-            while left and ranges:
-                first, n = ranges.pop()
-                placed, used = fill(length, rank, left, gap, first, n)
-                rank, left = rank + placed, left - placed
-                if used < n:
-                    ranges.append([first + used, n - used])
-            if not ranges:
-                del gaps[gap]
-                sizes.remove(gap)
-            at = bisect.bisect_left(sizes, max(length, gap + 1) if left else length)
-        if left:
-            need = -(-left // (capacity // length))
-            fill(length, rank, left, capacity, fresh, need)
-            fresh += need
-    return plan
+                pile[-1][1:] = [first + use, many - use]
+        if n:
+            out.append(("doc", size, start, n, None, None, None))
+    return out + [("gap", gap, first, n, None, None, None) for gap, first, n in pile]
+
+
+def opened(runs: list[Run], longest: int, fresh: int, capacity: int) -> list[Run]:
+    """The runs once the longest documents, which no gap takes, have opened sequences from number ``fresh`` on, as many to each as it holds."""
+    out: list[Run] = []
+    for run in sorted((r for r in runs if r[0] != "plan"), key=lambda r: (-r[1], r[2])):
+        kind, size, start, n, *_ = run
+        if kind == "gap" or size * OPENED <= longest:
+            out.append(run)
+            continue
+        each = capacity // size
+        whole, rest = divmod(n, each)
+        out.append(("plan", size, start, n, fresh, each, 0))
+        out += [("gap", gap, first, many, None, None, None) for gap, first, many in ((capacity - each * size, fresh, whole), (capacity - rest * size, fresh + whole, int(rest > 0))) if gap and many]
+        fresh += whole + (rest > 0)
+    return out
+
+
+def superstep(state: DataFrame, step: Callable[[list[Run]], list[Run]]) -> DataFrame:
+    """``step`` over the runs of a state, which is one for each length and for each match of equal gaps so far, however many documents there are."""
+    names = [x.split()[0] for x in STATE.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        runs = [(k, int(size), int(start), int(n), None, None, None) for pdf in batches for k, size, start, n in zip(pdf["kind"], pdf["size"], pdf["start"], pdf["n"], strict=True) if k != "plan"]
+        columns = list(zip(*step(runs), strict=True)) or [()] * len(names)
+        yield pd.DataFrame({c: pd.Series(v, dtype=object if c == "kind" else "Int64") for c, v in zip(names, columns, strict=True)})
+
+    return staged(state.coalesce(1).mapInPandas(run, STATE))
+
+
+def best_fit_plan(lengths: DataFrame, capacity: int) -> DataFrame:
+    """Where documents go, by their rank among those of their length: rows ``plan`` of `STATE` for ``(length, n)``.
+
+    The ``n`` documents of length ``size`` from rank ``start`` on go to sequences
+    from ``to`` on, ``each`` to each, the first at ``base``. Long documents come
+    first: those of like length are matched by supersteps (`matched`) until hardly
+    any finds a gap, then the longest of those that are left open sequences, and
+    so on until none is left. The driver sees totals only.
+    """
+    state = staged(lengths.selectExpr("'doc' as kind", "cast(length as long) as size", "0L as start", "cast(n as long) as n", "cast(null as long) as to", "cast(null as long) as each", "cast(null as long) as base").coalesce(1))
+    plans, fresh, low, before, last = [], 0, -1, 0, ""
+    while True:
+        of = lambda kind, what: F.sum(F.when(F.col("kind") == kind, what))
+        docs, active, room, placed, longest, end = state.agg(
+            of("doc", F.col("n")), of("doc", F.when(F.col("size") > low, F.col("n"))), of("gap", F.col("n")), of("plan", F.col("n")),
+            F.max(F.when(F.col("kind") == "doc", F.col("size"))), F.max(F.col("to") + F.ceil(F.col("n") / F.col("each")))).first()
+        if placed:
+            plans.append(state.where("kind = 'plan'"))
+            fresh = max(fresh, end)
+        if not docs:
+            break
+        if low < 0 or longest <= low:
+            low, before, way = longest // MATCHED, 0, "bundles"
+        elif last == "opened" or (placed or 0) > SETTLED * before:
+            before, way = active, "bundles"
+        else:
+            way = "singles" if last == "bundles" and not placed and active > room else "opened"
+        last = way if room else "opened"
+        step = partial(opened, longest=longest, fresh=fresh, capacity=capacity) if last == "opened" else partial(matched, low=low, capacity=capacity, bundled=last == "bundles")
+        state = superstep(state, step)
+    return reduce(DataFrame.union, plans) if plans else state
 
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -141,25 +190,26 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENIZER,
     piece: ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``,
     ``sequence_id``, ``offset`` and, ``with_ids``, ``ids``.
 
-    Pieces are put in classes by length, counted (at most ``capacity`` counts go
-    to the driver), matched by `best_fit_plan` and placed by their rank in the
-    class, which is found without a task that sees a whole class. A null or
-    empty text has the end id alone. Repeated rows are packed once each. An
-    empty table gives no rows.
+    Pieces are counted by length (at most ``capacity`` lengths), `best_fit_plan`
+    matches them with gaps in supersteps, and each is placed by its rank among
+    those of its length, which is found without a task that sees a whole
+    length. The plan is joined by length; Spark broadcasts it by its own
+    measure. A null or empty text has the end id alone. Repeated rows are packed
+    once each. An empty table gives no rows.
     """
     spark = docs.sparkSession
     prepare(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids
     pieces = staged(map_rows(docs, _piecer(tokenizer, capacity, end_id, with_ids), schema))
-    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
-    plan = best_fit_plan(counts, capacity)
-    rows = spark.createDataFrame(plan or [(0, 0, 0, 0, 1, 0)], "of_length long, from_rank long, n long, first long, each long, base long")
-    ranked = running_total(pieces, ["length"], ["doc_id", "piece", "ids_crc32"], "rank", buckets_for(sum(counts.values())))
-    fits = (F.col("length") == F.col("of_length")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("from_rank") + F.col("n"))
+    lengths = staged(pieces.groupBy("length").agg(F.count("*").alias("n")))
+    n = lengths.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    plan = best_fit_plan(lengths, capacity).select(F.col("size").alias("of_length"), F.col("start").alias("from_rank"), F.col("n").alias("many"), "to", "each", "base")
+    ranked = running_total(pieces, ["length"], ["doc_id", "piece", "ids_crc32"], "rank", buckets_for(n))
+    fits = (F.col("length") == F.col("of_length")) & (F.col("rank") >= F.col("from_rank")) & (F.col("rank") < F.col("from_rank") + F.col("many"))
     past = F.col("rank") - F.col("from_rank")
-    placed = ranked.join(F.broadcast(rows), fits)
-    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("first") + F.floor(past / F.col("each"))).cast("long").alias("sequence_id"), (F.col("base") + (past % F.col("each")) * F.col("length")).alias("offset"), *(["ids"] if with_ids else []))
+    placed = ranked.join(staged(plan.coalesce(1)), fits)
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", (F.col("to") + F.floor(past / F.col("each"))).cast("long").alias("sequence_id"), (F.col("base") + (past % F.col("each")) * F.col("length")).alias("offset"), *(["ids"] if with_ids else []))
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

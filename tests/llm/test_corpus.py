@@ -415,25 +415,47 @@ def test_simple_tree_matching_keeps_order():
 
 # packing
 
-@settings(deadline=None, max_examples=100)
-@given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=20))
-def test_plan_is_best_fit_decreasing(counts):
-    capacity, gaps = 64, []
+def best_fit_decreasing(counts, capacity):
+    """Sequences that best-fit decreasing takes, gap by gap."""
+    gaps = Counter()
+    opened = 0
     for n in sorted((n for n, c in counts.items() for _ in range(c)), reverse=True):
-        fits = [i for i, g in enumerate(gaps) if g >= n]
-        i = min(fits, key=lambda i: gaps[i]) if fits else len(gaps)
-        if i == len(gaps):
-            gaps.append(capacity)
-        gaps[i] -= n
-    used, placed = {}, Counter()
-    for length, rank, n, first, each, offset in packing.best_fit_plan(counts, capacity):
-        assert rank == placed[length]
-        placed[length] += n
-        for k in range(n):
-            at = used.setdefault(first + k // each, 0)
-            assert at == offset + k % each * length
-            used[first + k // each] = at + length
-    assert placed == Counter(counts) and len(used) == len(gaps) and max(used.values(), default=0) <= capacity
+        g = min((g for g in gaps if g >= n), default=None)
+        if g is None:
+            opened, g = opened + 1, capacity
+        else:
+            gaps[g] -= 1
+            gaps += Counter()
+        if g > n:
+            gaps[g - n] += 1
+    return opened
+
+
+def sequences_of(plan, counts, capacity):
+    """Fills the sequences of a plan, and asserts that each document is placed once, in order, within the capacity."""
+    placed, parts = {}, {}
+    for r in plan:
+        for k in range(r["n"]):
+            assert placed.setdefault((r["size"], r["start"] + k), r) is r
+            parts.setdefault(r["to"] + k // r["each"], []).append((r["base"] + k % r["each"] * r["size"], r["size"]))
+    assert len(placed) == sum(counts.values()) and all((n, k) in placed for n, c in counts.items() for k in range(c))
+    for own in parts.values():
+        at = 0
+        for offset, n in sorted(own):
+            assert offset == at
+            at += n
+        assert at <= capacity
+    assert sorted(parts) == list(range(len(parts)))
+    return len(parts)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_plan_is_near_best_fit_decreasing(spark, seed):
+    rng = np.random.default_rng(seed)
+    draw = (lambda: rng.integers(1, 65, 400), lambda: 1 + 63 * rng.random(900) ** 3, lambda: rng.choice([1, 2, 33, 64], 300), lambda: rng.integers(14, 32, 300), lambda: np.full(500, 7))[seed]
+    counts = {int(k): int(v) for k, v in Counter(draw().astype(int).tolist()).items()}
+    plan = packing.best_fit_plan(spark.createDataFrame(list(counts.items()), "length long, n long"), 64).collect()
+    assert sequences_of(plan, counts, 64) <= 1.02 * best_fit_decreasing(counts, 64) + 1
 
 
 def test_packing_round_trip(spark):
