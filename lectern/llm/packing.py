@@ -70,8 +70,8 @@ def _piecer(tokenizer: str, capacity: int, end_id: int, with_ids: bool):
 
 #: What a superstep works on: documents of one length by their rank among those, and sequences with one gap, by their number.
 STATE = "kind string, size long, start long, n long, to long, each long, base long"
-#: Documents over the longest's length divided by this are matched together, and those over that by this open sequences together.
-MATCHED, OPENED = 3, 1.2
+#: Documents over the longest one's length divided by the first are matched together; those over that by the second open sequences together, if a sequence holds as many of each, or more than the third.
+MATCHED, OPENED, FEW = 3, 1.5, 2
 #: A superstep that places a smaller share of the documents that are matched together is the last before sequences are opened.
 SETTLED = 0.1
 
@@ -123,18 +123,37 @@ def matched(runs: list[Run], low: int, capacity: int, bundled: bool) -> list[Run
 
 
 def opened(runs: list[Run], longest: int, fresh: int, capacity: int) -> list[Run]:
-    """The runs once the longest documents, which no gap takes, have opened sequences from number ``fresh`` on, as many to each as it holds."""
+    """The runs once the longest documents, which no gap takes, have opened sequences from number ``fresh`` on.
+
+    Documents of one length fill sequences alone as far as their number goes.
+    Of the others no more than the sequences that all of them need are opened,
+    by the longest; the rest find their gaps in the next supersteps.
+    """
     out: list[Run] = []
-    for run in sorted((r for r in runs if r[0] != "plan"), key=lambda r: (-r[1], r[2])):
+    single, each = [], capacity // longest
+    for run in runs:
         kind, size, start, n, *_ = run
-        if kind == "gap" or size * OPENED <= longest:
+        if kind == "doc" and size * OPENED > longest and (capacity // size == each or each > FEW):
+            whole, rest = divmod(n, each)
+            if whole:
+                out.append(("plan", size, start, whole * each, fresh, each, 0))
+                if capacity > each * size:
+                    out.append(("gap", capacity - each * size, fresh, whole, None, None, None))
+                fresh += whole
+            if rest:
+                single.append((size, start + whole * each, rest))
+        elif kind != "plan":
             out.append(run)
-            continue
-        each = capacity // size
-        whole, rest = divmod(n, each)
-        out.append(("plan", size, start, n, fresh, each, 0))
-        out += [("gap", gap, first, many, None, None, None) for gap, first, many in ((capacity - each * size, fresh, whole), (capacity - rest * size, fresh + whole, int(rest > 0))) if gap and many]
-        fresh += whole + (rest > 0)
+    need = -(-sum(n for _, _, n in single) // each)
+    for size, start, n in sorted(single, reverse=True):
+        use = min(n, need)
+        if use:
+            out.append(("plan", size, start, use, fresh, 1, 0))
+            if capacity > size:
+                out.append(("gap", capacity - size, fresh, use, None, None, None))
+        if n > use:
+            out.append(("doc", size, start + use, n - use, None, None, None))
+        fresh, need = fresh + use, need - use
     return out
 
 
