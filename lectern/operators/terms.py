@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import fixed
 from lectern.functions import text as T
+from lectern.sources.stage import staged
 
 
 def tokens(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
@@ -15,20 +16,33 @@ def tokens(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
     return docs.select(*keys, F.explode(T.term_tokens(text)).alias("word"))
 
 
+def counted(docs: DataFrame, keys: list[str], text: str = "text") -> DataFrame:
+    """``count`` of each term by the given columns, which tell documents apart: the one table that the statistics below start from.
+
+    They take it, or the rows of `tokens`; with ``count`` among the columns a row is a document's word.
+    """
+    return tokens(docs, keys, text).groupBy(*keys, "word").agg(F.count("*").alias("count"))
+
+
+def _times(words: DataFrame):
+    return (F.sum("count") if "count" in words.columns else F.count("*")).alias("count")
+
+
 def term_frequency(words: DataFrame, keys: list[str]) -> DataFrame:
     """``count`` of each word by keys, and ``total`` of all words by keys.
 
     The total is taken from the counts, so the tokens are shuffled once, already
     added up on the map side.
     """
-    counts = words.groupBy(*keys, "word").agg(F.count("*").alias("count"))
+    counts = words.groupBy(*keys, "word").agg(_times(words))
     return counts.join(counts.groupBy(*keys).agg(F.sum("count").alias("total")), keys)
 
 
 def smooth_idf(words: DataFrame, doc: str) -> DataFrame:
     """``df`` and ``idf`` = ln((1 + N) / (1 + df)) + 1 of each word over the documents that have a word."""
     n = words.agg(F.count_distinct(doc).alias("n_docs"))
-    df = words.select(doc, "word").distinct().groupBy("word").agg(F.count("*").alias("df"))
+    pairs = words.select(doc, "word") if "count" in words.columns else words.select(doc, "word").distinct()
+    df = pairs.groupBy("word").agg(F.count("*").alias("df"))
     return df.crossJoin(F.broadcast(n)).select("word", "df", F.round(F.log((1 + F.col("n_docs")) / (1 + F.col("df"))) + 1, 6).alias("idf"))
 
 
@@ -62,13 +76,20 @@ def signature_terms(scored: DataFrame, by: str, factor: float = fixed.SIGNATURE_
 
 def occurrences(words: DataFrame, keys: list[str]) -> DataFrame:
     """Inverted index: how often each word is in each block."""
-    return words.groupBy("word", *keys).agg(F.count("*").alias("count"))
+    return words.groupBy("word", *keys).agg(_times(words))
+
 
+def keyword_blocks(index: DataFrame, scores: DataFrame, keys: list[str], part=None) -> DataFrame:
+    """A row a word: ``rank``, ``score``, ``total_count`` and ``occurrences`` (structs of the block and the count, in order).
 
-def keyword_blocks(index: DataFrame, scores: DataFrame, keys: list[str]) -> DataFrame:
-    """A row a word: ``rank``, ``score``, ``total_count`` and ``occurrences`` (structs of the block and the count, in order)."""
-    found = index.groupBy("word").agg(F.sum("count").alias("total_count"), F.array_sort(F.collect_list(F.struct(*keys, "count"))).alias("occurrences"))
-    return scores.select("word", "rank", "score").join(found, "word")
+    With ``part``, a column of the index such as a range of its blocks, a row a
+    word and part, so that no row grows with the corpus.
+    """
+    by = ["word"] if part is None else ["word", "part"]
+    rows = index if part is None else index.withColumn("part", part)
+    found = rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*keys, "count"))).alias("occurrences"))
+    totals = index.groupBy("word").agg(F.sum("count").alias("total_count"))
+    return scores.select("word", "rank", "score").join(totals, "word").join(found, "word")
 
 
 def block_keywords(keywords: DataFrame, key: str) -> DataFrame:
@@ -214,15 +235,20 @@ def multilingual(terms: DataFrame, languages: list[str]) -> DataFrame:
 
 def perplexity(logs: DataFrame, doc: str = "doc_id") -> DataFrame:
     """10 to the power of minus the mean log probability of a document's tokens."""
-    return logs.groupBy(doc).agg(F.count("*").alias("n_tokens"), F.round(F.pow(F.lit(10.0), -F.sum("log10_p") / F.count("*")), 6).alias("perplexity"))
+    return logs.groupBy(doc).agg(F.sum("n").alias("n_tokens"), F.round(F.pow(F.lit(10.0), -F.sum(F.col("n") * F.col("log10_p")) / F.sum("n")), 6).alias("perplexity"))
 
 
 def bigram_logs(words: DataFrame, doc: str, pos: str) -> DataFrame:
-    """Log probabilities of words after the word before them, by add-one estimates from the same corpus."""
+    """``(doc, n, log10_p)``: how often a document has a pair of words, and the log probability of the second after the first, by add-one estimates from the same corpus.
+
+    Pairs are counted in their documents first, so a pair that is everywhere is
+    joined once a document and not once a token.
+    """
     ahead = W.partitionBy(doc).orderBy(pos)
     pairs = words.withColumn("prev", F.coalesce(F.lag("word").over(ahead), F.lit("<s>")))
-    two = pairs.groupBy("prev", "word").agg(F.count("*").alias("n2"))
-    one = pairs.groupBy("prev").agg(F.count("*").alias("n1"))
-    size = words.agg(F.count_distinct("word").alias("v"))
+    own = staged(pairs.groupBy(doc, "prev", "word").agg(F.count("*").alias("n")))
+    two = own.groupBy("prev", "word").agg(F.sum("n").alias("n2"))
+    one = own.groupBy("prev").agg(F.sum("n").alias("n1"))
+    size = own.agg(F.count_distinct("word").alias("v"))
     table = two.join(one, "prev").crossJoin(F.broadcast(size)).select("prev", "word", F.log10((F.col("n2") + 1) / (F.col("n1") + F.col("v"))).alias("log10_p"))
-    return pairs.join(table, ["prev", "word"]).select(doc, "log10_p")
+    return own.join(table, ["prev", "word"]).select(doc, "n", "log10_p")

@@ -7,25 +7,31 @@ from pyspark.sql import functions as F
 from lectern.functions import text as T
 from lectern.operators import terms
 from lectern.plans.base import IDF_SQL, RANKED_SQL, SCORED_SQL, TF_SQL, TOKENS_SQL, Listing, sql_formula, sql_terms, sql_variants, sql_words, table
+from lectern.sources.stage import staged
 
 L = Listing()
 LANGS = ["de", "en", "es", "fr"]
 TOP = 50
 
 
+def _words(spark, sf_dir):
+    """The terms of every document, counted and written once: no query reads the texts twice."""
+    return staged(terms.counted(table(spark, sf_dir, "documents"), ["doc_id", "lang"]))
+
+
 def _scored(spark, sf_dir):
-    words = terms.tokens(table(spark, sf_dir, "documents"), ["doc_id", "lang"])
+    words = _words(spark, sf_dir)
     return words, terms.tf_idf(terms.term_frequency(words, ["lang"]), terms.smooth_idf(words, "doc_id"))
 
 
 @L.add("C1 C2", f"with {TF_SQL} select lang, word, \"count\", total from tf")
 def f_term_frequency(spark, sf_dir):
-    return terms.term_frequency(terms.tokens(table(spark, sf_dir, "documents"), ["lang"]), ["lang"])
+    return terms.term_frequency(_words(spark, sf_dir), ["lang"])
 
 
 @L.add("F8", f"with {TOKENS_SQL}, {IDF_SQL} select word, df, idf from idf")
 def f_smooth_idf(spark, sf_dir):
-    return terms.smooth_idf(terms.tokens(table(spark, sf_dir, "documents"), ["doc_id"]), "doc_id")
+    return terms.smooth_idf(_words(spark, sf_dir), "doc_id")
 
 
 @L.add("F1 F2", f"with {RANKED_SQL} select lang, word, \"count\", total, idf, score, rank from ranked")
@@ -54,21 +60,21 @@ TOP_SQL = f"{RANKED_SQL}, top as (select word, min(rank) as rank, max(score) as
 def _top(spark, sf_dir):
     words, scored = _scored(spark, sf_dir)
     top = terms.ranked(scored, ["lang"], TOP).groupBy("word").agg(F.min("rank").alias("rank"), F.max("score").alias("score"))
-    return words, top
+    return words, staged(top)  # at most TOP a language
 
 
-@L.add("F5 E13 B3", f"with {TOP_SQL} select word, any_value(rank) as rank, any_value(score) as score, sum(c)::bigint as total_count, string_agg(doc_id || ':' || c, ',' order by doc_id) as occurrences from occ join top using (word) group by word")
+@L.add("F5 E13 B3", f"with {TOP_SQL}, total as (select word, sum(c)::bigint as total_count from occ group by word) select word, doc_id // 1000 as part, any_value(rank) as rank, any_value(score) as score, any_value(total_count) as total_count, string_agg(doc_id || ':' || c, ',' order by doc_id) as occurrences from occ join top using (word) join total using (word) group by 1, 2")
 def f_keyword_occurrences(spark, sf_dir):
     words, top = _top(spark, sf_dir)
-    found = terms.keyword_blocks(terms.occurrences(words.join(F.broadcast(top.select("word")), "word"), ["doc_id"]), top, ["doc_id"])
+    found = terms.keyword_blocks(terms.occurrences(words.join(F.broadcast(top.select("word")), "word"), ["doc_id"]), top, ["doc_id"], F.expr("doc_id div 1000"))
     flat = F.array_join(F.transform("occurrences", lambda o: F.concat_ws(":", o["doc_id"].cast("string"), o["count"].cast("string"))), ",")
-    return found.select("word", F.col("rank").cast("long").alias("rank"), "score", "total_count", flat.alias("occurrences"))
+    return found.select("word", "part", F.col("rank").cast("long").alias("rank"), "score", "total_count", flat.alias("occurrences"))
 
 
 @L.add("F7", f"with {TOP_SQL} select doc_id, string_agg(rank || ':' || word, ',' order by rank, word) as keywords from (select distinct doc_id, word from occ) join top using (word) group by doc_id")
 def f_document_keywords(spark, sf_dir):
     words, top = _top(spark, sf_dir)
-    found = terms.block_keywords(terms.keyword_blocks(terms.occurrences(words.join(F.broadcast(top.select("word")), "word"), ["doc_id"]), top, ["doc_id"]), "doc_id")
+    found = terms.block_keywords(terms.keyword_blocks(terms.occurrences(words.join(F.broadcast(top.select("word")), "word"), ["doc_id"]), top, ["doc_id"], F.expr("doc_id div 1000")), "doc_id")
     return found.select("doc_id", F.array_join(F.transform("keywords", lambda k: F.concat_ws(":", k["rank"].cast("string"), k["word"])), ",").alias("keywords"))
 
 
@@ -99,15 +105,15 @@ KEY_SQL = f"{TOKENS_SQL}, {IDF_SQL}, ks as (select word, df, idf, round(df / n *
 
 @L.add("F10 F11", f"with {KEY_SQL} select word, df, idf, score from ks")
 def f_keyword_scores(spark, sf_dir):
-    return terms.keyword_scores(terms.tokens(table(spark, sf_dir, "documents"), ["doc_id"]), "doc_id")
+    return terms.keyword_scores(_words(spark, sf_dir), "doc_id")
 
 
 PAIR_SQL = f"{KEY_SQL}, src as (select distinct doc_id // 2 as pair, word as token from tok where doc_id % 2 = 0), kw as (select word as keyword from ks order by score desc, word limit 200), tgt as (select distinct doc_id // 2 as pair, word as keyword from tok where doc_id % 2 = 1 and word in (select keyword from kw)), rare as (select token from src group by token having count(*) <= 20), s2 as (select * from src where token in (select token from rare) and pair in (select pair from tgt)), sh as (select pair, 1.0::double / count(*) as weight from s2 group by pair), co as (select keyword, token, count(*) as raw, round(sum(weight), 9) as weighted from tgt join s2 using (pair) join sh using (pair) group by all)"
 
 
 def _pairs(spark, sf_dir):
-    words = terms.tokens(table(spark, sf_dir, "documents"), ["doc_id"])
-    top = terms.keyword_scores(words, "doc_id").orderBy(F.desc("score"), "word").limit(200).select(F.col("word").alias("keyword"))
+    words = _words(spark, sf_dir)
+    top = staged(terms.keyword_scores(words, "doc_id").orderBy(F.desc("score"), "word").limit(200).select(F.col("word").alias("keyword")))
     pair = words.withColumn("pair", F.expr("doc_id div 2"))
     source = pair.where("doc_id % 2 = 0").select("pair", F.col("word").alias("token"))
     target = pair.where("doc_id % 2 = 1").select("pair", F.col("word").alias("keyword")).join(F.broadcast(top), "keyword")
