@@ -42,3 +42,20 @@ def sweep(spark: SparkSession) -> int:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
     return len(paths)
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A path of its own in the shared folder, which `sweep` deletes too."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def put(spark: SparkSession, path: str, content: bytes) -> str:
+    """Writes one small file by the file system of its path."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p)
+    out.write(bytearray(content))
+    out.close()
+    return path
