@@ -11,7 +11,7 @@ from lectern.functions import fold
 from lectern.functions import text as T
 
 #: Terms of up to so many characters in all are broadcast; more are found by the n-grams they begin with.
-BROADCAST_CHARS = 2_000_000
+BROADCAST_CHARS = 20_000
 
 
 def full_outer(source: DataFrame, target: DataFrame, key: str = "block_id") -> DataFrame:

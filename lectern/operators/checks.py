@@ -226,8 +226,8 @@ def grade_checks(grade: DataFrame, termbase: DataFrame, texts: DataFrame) -> Dat
 
 def section_checks(sections: DataFrame, spec: DataFrame, key: str) -> DataFrame:
     """Sections of a day file against a spec ``(section, pos, required, ceiling)``: missing, repeated, out of order, over the ceiling."""
-    days = sections.select(key).distinct()
-    missing = days.crossJoin(F.broadcast(spec.where("required"))).join(sections, [key, "section"], "left_anti")
+    asked = spec.where("required").agg(F.collect_set("section").alias("_asked"))  # one row
+    missing = sections.groupBy(key).agg(F.collect_set("section").alias("_have")).crossJoin(asked).select(key, F.explode(F.array_except("_asked", "_have")).alias("section"))
     many = sections.groupBy(key, "section").agg(F.count("*").alias("_n")).where("_n > 1")
     rows = sections.join(F.broadcast(spec), "section").withColumn("_prev", F.lag("pos").over(W.partitionBy(key).orderBy("line_no")))
     return union(finding(missing, "missing_section", "critical", key, "section"), finding(many, "repeated_section", "major", key, "section"), finding(rows.where("pos < _prev"), "section_order", "major", key, "section"), finding(rows.where("n_units > ceiling"), "over_ceiling", "major", key, F.concat_ws("/", F.col("n_units").cast("string"), F.col("ceiling").cast("string"))))

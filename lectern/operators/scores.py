@@ -67,8 +67,10 @@ def commit_days(commits: DataFrame, user: str, sha: str, ts: str, since: str, un
 
 def skipped_days(calendar: DataFrame, commits: DataFrame, users: DataFrame, user: str, credited: DataFrame | None = None) -> DataFrame:
     """Days without a commit of each user, those credited before left out: running it again adds none."""
-    days = users.crossJoin(F.broadcast(calendar))
-    out = days.join(commits.select(user, "day").distinct(), [user, "day"], "left_anti")
+    all_days = calendar.agg(F.collect_set("day").alias("_all"))  # one row
+    worked = commits.groupBy(user).agg(F.collect_set("day").alias("_own"))  # at most the days that there are
+    left = users.join(worked, user, "left").crossJoin(all_days)
+    out = left.select(user, F.explode(F.array_except("_all", F.coalesce("_own", F.array().cast(dict(all_days.dtypes)["_all"])))).alias("day"))
     return out if credited is None else out.join(credited.select(user, "day"), [user, "day"], "left_anti")
 
 

@@ -26,13 +26,32 @@ def overlapping_windows(sizes: DataFrame, keys: list[str], n: str, size: int, ov
 def stitched(messages: DataFrame, author: str, ts: str, gap: int = fixed.STITCH_SECONDS, channel: list[str] | None = None) -> DataFrame:
     """``unit`` of each message: it goes on while the message before, of whatever author, is of the same one and at most ``gap`` seconds older.
 
-    The order is that of a channel. Without one it is global, and one task sorts
-    all messages; give a channel wherever there is one.
+    The order is that of a channel. Without one it is global: messages are dealt
+    by days, and a day begins with the last message, and the units, of those
+    before it, so no task sorts more than a day. Messages of one time count in
+    any order.
     """
-    w = W.partitionBy(*(channel or [])).orderBy(ts)
     seconds = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
-    joins = (F.lag(author).over(w) == F.col(author)) & (seconds - F.lag(seconds).over(w) <= gap)
-    return messages.withColumn("_new", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).withColumn("unit", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0))).drop("_new")
+    rows = messages.withColumn("_s", seconds)
+    by = list(channel or [])
+    if not channel:
+        rows, by = rows.withColumn("_day", F.floor(F.col("_s") / 86_400)), ["_day"]
+    w = W.partitionBy(*by).orderBy(ts)
+    before = {"_author": F.lag(author).over(w), "_before": F.lag("_s").over(w)}
+    if not channel:
+        lasts = rows.groupBy("_day").agg(F.max_by(F.struct(F.col(author).alias("a"), F.col("_s").alias("s")), F.col(ts)).alias("_last"))
+        days = lasts.select(F.col("_day").alias("_d"), F.lag("_last").over(W.orderBy("_day")).alias("_last"))  # a row a day
+        rows = rows.join(days, rows["_day"].eqNullSafe(days["_d"])).drop("_d")
+        before = {"_author": F.coalesce(before["_author"], F.when(F.row_number().over(w) == 1, F.col("_last.a"))), "_before": F.coalesce(before["_before"], F.col("_last.s"))}
+    rows = rows.withColumns(before)
+    joins = (F.col("_author") == F.col(author)) & (F.col("_s") - F.col("_before") <= gap)
+    rows = rows.withColumn("_new", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1))
+    rows = rows.withColumn("unit", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    if not channel:
+        sums = rows.groupBy("_day").agg(F.sum("_new").alias("_n"))
+        starts = sums.select(F.col("_day").alias("_d"), F.coalesce(F.sum("_n").over(W.orderBy("_day").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
+        rows = rows.join(starts, rows["_day"].eqNullSafe(starts["_d"])).withColumn("unit", F.col("unit") + F.col("_start")).drop("_d", "_start", "_day", "_last")
+    return rows.drop("_new", "_s", "_author", "_before")
 
 
 def units(messages: DataFrame, author: str, ts: str, channel: list[str] | None = None) -> DataFrame:
@@ -105,11 +124,17 @@ def shifted(schedule: DataFrame, chapter: int, verse: int, to_day: int) -> DataF
 
 
 def nested_spans(headings: DataFrame, keys: list[str], total: str) -> DataFrame:
-    """End of each heading's span: the next heading of its level or one above, else the content's end."""
-    a, b = headings.alias("a"), headings.alias("b")
-    later = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys] + [F.col("b.pos") > F.col("a.pos"), F.col("b.level") <= F.col("a.level")]
-    found = a.join(b, later, "left").groupBy(*(F.col(f"a.{k}").alias(k) for k in keys), F.col("a.pos").alias("pos"), F.col("a.level").alias("level"), F.col("a.offset").alias("start"), F.col(f"a.{total}").alias("_t")).agg(F.min("b.offset").alias("_n"))
-    return found.select(*keys, "pos", "level", "start", F.coalesce("_n", "_t").alias("end"))
+    """End of each heading's span: the next heading of its level or one above, else the content's end.
+
+    There is a window for each level that occurs (as many as headings are deep),
+    all over one sort of a content's headings.
+    """
+    depths = sorted(r[0] for r in headings.select("level").distinct().collect())
+    ahead = W.partitionBy(*keys).orderBy("pos").rowsBetween(1, W.unboundedFollowing)
+    end = F.lit(None).cast(dict(headings.dtypes)["offset"])
+    for d in depths:
+        end = F.when(F.col("level") == d, F.min(F.when(F.col("level") <= d, F.col("offset"))).over(ahead)).otherwise(end)
+    return headings.withColumn("_n", end).select(*keys, "pos", "level", F.col("offset").alias("start"), F.coalesce("_n", total).alias("end"))
 
 
 def content_offsets(lines: DataFrame, keys: list[str], order: str, text: str, joint: int = 1) -> DataFrame:

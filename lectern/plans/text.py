@@ -162,8 +162,3 @@ def h_clauses(spark, sf_dir):
 @L.add("H1 H3 H4 H6 H8")
 def h_segments(spark, sf_dir):
     return segment.segments(_docs(spark, sf_dir), "doc_id")
-
-
-@L.add("H24")
-def h_spacing_hits(spark, sf_dir):
-    return segment.spacing_hits(notes.lines(_docs(spark, sf_dir), ["doc_id"]), ["doc_id", "line_no"])
