@@ -209,6 +209,41 @@ def lemma_renderings(glosses: DataFrame, min_freq: int = 1) -> DataFrame:
     return kept.groupBy("lemma", "rendering").agg(F.count_distinct("block_id").alias("blocks"), F.min_by("block_id", T.suffixed_key("block_id")).alias("first_block")).where(F.col("blocks") >= min_freq)
 
 
+def keyword_features(docs: DataFrame, key: str, text: str = "text", sentence: str = r"[.!?\n]+") -> DataFrame:
+    """Statistics of each word of a text, by which it may be a keyword: ``(key, word, tf, score)``, lower scores for better words.
+
+    The published measure for single documents: how often a word is
+    capitalised or an acronym, how early its sentences stand, how often it is
+    there against the mean and spread of the text's content words, how many
+    different words stand beside it, and in how many sentences it is.
+    """
+    parts = docs.select(key, F.posexplode(F.split(text, sentence)).alias("sent", "s"))
+    rows = parts.select(key, "sent", F.posexplode(F.regexp_extract_all("s", F.lit(r"[\p{L}\p{N}]+"), F.lit(0))).alias("pos", "form")).withColumn("word", F.lower("form"))
+    w = W.partitionBy(key, "sent").orderBy("pos")
+    upper, first = F.upper("form") == F.col("form"), F.substring("form", 1, 1)
+    rows = rows.withColumns({
+        "acronym": (upper & (F.length("form") > 1) & ~F.rlike("form", F.lit(r"^\p{N}+$"))).cast("int"), "capital": ((F.upper(first) == first) & (F.lower(first) != first) & ~(upper & (F.length("form") > 1)) & (F.col("pos") > 0)).cast("int"),
+        "content": ((F.length("word") > 2) & ~F.col("word").isin(fixed.STOPWORDS)).cast("int"), "before": F.lag("word").over(w), "after": F.lead("word").over(w)})
+    per = rows.groupBy(key, "word").agg(
+        F.count("*").alias("tf"), F.sum("acronym").alias("acronyms"), F.sum("capital").alias("capitals"), F.max("content").alias("content"), F.count_distinct("sent").alias("in_sents"), F.percentile("sent", 0.5).alias("middle"),
+        F.count_distinct("before").alias("kinds_before"), F.count("before").alias("n_before"), F.count_distinct("after").alias("kinds_after"), F.count("after").alias("n_after"))
+    of = per.groupBy(key).agg(F.max("tf").alias("most"), F.avg(F.when(F.col("content") == 1, F.col("tf"))).alias("mean"), F.stddev_pop(F.when(F.col("content") == 1, F.col("tf"))).alias("spread"))
+    sents = rows.groupBy(key).agg(F.count_distinct("sent").alias("sents"))
+    x = per.join(of, key).join(sents, key)
+    share = lambda kinds, n: F.when(F.col(n) > 0, F.col(kinds) / F.col(n)).otherwise(0.0)
+    x = x.withColumns({"rel": 1 + (share("kinds_before", "n_before") + share("kinds_after", "n_after")) * F.col("tf") / F.col("most"), "place": F.log(F.log(3 + F.col("middle"))), "case": F.greatest("acronyms", "capitals") / (1 + F.log("tf"))})
+    norm = F.col("tf") / (F.coalesce("mean", F.lit(0.0)) + F.coalesce("spread", F.lit(0.0)))
+    score = F.col("rel") * F.col("place") / (F.col("case") + norm / F.col("rel") + F.col("in_sents") / F.col("sents") / F.col("rel"))
+    return x.where("content = 1").select(key, "word", "tf", F.round(score, 6).alias("score"))
+
+
+def best_keywords(features: DataFrame, key: str, most: float = 0.3, top: int | None = None) -> DataFrame:
+    """Words that score ``most`` or less, ranked; the first ``top`` of each text where that is asked."""
+    w = W.partitionBy(key).orderBy("score", "word")
+    out = features.where(F.col("score") <= most).withColumn("rank", F.row_number().over(w))
+    return out.where(F.col("rank") <= top) if top else out
+
+
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(F.explode(T.english_tokens(text)).alias("word")).groupBy("word").agg(F.count("*").alias("count"))
 

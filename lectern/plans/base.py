@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import fixed
+from lectern.sources.stage import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +31,7 @@ class Listing:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. Texts in fewer files than there are cores are dealt out first, as a file of one row group is one task."""
+    ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
     if name in ("documents", "pages") and len(df.inputFiles()) < cores:

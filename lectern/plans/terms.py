@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import text as T
 from lectern.operators import terms
-from lectern.plans.base import IDF_SQL, RANKED_SQL, SCORED_SQL, TF_SQL, TOKENS_SQL, Listing, sql_formula, sql_terms, sql_variants, sql_words, table
+from lectern.plans.base import IDF_SQL, RANKED_SQL, SCORED_SQL, STOP, TF_SQL, TOKENS_SQL, Listing, sql_formula, sql_terms, sql_variants, sql_words, table
 from lectern.sources.stage import staged
 
 L = Listing()
@@ -100,6 +100,26 @@ def f_ngram_phrases(spark, sf_dir):
     return terms.phrases(table(spark, sf_dir, "documents"), ["doc_id"])
 
 
+_FEATURES = f"""se as (select doc_id, i - 1 as sent, s[i] as t from (select doc_id, regexp_split_to_array(text, '[.!?\\n]+') as s from documents), unnest(range(1, len(s) + 1)) as x(i)),
+tk as (select doc_id, sent, i - 1 as pos, f[i] as form, lower(f[i]) as word from (select doc_id, sent, regexp_extract_all(t, '[\\p{{L}}\\p{{N}}]+') as f from se), unnest(range(1, len(f) + 1)) as x(i)),
+ft as (select *, upper(form) = form and length(form) > 1 as up, lag(word) over w as before, lead(word) over w as after from tk window w as (partition by doc_id, sent order by pos)),
+pw as (select doc_id, word, count(*) as tf, count(*) filter (up and not regexp_full_match(form, '\\p{{N}}+')) as acronyms, count(*) filter (upper(left(form, 1)) = left(form, 1) and lower(left(form, 1)) <> left(form, 1) and not up and pos > 0) as capitals,
+ length(word) > 2 and not list_contains({STOP}, word) as content, count(distinct sent) as in_sents, median(sent) as middle, count(distinct before) as kb, count(before) as nb, count(distinct after) as ka, count(after) as na from ft group by doc_id, word),
+dc as (select doc_id, max(tf) as most, coalesce(avg(tf) filter (content), 0) as mean, coalesce(stddev_pop(tf) filter (content), 0) as spread from pw group by 1), ds as (select doc_id, count(distinct sent) as sents from tk group by 1),
+rl as (select *, 1 + (case when nb > 0 then kb / nb else 0 end + case when na > 0 then ka / na else 0 end) * tf / most as rel from pw join dc using (doc_id) join ds using (doc_id) where content)"""
+
+
+@L.add("F9", f"with {_FEATURES} select doc_id, word, tf, round(rel * ln(ln(3 + middle)) / (greatest(acronyms, capitals) / (1 + ln(tf)) + tf / (mean + spread) / rel + in_sents / sents / rel), 6) as score from rl")
+def f_document_features(spark, sf_dir):
+    return terms.keyword_features(table(spark, sf_dir, "documents"), "doc_id")
+
+
+@L.add("F9", f"with {_FEATURES}, sc as (select doc_id, word, tf, round(rel * ln(ln(3 + middle)) / (greatest(acronyms, capitals) / (1 + ln(tf)) + tf / (mean + spread) / rel + in_sents / sents / rel), 6) as score from rl), k as (select doc_id, count(*) as n, min(score) as best from sc where score <= 0.3 group by 1) select * from k")
+def f_document_keyphrases(spark, sf_dir):
+    found = terms.best_keywords(terms.keyword_features(table(spark, sf_dir, "documents"), "doc_id"), "doc_id")
+    return found.groupBy("doc_id").agg(F.max("rank").cast("long").alias("n"), F.min("score").alias("best"))
+
+
 KEY_SQL = f"{TOKENS_SQL}, {IDF_SQL}, ks as (select word, df, idf, round(df / n * idf, 9) as score from idf, nd where df >= 2 and idf >= 3.5 order by score desc, word limit 600)"
 
 

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +62,17 @@ def put(spark: SparkSession, path: str, content: bytes) -> str:
     out.write(bytearray(content))
     out.close()
     return path
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a context: Arrow functions of the library are read there by name. Needless where it is installed on them."""
+    sc = spark.sparkContext
+    if getattr(sc, "_lectern_sent", None):
+        return
+    package = Path(__file__).resolve().parents[1]
+    base = tempfile.mkdtemp(prefix="lectern-code-")  # on the driver alone; executors fetch the archive from it
+    root = os.path.join(base, "tree")
+    shutil.copytree(package, os.path.join(root, package.name), ignore=shutil.ignore_patterns("__pycache__"))
+    sc.addPyFile(shutil.make_archive(os.path.join(base, f"{package.name}_code"), "zip", root))
+    shutil.rmtree(root)
+    sc._lectern_sent = True
