@@ -2,28 +2,14 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-import uuid
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from lectern.sources.stage import ship, staged, sweep
 
-_written: dict[str, list[str]] = {}
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is named."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="lectern-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+__all__ = ["as_ddl", "buckets_for", "map_rows", "prepare", "running_total", "staged", "sweep", "table", "whole_numbers"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,42 +19,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read back.
-
-    What follows reads files that every executor sees, so a lost executor
-    costs a re-read of its split and not of the job so far.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def sweep(spark: SparkSession) -> int:
-    """Deletes what `staged` has written for this application; for a caller who has saved the results. Returns how many tables went."""
-    paths = _written.pop(spark.sparkContext.applicationId, [])
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for path in paths:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(conf).delete(p, True)
-    return len(paths)
-
-
 def prepare(spark: SparkSession, rows: int = 500) -> None:
     """Sends this package to the executors, once a context, and bounds the rows in an Arrow batch so that long texts fit a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    sc = spark.sparkContext
-    if getattr(sc, "_lectern_sent", None):
-        return
-    package = Path(__file__).resolve().parents[1]
-    base = tempfile.mkdtemp(prefix="lectern-code-")
-    root = os.path.join(base, "tree")
-    shutil.copytree(package, os.path.join(root, package.name), ignore=shutil.ignore_patterns("__pycache__"))
-    sc.addPyFile(shutil.make_archive(os.path.join(base, f"{package.name}_code"), "zip", root))
-    shutil.rmtree(root)
-    sc._lectern_sent = True
+    ship(spark)
 
 
 def map_rows(df: DataFrame, f, schema: str, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
