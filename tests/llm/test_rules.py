@@ -11,7 +11,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lectern.llm import contamination, fingerprints, licenses, pages, personal_data, secrets, shards
+from lectern.llm import contamination, fingerprints, licenses, near_dup, pages, personal_data, quality, secrets, shards
 from tests.llm.test_corpus import DOCS, rows, shingle_set, table
 
 
@@ -362,3 +362,101 @@ def test_requests_of_larger_gain_come_first(spark):
     links = [(items[0][0], "big"), (items[1][0], "big"), (items[2][0], "small"), (items[3][0], "small")]
     got = {r["id"]: r["shard"] for r in shards.propagate(spark.createDataFrame(items, "id long, weight long"), spark.createDataFrame([(i, g.encode()) for i, g in links], "id long, group binary"), 2, 100, 1).collect()}
     assert got[items[1][0]] == 0 and got[items[0][0]] == 0 and got[items[3][0]] == 1
+
+
+# near duplicates, by plain Python alone
+
+def plain_sets(texts):
+    """Weighted shingle sets from the documented formulas: words, counts of documents, idf of words, mean over a shingle, damped counts."""
+    words = [re.findall(r"[^\W_]+", t.lower()) for t in texts]
+    seen = {}
+    for w in words:
+        for x in set(w):
+            seen[x] = seen.get(x, 0) + 1
+    rare, top = near_dup.RARE, near_dup.TOP
+
+    def idf(x):
+        share = seen[x] / len(texts)
+        return 1 + (top - 1) * math.log(1 / min(1, max(rare, share))) / math.log(1 / rare)
+
+    out = []
+    for w in words:
+        own = {}
+        for i in range(max(1, len(w) - 4)) if w else ():
+            s = tuple(w[i:i + 5])
+            own[s] = own.get(s, 0) + 1
+        out.append({s: sum(map(idf, s)) / len(s) * (1 + math.log(n)) for s, n in own.items()})
+    return out
+
+
+def plain_similarity(a, b):
+    shared = sum(min(v, b[s]) for s, v in a.items() if s in b)
+    total = sum(a.values()) + sum(b.values()) - shared
+    return shared / total if total else 0.0
+
+
+def test_groups_are_those_of_all_pairs_by_plain_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("text is not null")
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    ids = sorted(text)
+    sets = dict(zip(ids, plain_sets([text[i] for i in ids]), strict=True))
+    parent = {i: i for i in ids}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    near = 0
+    for i in ids:
+        for j in ids:
+            if i < j and (plain_similarity(sets[i], sets[j]) >= near_dup.THRESHOLD or text[i] == text[j]):
+                near += text[i] != text[j]
+                a, b = sorted((root(i), root(j)))
+                parent[b] = a
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(docs).collect()}
+    assert near > 0 and got == {i: root(i) for i in ids}
+
+
+def test_recall_of_pairs_with_two_hundred_documents_outside_the_largest_class(spark):
+    """Two hundred groups of two in the buckets of a hot one, and near copies with similarities from 0.8 on: at least nine in ten pairs are found."""
+    rng = np.random.default_rng(12)
+    vocabulary = [f"v{i}" for i in range(3000)]
+    texts = []
+    for _ in range(200):
+        base = list(rng.choice(vocabulary, 120))
+        other = list(base)
+        for at in rng.choice(120, int(rng.integers(1, 3)), replace=False):
+            other[at] = "new"
+        texts += [" ".join(base), " ".join(other)]
+    texts += [" ".join(vocabulary[:150])] * 300
+    sets = plain_sets(texts)
+    want = [(2 * k, 2 * k + 1) for k in range(200) if plain_similarity(sets[2 * k], sets[2 * k + 1]) >= near_dup.THRESHOLD]
+    got = {r["doc_id"]: r["class_id"] for r in near_dup.near_duplicates(table(spark, texts)).collect()}
+    assert len(want) > 150 and sum(got[a] == got[b] for a, b in want) >= 0.9 * len(want)
+    assert len({got[i] for i in range(400, 700)}) == 1 and all(got[a] != got[a + 2] for a in range(0, 396, 2))
+
+
+# quality
+
+def test_votes_by_plain_neighbours():
+    rng = np.random.default_rng(3)
+    labelled, asked = ([" ".join("".join(rng.choice(list("abcXYZ12!|? "), rng.integers(2, 9))) for _ in range(40)) for _ in range(n)] for n in (60, 25))
+    labels = rng.integers(0, 2, 60)
+    model = quality.fit(quality.counts(labelled), labels)
+    own, theirs = (model.place(quality.counts(x)) for x in (asked, labelled))
+    for vector, score in zip(own, model.score(quality.counts(asked)), strict=True):
+        near = sorted(((float(vector @ v), y) for v, y in zip(theirs, labels, strict=True)), reverse=True)[:quality.NEIGHBOURS]
+        weight = [max(c, 0.0) ** quality.SHARPNESS for c, _ in near]
+        assert abs(score - sum(w * y for w, (_, y) in zip(weight, near, strict=True)) / sum(weight)) < 1e-4
+    together, alone = quality.counts(labelled), np.concatenate([quality.counts([t]) for t in labelled])
+    assert np.array_equal(together, alone)
+
+
+# the pipeline
+
+def test_rows_without_an_id_stay(spark):
+    import corpus_pipeline
+    docs = spark.createDataFrame([(None, "one text of many words that stands here twice over", "en", "s", 1), (None, "one text of many words that stands here twice over", "en", "s", 1), (1, "x y z", "en", "s", 1)], DOCS)
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        assert stage(spark, docs, "/root/testdata/sf0.001").where("doc_id is null").count() == 2, name
