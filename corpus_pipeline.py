@@ -9,20 +9,21 @@ from lectern.llm.staging import staged, table
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject; rows without an id or text are scored as others are."""
     return quality.good(docs, quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of exact and near copies; of rows with one id, one."""
+    """One document, that of the smallest id, of each group of exact and near copies; of rows with one id, one. Rows without an id are in no group, and stay."""
     kept = staged(near_dup.near_duplicates(docs).where("keep").select("doc_id"))
     once = docs.join(kept, docs.doc_id == kept.doc_id, "left_semi")
     repeated = not kept.groupBy("doc_id").count().where("count > 1").isEmpty()
-    return once.dropDuplicates(["doc_id"]) if repeated else once
+    once = once.dropDuplicates(["doc_id"]) if repeated else once
+    return once.union(docs.where("doc_id is null"))
 
 
 def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of the benchmark."""
+    """Documents that hold no item of the benchmark; rows without an id can't be told apart, and stay."""
     found = contamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return docs.join(staged(found.select("doc_id").distinct()), "doc_id", "left_anti")
 
