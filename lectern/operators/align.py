@@ -136,6 +136,14 @@ def fuzzy_map(a: DataFrame, b: DataFrame, key_a: str, key_b: str, threshold: flo
     return same.union(scored)
 
 
+def best_rejected(a: DataFrame, b: DataFrame, key_a: str, key_b: str, threshold: float, k: int = 5) -> DataFrame:
+    """For each text of ``a`` without a hit in `fuzzy_map` the text of ``b`` most like it, of those with a k-gram in common; the first key on a tie."""
+    rest = a.join(fuzzy_map(a, b, key_a, key_b, threshold, k).select(key_a).distinct(), key_a, "left_anti")
+    full = kgram_pairs(rest, b, key_a, key_b, k).join(rest.select(key_a, F.col("text").alias("_a")), key_a).join(b.select(key_b, F.col("text").alias("_b")), key_b)
+    scored = full.select(key_a, key_b, fold.ratio("_a", "_b", F.lit(0.0)).alias("score"))
+    return scored.groupBy(key_a).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(key_b))).alias("m")).select(key_a, F.col(f"m.{key_b}").alias(key_b), (-F.col("m.s")).alias("score"))
+
+
 def best_windows(queries: DataFrame, texts: DataFrame, on: str) -> DataFrame:
     """Of the runs of about a line's syllables in a passage the one most like it: ``(line, passage)`` by ``on``; other columns of the queries stay."""
     extra = [c for c in queries.columns if c not in (on, "line")]

@@ -224,6 +224,48 @@ def grade_checks(grade: DataFrame, termbase: DataFrame, texts: DataFrame) -> Dat
     return own.union(finding(both, "overlapping_scope", "error", F.col("a.form"), F.concat_ws("/", F.col("a.term"), F.col("b.term"))))
 
 
+def grade_findings(grade: DataFrame, termbase: DataFrame) -> DataFrame:
+    """All checks of a grade file against the termbase, E1 to E6 and W1 to W5.
+
+    ``grade`` is ``(verse_id, word, term, form, rendering, verse_text)``, a row a
+    keyword of a verse, and ``termbase`` ``(term, forms, rendering, verse_ids)``.
+    E1 a term that the termbase lacks, E2 a form that isn't in its verse, E3 a
+    form filed under a term of other forms, E4 another rendering than the
+    termbase's, E5 a form with several renderings in a verse or in overlapping
+    or open scopes, E6 no rendering; W1 a form with an ellipsis, W2 a word that
+    stands for several terms, W3 a form whose renderings are told apart by
+    verses, W4 verses that are not those of the term's scope, W5 a form inside
+    another term's in a verse.
+    """
+    plain = lambda c: F.regexp_replace(F.coalesce(c, F.lit("")), r"[\s།༄༅༎༑]+", "")
+    g = grade.where("term is not null")
+    known = termbase.select("term", F.col("forms").alias("_f"), F.col("rendering").alias("_r"))
+    rows = g.join(known, "term", "left").withColumn("_e", F.concat_ws("/", "verse_id", "term"))
+    has = F.coalesce(F.col("form"), F.lit("")) != ""
+    there = F.col("_f").isNotNull()
+    open_form = F.contains("form", F.lit("..."))
+    none = F.coalesce(F.col("rendering"), F.lit("")) == ""
+    own = rules(rows, "_e", [
+        ("E1", "error", ~there), ("E2", "error", there & has & ~open_form & (plain(F.col("verse_text")) != "") & ~F.contains(plain(F.col("verse_text")), plain(F.col("form")))),
+        ("E3", "error", there & has & (F.size("_f") > 0) & ~F.array_contains("_f", F.col("form"))), ("E4", "error", there & ~none & F.col("_r").isNotNull() & (F.col("rendering") != F.col("_r"))), ("E6", "error", there & none)])
+    twice = rows.where(there & has).groupBy("verse_id", "form").agg(F.count_distinct("rendering").alias("_n")).where("_n > 1")
+    forms = termbase.select("term", "rendering", F.coalesce("verse_ids", F.array().cast("array<string>")).alias("v"), F.explode("forms").alias("form"))
+    ellipsis = forms.where(F.rlike("form", F.lit(r"\.\.\.|…")))
+    whole = forms.where(~F.rlike("form", F.lit(r"\.\.\.|…")))
+    several = whole.groupBy("form").agg(F.count_distinct("rendering").alias("_k"), F.min(F.size("v")).alias("_least")).where("_k > 1")
+    shared = whole.join(several.select("form"), "form").select("form", "term", F.explode("v").alias("verse")).groupBy("form", "verse").agg(F.count_distinct("term").alias("_t")).where("_t > 1").select("form").distinct()
+    clash = several.join(shared.withColumn("_shared", F.lit(True)), "form", "left").withColumn("_bad", F.coalesce("_shared", F.lit(False)) | (F.col("_least") == 0))
+    words = grade.where("coalesce(word, '') <> '' and coalesce(form, '') <> ''").groupBy(F.lower("word").alias("word")).agg(F.count_distinct(F.coalesce("term", F.lit("?"))).alias("_n")).where("_n > 1")
+    used = g.groupBy("term").agg(F.array_sort(F.collect_set("verse_id")).alias("_used"))
+    scope = termbase.where(F.size("verse_ids") > 0).join(used, "term").where(F.array_sort(F.array_distinct("verse_ids")) != F.col("_used"))
+    a = rows.where(there & has).select("verse_id", "term", plain(F.col("form")).alias("x")).distinct()
+    b = a.select("verse_id", F.col("term").alias("other"), F.col("x").alias("y"))
+    inside = a.join(b, "verse_id").where((F.col("term") != F.col("other")) & (F.col("x") != F.col("y")) & (F.col("x") != "") & F.contains("y", F.col("x")))
+    return union(
+        own, finding(twice, "E5", "error", F.concat_ws("/", "verse_id", "form"), F.lit("")), finding(clash.where("_bad"), "E5", "error", "form", F.lit("")), finding(clash.where("not _bad"), "W3", "warn", "form", F.lit("")),
+        finding(ellipsis, "W1", "warn", F.concat_ws("/", "term", "form"), F.lit("")), finding(words, "W2", "warn", "word", F.lit("")), finding(scope, "W4", "warn", "term", F.lit("")), finding(inside, "W5", "warn", F.concat_ws("/", "verse_id", "term", "other"), F.lit("")))
+
+
 def section_checks(sections: DataFrame, spec: DataFrame, key: str) -> DataFrame:
     """Sections of a day file against a spec ``(section, pos, required, ceiling)``: missing, repeated, out of order, over the ceiling."""
     asked = spec.where("required").agg(F.collect_set("section").alias("_asked"))  # one row

@@ -25,7 +25,7 @@ def syllable_size(text: str) -> int:
 
 
 def rule_cuts(text: str, rules=RULES) -> list[tuple[int, str]]:
-    """Places of cuts with the first rule that makes each; none at the ends, none inside brackets."""
+    """Places of cuts with the first rule that makes each; none at the ends, after a syllable mark, or inside brackets."""
     depth, open_at = 0, []
     for c in text:
         open_at.append(depth)
@@ -34,14 +34,14 @@ def rule_cuts(text: str, rules=RULES) -> list[tuple[int, str]]:
     for name, pattern, side in rules:
         for m in re.finditer(pattern, text):
             at = m.start() if side == "before" else m.end()
-            if 0 < at < len(text) and not open_at[at]:
+            if valid_cut(text, at) and not open_at[at]:
                 found.setdefault(at, name)
     return sorted(found.items())
 
 
-def valid_cut(text: str, at: int, rules=RULES) -> bool:
-    """Whether a text may be cut at a place: a rule makes a cut there."""
-    return any(at == p for p, _ in rule_cuts(text, rules))
+def valid_cut(text: str, at: int) -> bool:
+    """Whether a text may be cut at a place: inside it, and not after a syllable mark, which stands within a phrase."""
+    return 0 < at < len(text.rstrip()) and not text[:at].rstrip().endswith(fixed.TSHEG)
 
 
 def clauses(text: Column | str) -> Column:

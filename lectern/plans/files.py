@@ -148,6 +148,33 @@ def p_grade_checks(spark, sf_dir):
     return checks.grade_checks(grade, base.union(second), texts)
 
 
+@L.add("E15", f"with {PART} select k as a, k as b, round(64 / 96, 9) as score from p where k % 2 = 1")
+def p_best_rejected(spark, sf_dir):
+    t = _part(spark, sf_dir).select("k", F.expr("md5(cast(k as string))").alias("text"))
+    other = t.select(F.col("k").alias("b"), F.expr("case when k % 2 = 0 then text else concat(text, repeat('#', 32)) end").alias("text"))
+    return align.best_rejected(t.select(F.col("k").alias("a"), "text"), other, "a", "b", 0.9, 12).select("a", "b", F.round("score", 9).alias("score"))
+
+
+@L.add("D24", f"""with {PART}, v as (select k, k % 10 as m, '1-' || k as verse, 't' || k as term from p)
+select case m when 0 then 'E1' when 1 then 'E2' when 2 then 'E3' when 3 then 'E4' else 'E6' end as check_name, 'error' as severity, verse || '/' || term as entity_id, '' as detail from v where m in (0, 1, 2, 3, 6)
+union all select 'E5', 'error', verse || '/f' || k, '' from v where m = 4 union all select 'E4', 'error', verse || '/' || term, '' from v where m = 4 union all select 'E5', 'error', 'f' || k, '' from v where m = 5
+union all select 'W3', 'warn', 'f' || k, '' from v where m = 7 union all select 'W1', 'warn', term || '/f…' || k, '' from v where m = 8 union all select 'W4', 'warn', term, '' from v where m = 9 union all select 'W2', 'warn', 'same' || k, '' from v where m = 9
+union all select 'W5', 'warn', verse || '/' || term || '/x' || k, '' from v where m = 9 union all select 'E1', 'error', verse || '/y' || k, '' from v where m = 9""")
+def p_grade_findings(spark, sf_dir):
+    """One defect a verse: which one goes by the last digit of its key."""
+    p = _part(spark, sf_dir).withColumns({"m": F.expr("k % 10"), "verse_id": F.expr("concat('1-', k)"), "term": F.expr("concat('t', k)"), "form": F.expr("concat('f', k)"), "text": F.expr("concat('of f', k, ' and f', k, 'long')")})
+    columns = ["verse_id", "word", "term", "form", "rendering", "verse_text"]
+    own = p.select("verse_id", F.expr("concat(case when m = 9 then 'same' else 'word' end, k)"), "term", F.expr("case when m = 2 then concat('f', k, 'long') when m = 8 then null else form end"), F.expr("case when m = 3 then 'wrong' when m = 6 then null else kind end"), F.expr("case when m = 1 then 'nothing' else text end"))
+    more = p.where("m = 4").select("verse_id", F.expr("concat('word', k)"), "term", "form", F.lit("other"), "text")
+    inner = p.where("m = 9").select("verse_id", F.expr("concat('Same', k)"), F.expr("concat('x', k)"), F.expr("concat('f', k, 'long')"), "kind", "text")
+    lost = p.where("m = 9").select("verse_id", F.lit(""), F.expr("concat('y', k)"), F.lit(None).cast("string"), "kind", "text")
+    grade = own.union(more).union(inner).union(lost).toDF(*columns)
+    base = p.where("m <> 0").select("term", F.expr("case when m = 8 then array(concat('f…', k)) else array(form) end").alias("forms"), F.col("kind").alias("rendering"), F.expr("case when m = 9 then array('9-9') else array(verse_id) end").alias("verse_ids"))
+    second = p.where("m in (5, 7)").select(F.expr("concat('z', k)"), F.array("form"), F.lit("other"), F.expr("case when m = 5 then array(verse_id) else array('8-8') end"))
+    third = p.where("m = 9").select(F.expr("concat('x', k)"), F.array(F.expr("concat('f', k, 'long')")), "kind", F.array("verse_id"))
+    return checks.grade_findings(grade, base.union(second).union(third))
+
+
 @L.add("E19", f"with {PART} select k as work, 0 as a, 0 as b, length(replace(name, ' ', '')) as n from p union all select k, 1, 0, length(kind) from p")
 def p_concordance(spark, sf_dir):
     pairs = _part(spark, sf_dir).select(F.col("k").cast("string").alias("work"), F.expr("array(concat(name, ' '), kind)").alias("a"), F.expr("array(concat(name, '. ', kind, '!'))").alias("b"))

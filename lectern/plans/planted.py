@@ -361,10 +361,10 @@ def p_reply_gates(spark, sf_dir):
     return _part(spark, sf_dir).select("k", hooks.reply_gates(F.concat("name", F.lit(" ⟦1⟧")), reply).alias("passes"))
 
 
-@L.add("D38 H1", f"with {PART} select k, length(name) + 2 as at, true as valid from p union all select k, 1, false from p")
+@L.add("D38", _rows(["k ; 2 ; false", "k ; 3 ; true", "k ; 5 ; true", "k ; 0 ; false", "k ; 6 + length(name) ; false"], "k at valid"))
 def p_valid_cuts(spark, sf_dir):
-    text = F.concat("name", F.lit(". "), F.col("kind"), F.lit(" (one. two) end"))
-    return _part(spark, sf_dir).select("k", text.alias("t"), F.explode(F.array(F.length("name") + 2, F.lit(1))).alias("at")).select("k", "at", _valid("t", "at").alias("valid"))
+    rows = _part(spark, sf_dir).select("k", F.concat(F.lit("ཀ་ཁ། "), "name", F.lit("  ")).alias("t"), F.explode(F.array(F.lit(2), F.lit(3), F.lit(5), F.lit(0), 6 + F.length("name"))).alias("at"))
+    return rows.select("k", "at", _valid("t", "at").alias("valid"))
 
 
 @F.pandas_udf(K.BooleanType())

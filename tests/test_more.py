@@ -221,7 +221,7 @@ def test_align_rest(spark):
     assert rows(align.best_match(x, y, "x", "y", 0.8), "x", "y") in ([(1, 7)], [(1, 8)])
     words = spark.createDataFrame([(["the", "noble", "truth"],)], "w array<string>")
     assert words.select(fold.phrase_tokens(["noble truth"])("w").alias("w")).first()["w"] == ["the", "noble truth"]
-    assert segment.valid_cut("One. Two", 5) and not segment.valid_cut("One. Two", 3)
+    assert segment.valid_cut("One. Two", 5) and not segment.valid_cut("ཀ་ཁ། ག", 2) and not segment.valid_cut("One", 3)
 
 
 def test_simulation_tiles(spark):
