@@ -17,12 +17,12 @@ def _docs(spark, sf_dir):
 
 def _blocks(spark, sf_dir, lang):
     docs = _docs(spark, sf_dir).where(F.col("lang") == lang)
-    rows = notes.lines(docs.select("doc_id", "source", "text"), ["doc_id", "source"]).where("line_no <= 3")
+    rows = notes.lines(docs.select("doc_id", "source", "text"), ["doc_id", "source"])
     return rows.groupBy(F.concat_ws("-", "source", F.col("line_no").cast("string")).alias("block_id")).agg(F.min_by("line", "doc_id").alias("text"))
 
 
 def _sql_blocks(lang):
-    return f"select source || '-' || line_no as block_id, arg_min(line, doc_id) as text from ln where lang = '{lang}' and line_no <= 3 group by 1"
+    return f"select source || '-' || line_no as block_id, arg_min(line, doc_id) as text from ln where lang = '{lang}' group by 1"
 
 
 @L.add("E1 A2 B1", f"with {LINES_SQL}, a as ({_sql_blocks('fr')}), b as ({_sql_blocks('es')}) select block_id, coalesce(a.text, '') as source_text, coalesce(b.text, '') as target_text, case when coalesce(a.text, '') <> '' and coalesce(b.text, '') <> '' then '' when coalesce(a.text, '') <> '' then 'target-only-missing' else 'source-only-missing' end as notes from a full join b using (block_id)")
