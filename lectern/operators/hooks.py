@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as K
 
@@ -74,6 +75,16 @@ def reply_gates(original: Column | str, reply: Column | str, low: float = 0.5, h
     return share.between(low, high) & (refs(original) == refs(reply)) & ~F.rlike(reply, F.lit(r"\A\s*```"))
 
 
+def as_events(replies: DataFrame, key: str, order: str, size: int) -> DataFrame:
+    """Replies of a key as events of ``size`` each, as they would be streamed: ``(key, event, text)``, the last one saying that it is the last."""
+    w = W.partitionBy(key).orderBy(order)
+    rows = replies.withColumn("event", F.floor((F.row_number().over(w) - 1) / size).cast("int"))
+    items = F.transform(F.array_sort(F.collect_list(F.struct(order, "reply"))), lambda s: s["reply"])
+    events = rows.groupBy(key, "event").agg(items.alias("replies"))
+    last = F.max("event").over(W.partitionBy(key)) == F.col("event")
+    return events.select(key, "event", F.concat(F.lit("event: "), F.when(last, "done").otherwise("batch"), F.lit("\ndata: "), F.to_json("replies"), F.lit("\n\n")).alias("text"))
+
+
 def isolate(units: list, probe: Callable[[list], bool]) -> list:
     """The units that a probe refuses, found by halving."""
     if not units or probe(units):

@@ -43,6 +43,14 @@ def parents(headings: DataFrame, keys: list[str], order: str, level: str) -> Dat
     return headings.groupBy(*keys).applyInPandas(nest, with_field(headings, "parent", K.LongType()))
 
 
+def tree_text(nodes: DataFrame, key: str) -> DataFrame:
+    """A tree's nodes ``(key, path, label)`` as indented lines, in the order of their decimal paths."""
+    steps = F.transform(F.split("path", r"\."), lambda x: x.cast("int"))
+    line = F.concat(F.repeat(F.lit("   "), F.size(F.split("path", r"\.")) - 1), F.lit("└─ "), "label")
+    ordered = F.array_sort(F.collect_list(F.struct(steps.alias("s"), line.alias("line"))))
+    return nodes.groupBy(key).agg(F.array_join(F.transform(ordered, lambda x: x["line"]), "\n").alias("text"))
+
+
 def reordered(nodes: DataFrame, keys: list[str], renumber: bool = False) -> DataFrame:
     """Children by the place of their text; ids stay unless they are renumbered. Nodes without a place keep theirs."""
     w = W.partitionBy(*keys, "parent_id").orderBy(F.coalesce("place", F.col("pos")), "pos")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions import fixed
-from lectern.sources.stage import ship
+from lectern.sources.stage import ship, small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +34,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    if name in ("documents", "pages") and len(df.inputFiles()) < cores:
+    if name in ("documents", "pages") and small(df, cores):
         return df.repartition(cores)
     return df
 

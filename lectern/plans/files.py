@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import fold, tibetan
 from lectern.functions import text as T
-from lectern.operators import align, checks, hooks
+from lectern.operators import align, checks, hooks, layout
 from lectern.plans.base import Listing, table
 from lectern.plans.planted import PART
 from lectern.sources import notes, sinks
@@ -130,6 +130,34 @@ def r_ledger_stream(spark, sf_dir):
 # what needs no file, and stands in no other list
 
 
+@L.add("A43 A45 I2", "select n_nationkey as id, n_name as name from nation where n_nationkey >= 7")
+def p_paged(spark, sf_dir):
+    """Rows of a service of pages of four, newest first, until a page ends before a time; the nations, 25 rows, are the service."""
+    rows = [{"id": r["k"], "ts": r["k"], "name": r["name"]} for r in _nation(spark, sf_dir).orderBy(F.desc("k")).collect()]
+    asked: list[object] = []
+
+    def fetch(last: object) -> list[dict]:
+        asked.append(last)
+        return [r for r in rows if last is None or r["id"] < last][:4]
+
+    found = feed.paged(fetch, 7)
+    if len(asked) != 5:
+        raise AssertionError(f"{len(asked)} pages were asked for")
+    return spark.createDataFrame([(r["id"], r["name"]) for r in found], "id int, name string")
+
+
+@L.add("I8", f"with {PART} select k, 0 as event, 'event: batch' || chr(10) || 'data: [\"' || name || '\",\"' || kind || '\"]' || chr(10) || chr(10) as text from p union all select k, 1, 'event: done' || chr(10) || 'data: [\"' || brand || '\"]' || chr(10) || chr(10) from p")
+def p_events(spark, sf_dir):
+    replies = _part(spark, sf_dir).select("k", F.posexplode(F.array("name", "kind", "brand")).alias("n", "reply"))
+    return hooks.as_events(replies, "k", "n", 2)
+
+
+@L.add("J9", f"with {PART} select k, '└─ ' || name || chr(10) || '   └─ ' || kind || chr(10) || '   └─ ' || brand || chr(10) || '└─ end' as text from p")
+def p_tree_text(spark, sf_dir):
+    nodes = _part(spark, sf_dir).select("k", F.explode(F.array(*(F.struct(F.lit(path).alias("path"), label.alias("label")) for path, label in (("1.10", F.col("brand")), ("2", F.lit("end")), ("1", F.col("name")), ("1.9", F.col("kind")))))).alias("n"))
+    return layout.tree_text(nodes.select("k", "n.*"), "k")
+
+
 @L.add("C10 C23 C25", f"with {PART} select k, replace(name, ' ', '') || 'é' as key, 'ང འི ཁ' as spaced, 'ཀྱུ' as ordered from p")
 def p_normal_order(spark, sf_dir):
     p = _part(spark, sf_dir)

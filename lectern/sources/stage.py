@@ -64,6 +64,11 @@ def put(spark: SparkSession, path: str, content: bytes) -> str:
     return path
 
 
+def small(df: DataFrame, cores: int, bytes_a_core: int = 64_000_000) -> bool:
+    """Whether a table is of fewer files than cores, and of so few bytes that dealing its rows out costs little; the files of a large one are not listed."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < cores * bytes_a_core and len(df.inputFiles()) < cores
+
+
 def ship(spark: SparkSession) -> None:
     """Sends this package to the executors, once a context: Arrow functions of the library are read there by name. Needless where it is installed on them."""
     sc = spark.sparkContext

@@ -32,6 +32,23 @@ def since(df: DataFrame, ts: str, first: str, end: str) -> DataFrame:
     return df.where((F.col(ts) >= F.lit(first).cast("timestamp_ntz")) & (F.col(ts) < F.lit(end).cast("timestamp_ntz")))
 
 
+def paged(fetch: Callable[[object], list[dict]], after, pages: int = 20, key: str = "id", ts: str = "ts") -> list[dict]:
+    """Rows of a service that gives them page by page, the newest first: those from a time on.
+
+    ``fetch`` gets the last key of the page before, none at first. Pages are asked
+    for until one is empty or ends before the time, or until there were ``pages``.
+    """
+    out: list[dict] = []
+    last = None
+    for _ in range(pages):
+        page = fetch(last)
+        out += [m for m in page if m[ts] >= after]
+        if not page or page[-1][ts] < after:
+            break
+        last = page[-1][key]
+    return out
+
+
 def _stitch(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     author, at, unit = state.get if state.exists else (None, None, 0)
     rows = []
