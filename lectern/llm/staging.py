@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lectern.sources.stage import ship, staged, sweep
+from lectern.sources.stage import ship, small, staged, sweep
 
 __all__ = ["as_ddl", "buckets_for", "map_rows", "prepare", "running_total", "staged", "sweep", "table", "whole_numbers"]
 
@@ -16,7 +16,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of a folder. One in fewer files than there are cores is dealt out first, as a file of one row group is one task."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if small(df, cores) else df
 
 
 def prepare(spark: SparkSession, rows: int = 500) -> None:
