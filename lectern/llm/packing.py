@@ -163,7 +163,7 @@ def superstep(state: DataFrame, step: Callable[[list[Run]], list[Run]]) -> DataF
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         runs = [(k, int(size), int(start), int(n), None, None, None) for pdf in batches for k, size, start, n in zip(pdf["kind"], pdf["size"], pdf["start"], pdf["n"], strict=True) if k != "plan"]
-        columns = list(zip(*step(runs), strict=True)) or [()] * len(names)
+        columns = list(zip(*step(sorted(runs)), strict=True)) or [()] * len(names)
         yield pd.DataFrame({c: pd.Series(v, dtype=object if c == "kind" else "Int64") for c, v in zip(names, columns, strict=True)})
 
     return staged(state.coalesce(1).mapInPandas(run, STATE))
