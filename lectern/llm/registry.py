@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from lectern.llm import hard_negatives, sort_means
+from lectern.llm.byte_bpe import op13_byte_bpe
 from lectern.llm.contamination import op5_benchmark_decontamination
 from lectern.llm.fingerprints import op7_syncmer_fingerprints
 from lectern.llm.licenses import op3_license_scan
@@ -24,5 +26,8 @@ QUERIES = {f.__name__: f for f in (
     op8_quality_knn,
     op9_wrapper_induction,
     op10_best_fit_packing,
+    hard_negatives.op11_quantised_negatives,
+    sort_means.op12_sort_means,
+    op13_byte_bpe,
 )}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_quantised_negatives": hard_negatives.SQL, "op12_sort_means": sort_means.SQL}

@@ -7,9 +7,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from lectern.sources.stage import ship, small, staged, sweep
+from lectern.sources.stage import fresh_path, ship, small, staged, sweep
 
-__all__ = ["as_ddl", "buckets_for", "map_rows", "prepare", "running_total", "staged", "sweep", "table", "whole_numbers"]
+__all__ = ["as_ddl", "buckets_for", "fresh_path", "map_rows", "prepare", "running_total", "staged", "sweep", "table", "whole_numbers"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
