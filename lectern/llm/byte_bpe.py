@@ -5,8 +5,6 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Callable, Iterator
-from itertools import islice
-from operator import methodcaller
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +14,10 @@ from lectern.llm import textkit
 from lectern.llm.staging import map_rows, prepare, table
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Pre-tokens that are looked up at once, and that a worker remembers at most; longer ones than the third are not remembered.
-RUN, REMEMBERED, LONG = 100_000, 400_000, 48
+#: Characters that are cut to pre-tokens at once, pre-tokens that a worker remembers at most, and characters of the longest that it remembers.
+RUN, REMEMBERED, LONG = 1_000_000, 400_000, 48
+#: Bytes of ids that are decoded to one batch.
+DECODED = 4_000_000
 
 
 def byte_letters() -> list[str]:
@@ -76,7 +76,7 @@ class Coder:
         import sentencepiece
 
         self.pieces = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.find = regex.compile(pattern).finditer
+        self.pattern = regex.compile(pattern)
         byte_of = {letter: b for b, letter in enumerate(byte_letters())}
         self.letters = dict(enumerate(byte_letters()))
         self.ids = ids
@@ -91,20 +91,32 @@ class Coder:
         found = ([self.whole[b]] if b in self.whole else [self.ids[k] for k in next(merged)] for b in spelt)
         return {t: struct.pack(f"<{len(ids)}I", *ids) for t, ids in zip(new, found, strict=True)}
 
+    def _pre_tokens(self, text: str) -> Iterator[list[str]]:
+        """What the pattern matches, in runs of about ``RUN`` characters."""
+        if len(text) <= RUN:
+            yield self.pattern.findall(text)
+            return
+        run, size = [], 0
+        for m in self.pattern.finditer(text):
+            run.append(m.group())
+            size += len(run[-1])
+            if size >= RUN:
+                yield run
+                run, size = [], 0
+        yield run
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian words, each match of the pattern by itself."""
-        out, matches = [], map(methodcaller("group"), self.find(text))
-        while run := list(islice(matches, RUN)):
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            new = [t for t in set(run) if t not in self.known]
-            if new:
-                learnt = self._learn(new)
-                self.known |= learnt
-            out.append(b"".join(map(self.known.__getitem__, run)))
-            for t in new:
-                if len(t) > LONG:
-                    del self.known[t]
+        out = []
+        for run in self._pre_tokens(text):
+            ids = list(map(self.known.get, run))
+            if None in ids:
+                learnt = self._learn(list({t for t, i in zip(run, ids, strict=True) if i is None}))
+                ids = [learnt[t] if i is None else i for t, i in zip(run, ids, strict=True)]
+                if len(self.known) > REMEMBERED:
+                    self.known.clear()
+                self.known |= {t: i for t, i in learnt.items() if len(t) <= LONG}
+            out.append(b"".join(ids))
         return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:
@@ -148,9 +160,9 @@ def decoded(tokens: DataFrame, coder: Callable[[], Coder]) -> DataFrame:
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = coder()
         for pdf in batches:
-            for i in range(len(pdf)):
-                part = pdf.iloc[i:i + 1]
-                yield part.assign(bytes=[own.decode(part["ids"].iloc[0] or b"")])
+            sizes = pdf["ids"].str.len().fillna(0).cumsum()
+            for _, part in pdf.groupby(sizes // DECODED, sort=True):
+                yield part.assign(bytes=[own.decode(x or b"") for x in part["ids"]])
 
     return map_rows(tokens.select("doc_id", "ids"), decode, "doc_id long, ids binary, bytes binary")
 

@@ -176,7 +176,7 @@ def test_ids_are_those_of_the_plain_coder_and_come_back(coder, plain_coder, text
 
 
 def test_long_texts_and_forgotten_words(coder, plain_coder, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "RUN", 10)
+    monkeypatch.setattr(byte_bpe, "RUN", 40)
     monkeypatch.setattr(byte_bpe, "REMEMBERED", 20)
     rng = np.random.default_rng(9)
     text = "x" * 3000 + " " * 500 + " ".join("".join(rng.choice(list("abcdé中"), 5)) for _ in range(3000))
