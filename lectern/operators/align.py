@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.functions import fold
+from lectern.functions import blocks, letters, windows
 from lectern.functions import text as T
 
-#: Terms of up to so many characters in all are broadcast; more are found by the n-grams they begin with.
-BROADCAST_CHARS = 2_000_000
-
 
 def full_outer(source: DataFrame, target: DataFrame, key: str = "block_id") -> DataFrame:
     """Blocks of both sides by id. An empty text is a missing one; the note names the side that is missing."""
@@ -81,192 +79,106 @@ def packet(slots: DataFrame, claims: DataFrame) -> DataFrame:
     return found.union(gaps)
 
 
-def term_hits(texts: DataFrame, terms: DataFrame, key: str, term: str = "term", text: str = "text") -> DataFrame:
-    """How often each term is a part of each text, for those where it is.
-
-    Few terms are broadcast. Many are joined by their first four characters (all
-    of a shorter one) with the n-grams of the texts, and then compared.
-    """
-    terms = terms.select(term).where(F.length(term) > 0).distinct()
-    chars = terms.agg(F.coalesce(F.sum(F.length(term)), F.lit(0))).first()[0]
-    rows = texts.select(key, F.col(text).alias("_text"))
-    if chars <= BROADCAST_CHARS:
-        found = rows.join(F.broadcast(terms), F.contains(F.col("_text"), F.col(term)))
-    else:
-        size = F.least(F.lit(4), F.length(term))
-        probes = terms.withColumn("_gram", F.substring(F.col(term), F.lit(1), size))
-        grams = [F.when(F.length("_text") >= n, F.transform(F.sequence(F.lit(1), F.length("_text") - n + 1), _gram_at(n))).otherwise(F.array().cast("array<string>")) for n in range(1, 5)]
-        spread = texts.select(key, F.col(text).alias("_text")).select(key, F.explode(F.array_distinct(F.concat(*grams))).alias("_gram"))
-        near = spread.join(probes, "_gram").select(key, term)
-        found = near.join(rows, key).where(F.contains(F.col("_text"), F.col(term)))
-    times = (F.length("_text") - F.length(F.replace(F.col("_text"), F.col(term)))) / F.length(term)
-    return found.select(key, term, times.cast("long").alias("n"))
-
-
-def _gram_at(n: int):
-    return lambda i: F.substring(F.col("_text"), i, F.lit(n))
-
-
 def capped(hits: DataFrame, key: str, order: list, most: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(W.partitionBy(key).orderBy(*order))).where(F.col("rank") <= most)
 
 
-def kgram_pairs(a: DataFrame, b: DataFrame, key_a: str, key_b: str, k: int = 5, threshold: float = 0.0) -> DataFrame:
-    """Pairs of texts that share a run of k characters, white space aside, and whose lengths allow a ratio of ``threshold``.
-
-    A run in common is met at its first k-gram only: where what stands before differs, or a text begins.
-    """
-    def grams(df, key, side):
-        t = T.squeeze("text")
-        places = F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(t) - k + 1))
-        of = lambda i: F.struct(F.xxhash64(F.substring(t, i, F.lit(k))).alias("g"), F.when(i > 1, F.substring(t, i - 1, F.lit(1))).otherwise("").alias("before"))
-        spread = df.select(key, F.length("text").alias(f"_n_{side}"), F.explode(F.array_distinct(F.transform(places, of))).alias("_g"))
-        return spread.select(key, f"_n_{side}", F.col("_g.g").alias("g"), F.col("_g.before").alias(f"_p_{side}"))
-    shared = (F.col("_p_a") != F.col("_p_b")) | (F.col("_p_a") == "")
-    near = 2 * F.least("_n_a", "_n_b") >= (threshold - 1e-9) * (F.col("_n_a") + F.col("_n_b"))
-    return grams(a, key_a, "a").join(grams(b, key_b, "b"), "g").where(shared & near).select(key_a, key_b).distinct()
-
-
-def fuzzy_map(a: DataFrame, b: DataFrame, key_a: str, key_b: str, threshold: float, k: int = 5) -> DataFrame:
-    """Texts of ``a`` with the texts of ``b`` that are like them, equal ones by an equi-join, others among pairs with a k-gram in common."""
-    same = a.select(key_a, "text").join(b.select(key_b, "text"), "text").select(key_a, key_b, F.lit(1.0).alias("score"))
-    pairs = kgram_pairs(a, b, key_a, key_b, k, threshold).join(same.select(key_a, key_b), [key_a, key_b], "left_anti")
-    full = pairs.join(a.select(key_a, F.col("text").alias("_a")), key_a).join(b.select(key_b, F.col("text").alias("_b")), key_b)
-    scored = full.select(key_a, key_b, fold.ratio("_a", "_b", F.lit(threshold)).alias("score")).where(F.col("score") >= threshold)
-    return same.union(scored)
-
-
-def best_rejected(a: DataFrame, b: DataFrame, key_a: str, key_b: str, threshold: float, k: int = 5) -> DataFrame:
-    """For each text of ``a`` without a hit in `fuzzy_map` the text of ``b`` most like it, of those with a k-gram in common; the first key on a tie."""
-    rest = a.join(fuzzy_map(a, b, key_a, key_b, threshold, k).select(key_a).distinct(), key_a, "left_anti")
-    full = kgram_pairs(rest, b, key_a, key_b, k).join(rest.select(key_a, F.col("text").alias("_a")), key_a).join(b.select(key_b, F.col("text").alias("_b")), key_b)
-    scored = full.select(key_a, key_b, fold.ratio("_a", "_b", F.lit(0.0)).alias("score"))
-    return scored.groupBy(key_a).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(key_b))).alias("m")).select(key_a, F.col(f"m.{key_b}").alias(key_b), (-F.col("m.s")).alias("score"))
-
-
 def best_windows(queries: DataFrame, texts: DataFrame, on: str) -> DataFrame:
-    """Of the runs of about a line's syllables in a passage the one most like it: ``(line, passage)`` by ``on``; other columns of the queries stay."""
+    """Of the runs of about a line's words in a passage the one most like it: ``(line, passage)`` by ``on``; other columns of the queries stay."""
     extra = [c for c in queries.columns if c not in (on, "line")]
 
     def find(batches):
         for pdf in batches:
-            rows = []
+            rows, last = [], (None, None)
             for key, line, passage, *more in zip(pdf[on], pdf["line"], pdf["passage"], *(pdf[c] for c in extra), strict=True):
-                want, have = (line or "").split(), (passage or "").split()
-                best = (0.0, "")
-                if want and f" {' '.join(want)} " in f" {' '.join(have)} ":
-                    rows.append((key, *more, line, 1.0, " ".join(want)))
-                    continue
-                for n in range(max(1, len(want) - 1), len(want) + 2):
-                    for i in range(len(have) - n + 1):
-                        window = " ".join(have[i:i + n])
-                        if window == " ".join(want):
-                            best = (1.0, window)
-                            break
-                        score = fold.similarity(" ".join(want), window, best[0])
-                        if score > best[0]:
-                            best = (score, window)
-                    if best[0] == 1.0:
-                        break
-                rows.append((key, *more, line, *best))
+                if passage != last[0]:
+                    last = passage, windows.Passage(passage or "")
+                rows.append((key, *more, line, *last[1].best(line or "")))
             yield pd.DataFrame(rows, columns=[on, *extra, "line", "score", "window"])
     kinds = ", ".join(f"{c} {dict(queries.dtypes)[c]}" for c in (on, *extra))
     return queries.join(texts, on).select(on, *extra, "line", "passage").mapInPandas(find, f"{kinds}, line string, score double, window string")
 
 
-#: How a line begins that closes a quoted stanza, without its marks.
-CLOSERS = ("zespa ni", "cespani", "zesgsung")
-
-
-def _same_line(x: str, y: str) -> bool:
-    return bool(x and y) and (x == y or (len(x) >= 8 and x in y) or fold.similarity(x, y, 0.8) >= 0.8)
-
-
-def stanza_span(lines: list[str], doc: list[str], start: int, closers: tuple[str, ...] = CLOSERS) -> tuple[int, int]:
-    """Lines of a stanza that a document has from ``start`` on, and how many of the document's lines they take; (0, 0) if too few.
-
-    One line of the document may hold the whole stanza. Else lines go with
-    lines up to the second that differs, and half of them, two at least, must
-    be alike; one is enough before a closing line.
-    """
-    whole = "".join(lines)
-    if whole and (whole == doc[start] or fold.similarity(whole, doc[start], 0.78) >= 0.78):
-        return len(lines), 1
-    alike = [_same_line(x, y) for x, y in zip(lines, doc[start:], strict=False)]
-    misses = [i for i, same in enumerate(alike) if not same]
-    reach = misses[1] if len(misses) > 1 else len(alike)
-    matched = sum(alike[:reach])
-    closed = matched > 0 and start + reach < len(doc) and doc[start + reach].startswith(closers)
-    return (matched, reach) if matched >= max(2, -(-len(lines) // 2)) or closed else (0, 0)
-
-
-def stanza_places(stanzas: DataFrame, docs: DataFrame) -> DataFrame:
-    """Where each stanza stands in a document: the place with most of its lines, the first of several, each line of the document taken once.
-
-    Takes ``(doc_id, stanza_id, lines)`` and ``(doc_id, lines)``, lines without
-    marks. Places to look at are those where a line of the document begins with
-    the first five characters of a line of the stanza, or of the whole stanza,
-    with or without the very first.
-    """
-    def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        out, taken, at = [], set(), {}
-        for i, line in enumerate(pdf["doc_lines"].iloc[0] if len(pdf) else ()):
-            if len(line) >= 5:
-                at.setdefault(line[1:6], set()).add(i)
-                at.setdefault(line[:5], set()).add(i)
-        for r in pdf.sort_values("stanza_id").itertuples():
-            lines, doc = list(r.lines), list(r.doc_lines)
-            probes = [(k, x) for k, x in [*enumerate(lines), (0, "".join(lines))] if len(x) >= 5]
-            starts = {i - k for k, x in probes for g in (x[:5], x[1:6]) for i in at.get(g, ())}
-            found = [(matched, -start, reach) for start in starts if start >= 0 and start not in taken for matched, reach in [stanza_span(lines, doc, start)] if matched and not taken.intersection(range(start, start + reach))]
-            if found:
-                matched, start, reach = max(found)
-                taken.update(range(-start, reach - start))
-                out.append((r.doc_id, r.stanza_id, -start, matched))
-        return pd.DataFrame(out, columns=["doc_id", "stanza_id", "start_line", "matched"])
-    joined = stanzas.join(docs.select("doc_id", F.col("lines").alias("doc_lines")), "doc_id")
-    return joined.groupBy("doc_id").applyInPandas(place, "doc_id long, stanza_id long, start_line int, matched int")
-
-
 def concordance(pairs: DataFrame, min_overlap: int = 8) -> DataFrame:
     """Letters of two cuts of a text in common, by row and block: ``(work, a, b)`` are arrays of texts; a pair needs ``min_overlap`` letters or a whole side."""
     def run(batches):
-        import difflib
         for pdf in batches:
             rows = []
             for work, a, b in zip(pdf["work"], pdf["a"], pdf["b"], strict=True):
-                la, lb = (["".join(c for c in t if c.isalpha()) for t in x] for x in (a, b))
-                own_a, own_b = ([i for i, t in enumerate(x) for _ in t] for x in (la, lb))
-                votes: dict[tuple[int, int], int] = {}
-                x, y = "".join(la), "".join(lb)
-                for m in [difflib.Match(0, 0, len(x))] if x == y else difflib.SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks():
-                    for k in range(m.size):
-                        key = own_a[m.a + k], own_b[m.b + k]
-                        votes[key] = votes.get(key, 0) + 1
-                rows += [(work, i, j, n) for (i, j), n in votes.items() if n >= min_overlap or n in (len(la[i]), len(lb[j]))]
+                la, lb = (["".join(filter(str.isalpha, t)) for t in x] for x in (a, b))
+                own_a, own_b = (np.repeat(np.arange(len(x)), [len(t) for t in x]) for x in (la, lb))
+                met = [own_a[x:x + n] * len(lb) + own_b[y:y + n] for x, y, n in blocks.matching_blocks("".join(la), "".join(lb))]
+                pairs, letters = np.unique(np.concatenate(met) if met else np.zeros(0, np.int64), return_counts=True)
+                for at, n in zip(pairs.tolist(), letters.tolist(), strict=True):
+                    i, j = divmod(at, len(lb))
+                    if n >= min_overlap or n in (len(la[i]), len(lb[j])):
+                        rows.append((work, i, j, n))
             yield pd.DataFrame(rows, columns=["work", "row", "block", "letters"])
     return pairs.mapInPandas(run, "work string, row int, block int, letters int")
 
 
 def projected_spans(spans: DataFrame, texts: DataFrame, key: str) -> DataFrame:
-    """Spans of one version of a text on another: ``(key, start, end)`` and ``(key, a, b)``; null where a span has no place there."""
+    """Spans of one version of a text on another, the smallest that cover what is left of them: ``(key, start, end)`` and ``(key, a, b)``; null where nothing is."""
     def run(batches):
         for pdf in batches:
             rows = []
-            for k, a, b, start, end in zip(pdf[key], pdf["a"], pdf["b"], pdf["start"], pdf["end"], strict=True):
-                x, y = fold.project(a or "", b or "", [int(start), int(end)])
-                rows.append((k, start, end, x, y if x is not None and y is not None and y >= x else None))
+            for k, a, b, asked in zip(pdf[key], pdf["a"], pdf["b"], pdf["asked"], strict=True):
+                own = [(s["start"], s["end"]) for s in asked]
+                rows += [(k, *span, *(to or (None, None))) for span, to in zip(own, letters.projected(a or "", b or "", own), strict=True)]
             yield pd.DataFrame(rows, columns=[key, "start", "end", "to_start", "to_end"]).astype({"to_start": "Int64", "to_end": "Int64"})
-    return spans.join(texts, key).mapInPandas(run, f"{key} {dict(spans.dtypes)[key]}, start int, end int, to_start int, to_end int")
+    asked = spans.groupBy(key).agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))).alias("asked"))
+    return asked.join(texts, key).select(key, "a", "b", "asked").mapInPandas(run, f"{key} {dict(spans.dtypes)[key]}, start int, end int, to_start int, to_end int")
+
+
+#: Levels of the powers of two that a span of longs can need.
+LEVELS = 62
+
+
+def _at(value: Column, level: Column) -> Column:
+    return F.call_function("shiftright", value.cast("long"), level.cast("int"))
+
 
+def _cover(start: Column, end: Column) -> Column:
+    """The fewest intervals of a power of two that make up the half-open span, two a level at most, as ``(level, place)``; of an empty span the interval of one at its start."""
+    last = F.greatest(end, start + 1)
+    levels = F.sequence(F.lit(0), F.least(F.lit(LEVELS), F.length(F.bin(F.greatest(last - start, F.lit(1))))))
 
-def overlap_join(a: DataFrame, b: DataFrame, key: str, width: int = 1000) -> DataFrame:
-    """Half-open spans of two tables that overlap, by key: an equi-join on the bins they touch, each pair kept in its first common bin."""
-    bins = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / width), F.floor(F.greatest(F.col(hi) - 1, F.col(lo)) / width)))
-    left = a.withColumn("_bin", bins("start", "end"))
-    right = b.select(key, *(F.col(c).alias(f"{c}_b") for c in b.columns if c != key)).withColumn("_bin", bins("start_b", "end_b"))
-    hit = left.join(right, [key, "_bin"]).where("start < end_b and end > start_b")
-    return hit.where(F.col("_bin") == F.floor(F.greatest("start", "start_b") / width)).drop("_bin")
+    def of(level: Column) -> Column:
+        # what earlier levels have left of the span, in intervals of this level: from the start rounded up to the end rounded down
+        low, high = -_at(-start, level), _at(last, level)
+        node = lambda place: F.struct(level.cast("int").alias("level"), place.cast("long").alias("place"))
+        left = F.when((low < high) & (F.pmod(low, F.lit(2)) == 1), node(low))
+        right = F.when((low < high) & (F.pmod(high, F.lit(2)) == 1), node(high - 1))
+        return F.array(left, right)
+    return F.array_compact(F.flatten(F.transform(levels, of)))
+
+
+def overlap_join(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """Half-open spans of two tables that overlap, by key, however long they are.
+
+    A span is made up of intervals of powers of two, two a level at most, so one
+    of length n has no more than 2 log n rows. Of two such intervals that meet,
+    one holds the other: each of a span's intervals is also listed by those that
+    hold it and that the other table has levels for, and the join is on equal
+    intervals. Each pair is kept once, where its first common place lies.
+    """
+    left = a.withColumn("_piece", F.explode(_cover(F.col("start"), F.col("end"))))
+    right = b.select(key, *(F.col(c).alias(f"{c}_b") for c in b.columns if c != key)).withColumn("_piece", F.explode(_cover(F.col("start_b"), F.col("end_b"))))
+
+    def above(df: DataFrame, levels: list[int]) -> DataFrame:
+        higher = F.array(*map(F.lit, levels)).cast("array<int>")
+        up = F.transform(F.filter(higher, lambda n: n >= F.col("_piece.level")), lambda n: F.struct(n.alias("level"), _at(F.col("_piece.place"), n - F.col("_piece.level")).alias("place")))
+        return df.withColumn("_node", F.explode(up))
+
+    levels = lambda df: sorted(r[0] for r in df.select("_piece.level").distinct().collect())  # noqa: E731  62 at most
+    as_b = lambda df: df.withColumnRenamed("_piece", "_piece_b")
+    one = above(left, levels(right)).join(as_b(right.withColumn("_node", F.col("_piece"))), [key, "_node"])
+    two = as_b(above(right, levels(left)).where("_node.level > _piece.level")).join(left.withColumn("_node", F.col("_piece")), [key, "_node"])
+    columns = [c for c in one.columns if not c.startswith("_")]
+    both = one.select(*columns, "_piece", "_piece_b").unionByName(two.select(*columns, "_piece", "_piece_b"))
+    begin = lambda p: F.call_function("shiftleft", F.col(f"{p}.place"), F.col(f"{p}.level"))
+    inside = both.where("start < end_b and end > start_b")
+    return inside.where(F.greatest("start", "start_b") == F.greatest(begin("_piece"), begin("_piece_b"))).select(*columns)
 
 
 def as_of(rows: DataFrame, nodes: DataFrame, keys: list[str], at: str, out: str) -> DataFrame:
@@ -352,8 +264,3 @@ def labelled_pairs(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     others = a.join(plain.select(key), key, "left_anti").select(key, "label", F.col("part").alias("source_part"))
     return own.union(others.join(b.select(key, "label", F.col("part").alias("target_part")), [key, "label"]))
 
-
-def best_match(a: DataFrame, b: DataFrame, key_a: str, key_b: str, threshold: float, k: int = 5) -> DataFrame:
-    """The most alike text of ``b`` for each of ``a``, the first key on a tie."""
-    scored = fuzzy_map(a, b, key_a, key_b, threshold, k)
-    return scored.groupBy(key_a).agg(F.min(F.struct((-F.col("score")).alias("s"), F.col(key_b))).alias("m")).select(key_a, F.col(f"m.{key_b}").alias(key_b), (-F.col("m.s")).alias("score"))

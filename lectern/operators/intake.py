@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from lectern.functions import fold
+from lectern.functions import blocks as matching
+from lectern.functions import letters
 from lectern.functions import text as T
 from lectern.operators.align import overlap_join
 
@@ -18,9 +19,9 @@ def located_rows(rows: DataFrame, contents: DataFrame, key: str) -> DataFrame:
         for pdf in batches:
             out = []
             for k, content, texts in zip(pdf[key], pdf["content"], pdf["texts"], strict=True):
-                hint = 0
+                hint, index = 0, letters.LetterIndex(content or "")
                 for i, t in enumerate(texts):
-                    at = fold.locate_letters(content or "", t or "", hint)
+                    at = (index.span(t or "", hint) or (-1,))[0]
                     out.append((k, i, at))
                     hint = max(hint, at)
             yield pd.DataFrame(out, columns=[key, "row", "place"])
@@ -66,7 +67,7 @@ def overlaid(layers: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
 
 def row_agreement(rows: DataFrame, key: str, share: float = 0.5, variant: float = 0.9) -> DataFrame:
     """Rows ``(key, row, own, other)`` that agree with their counterpart by letters: ``agree``, ``variant`` (over half alike) or ``differs``."""
-    alike = fold.ratio(T.letters_only("own"), T.letters_only("other"), F.lit(0.0))
+    alike = matching.ratio(T.letters_only("own"), T.letters_only("other"), F.lit(0.0))
     scored = rows.withColumn("alike", alike)
     return scored.withColumn("status", F.when(F.col("alike") >= variant, "agree").when(F.col("alike") >= share, "variant").otherwise("differs"))
 

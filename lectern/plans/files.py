@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from lectern.functions import fold, tibetan
 from lectern.functions import text as T
-from lectern.operators import align, checks, hooks, layout
-from lectern.plans.base import Listing, table
+from lectern.operators import align, checks, fuzzy, hooks, layout
+from lectern.plans.base import Listing, longs, table
 from lectern.plans.planted import PART
 from lectern.sources import notes, sinks
 from lectern.sources.stage import fresh_path, put
@@ -174,11 +174,31 @@ def p_grade_checks(spark, sf_dir):
     return checks.grade_checks(grade, base.union(second), texts)
 
 
+@L.add("E15", f"with {PART} select k as a, k as b, round(104 / 130, 9) as score from p where k % 2 = 1")
+def p_best_rejected(spark, sf_dir):
+    """Even rows have their own text on the other side, odd ones theirs with half as much added."""
+    t = _part(spark, sf_dir).select("k", F.expr("concat(repeat(char(65 + k % 26), 20), md5(cast(k as string)))").alias("text"))
+    other = t.select(F.col("k").alias("b"), F.expr("case when k % 2 = 0 then text else concat(text, repeat('#', 26)) end").alias("text"))
+    return fuzzy.best_rejected(t.select(F.col("k").alias("a"), "text"), other, "a", "b", 0.9, 0.6).select("a", "b", F.round("score", 9).alias("score"))
+
+
+@L.add("D24", f"""with {PART} select 'missing_term' as check_name, 'error' as severity, '1-' || k || '/t' || k as entity_id, '' as detail from p where k % 5 = 0
+union all select 'rendering_differs', 'error', '1-' || k || '/t' || k, '' from p where k % 5 = 1 union all select 'out_of_scope', 'error', '1-' || k || '/t' || k, '' from p where k % 5 = 2
+union all select 'not_in_text', 'warn', '1-' || k || '/t' || k, '' from p where k % 5 = 3 union all select 'overlapping_scope', 'error', name || ' ' || k, 't' || k || '/u' || k from p where k % 5 = 4""")
+def p_grade_checks(spark, sf_dir):
+    p = _part(spark, sf_dir).withColumns({"verse_id": F.expr("concat('1-', k)"), "term": F.expr("concat('t', k)"), "form": F.expr("concat(name, ' ', k)")})
+    base = p.where("k % 5 <> 0").select("term", F.col("kind").alias("rendering"), F.expr("case when k % 5 = 2 then array('9-9') else array(verse_id) end").alias("verse_ids"), "form")
+    second = p.where("k % 5 = 4").select(F.expr("concat('u', k)"), F.lit("other"), F.expr("array(verse_id)"), "form")
+    grade = p.select("verse_id", "term", F.expr("case when k % 5 = 1 then 'wrong' else kind end").alias("rendering"), "form")
+    texts = p.select("verse_id", F.expr("case when k % 5 = 3 then 'nothing' else concat('of ', form) end").alias("text"))
+    return checks.grade_checks(grade, base.union(second), texts)
+
+
 @L.add("E15", f"with {PART} select k as a, k as b, round(64 / 96, 9) as score from p where k % 2 = 1")
 def p_best_rejected(spark, sf_dir):
     t = _part(spark, sf_dir).select("k", F.expr("md5(cast(k as string))").alias("text"))
     other = t.select(F.col("k").alias("b"), F.expr("case when k % 2 = 0 then text else concat(text, repeat('#', 32)) end").alias("text"))
-    return align.best_rejected(t.select(F.col("k").alias("a"), "text"), other, "a", "b", 0.9, 12).select("a", "b", F.round("score", 9).alias("score"))
+    return fuzzy.best_rejected(t.select(F.col("k").alias("a"), "text"), other, "a", "b", 0.9, 0.6).select("a", "b", F.round("score", 9).alias("score"))
 
 
 @L.add("D24", f"""with {PART}, v as (select k, k % 10 as m, '1-' || k as verse, 't' || k as term from p)
@@ -207,26 +227,33 @@ def p_concordance(spark, sf_dir):
     return align.concordance(pairs).toDF("work", "a", "b", "n").withColumn("work", F.col("work").cast("long"))
 
 
-@L.add("E20 E22", f"with {PART} select k, length(name) + 2 as start, length(name) + 2 + length(kind) as \"end\", length(name) + 9 as to_start, length(name) + 9 + length(kind) as to_end from p")
+@L.add("E20", f"""with {PART}, t as (select k, name, length(name) as n, m from p, unnest([0, 1, 2, 3]) as u(m))
+select k * 4 + m as k, case m when 3 then 0 else n + 2 end as "start", case m when 3 then n + 2 when 0 then n + 22 else n + 34 end as "end",
+  case m when 0 then n + 9 when 1 then n + 2 when 2 then 2 end as to_start, case m when 0 then n + 29 when 1 then n + 35 when 2 then 34 end as to_end from t""")
 def p_projected_spans(spark, sf_dir):
-    """Spans after an insertion: the text before and after it is long enough to anchor them."""
-    p = _part(spark, sf_dir).withColumn("tail", F.expr("concat(kind, ' and then number ', lpad(k, 8, '0'), ' of a long list')"))
-    texts = p.select("k", F.expr("concat(name, '; ', tail)").alias("a"), F.expr("concat(name, '; ', '<new>, ', tail)").alias("b"))
-    spans = p.select("k", (F.length("name") + 2).alias("start"), (F.length("name") + 2 + F.length("kind")).alias("end"))
-    return align.projected_spans(spans, texts, "k")
+    """By turns: seven signs put in before the span, one put in inside it, what stands before it taken out, and a span that is itself taken out."""
+    p = _part(spark, sf_dir).withColumn("tail", F.expr("md5(cast(k as string))")).withColumn("m", F.explode(F.array(*map(F.lit, range(4)))))
+    a = "concat(name, '; ', tail)"
+    b = "case m when 0 then concat(name, '; ', '#######', tail) when 1 then concat(name, '; ', left(tail, 16), '#', substring(tail, 17)) when 2 then concat('; ', tail) else tail end"
+    own = p.select((F.col("k") * 4 + F.col("m")).alias("k"), "m", F.length("name").alias("n"), F.expr(a).alias("a"), F.expr(b).alias("b"))
+    spans = own.select("k", F.expr("case m when 3 then 0 else n + 2 end").alias("start"), F.expr("case m when 3 then n + 2 when 0 then n + 22 else n + 34 end").alias("end"))
+    return longs(align.projected_spans(spans, own.select("k", "a", "b"), "k"), "start", "end", "to_start", "to_end")
 
 
-@L.add("E18", f"with {PART} select k, name as line, 1.0::double as score, name as \"window\" from p")
+@L.add("E18", f"with {PART} select k, name || ' ' || md5(k || '') as line, round(2 * (n - 1) / (2 * n), 9) as score, '#' || substr(name || ' ' || md5(k || ''), 2) as \"window\" from (select *, length(name) + 33 as n from p)")
 def p_best_windows(spark, sf_dir):
-    p = _part(spark, sf_dir)
-    return align.best_windows(p.select("k", F.col("name").alias("line")), p.select("k", F.expr("concat('x y z ', name, ' q ', kind)").alias("passage")), "k")
+    """A line whose first sign was changed in the passage, between other words."""
+    p = _part(spark, sf_dir).withColumn("line", F.expr("concat(name, ' ', md5(cast(k as string)))"))
+    passages = p.select("k", F.expr("concat('x yy ', substring(name, 1, 3), ' # ', '#', substring(line, 2), ' ', kind, ' ', name)").alias("passage"))
+    return align.best_windows(p.select("k", "line"), passages, "k").select("k", "line", F.round("score", 9).alias("score"), "window")
 
 
-@L.add("E15 E16", f"with {PART}, t as (select k, length(name) + length(kind) + 14 as n from p) select k as a, k as b, round(2 * n / (2 * n + 1), 9) as score from t")
+@L.add("E15 E16", f"with {PART}, t as (select k, 34 + length(kind) as n from p) select k as a, k as b, round(2 * n / (2 * n + 1), 9) as score from t")
 def p_fuzzy_map(spark, sf_dir):
-    t = _part(spark, sf_dir).select("k", F.expr("concat(name, ' ', lpad(cast(k * 7919 * 104729 as string), 12, '0'), ' ', kind)").alias("text"))
-    found = align.fuzzy_map(t.select(F.col("k").alias("a"), "text"), t.select(F.col("k").alias("b"), F.concat("text", F.lit("!")).alias("text")), "a", "b", 0.95, 5)
-    return found.where("a = b").select("a", "b", F.round("score", 9).alias("score"))
+    """Texts of a digest each, so that only a row's own text is like it."""
+    t = _part(spark, sf_dir).select("k", F.expr("concat(md5(cast(k as string)), ': ', kind)").alias("text"))
+    found = fuzzy.fuzzy_map(t.select(F.col("k").alias("a"), "text"), t.select(F.col("k").alias("b"), F.concat("text", F.lit("!")).alias("text")), "a", "b", 0.95)
+    return found.select("a", "b", F.round("score", 9).alias("score"))
 
 
 @L.add("E22", f"with {PART} select k, 0 as pos, left(replace(name, ' ', ''), 4) as gram from p")

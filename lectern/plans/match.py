@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.operators import align
+from lectern.operators import align, fuzzy, search
 from lectern.plans.base import LINES_SQL, Listing, longs, sql_words, table
 from lectern.sources import notes
 
@@ -91,7 +91,7 @@ def e_slot_packets(spark, sf_dir):
 @L.add("E11 E21", "select doc_id, item_id, (length(d.text) - length(replace(d.text, b.text, ''))) // length(b.text) as n from documents d join benchmark b on contains(d.text, b.text)")
 def e_substring_join(spark, sf_dir):
     items = table(spark, sf_dir, "benchmark")
-    hits = align.term_hits(_docs(spark, sf_dir), items.withColumnRenamed("text", "term"), "doc_id")
+    hits = search.term_hits(_docs(spark, sf_dir), items.withColumnRenamed("text", "term"), "doc_id")
     return hits.join(items.select("item_id", F.col("text").alias("term")), "term").select("doc_id", "item_id", "n")
 
 
@@ -100,7 +100,7 @@ def e_glossary_hits(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     texts = part.select("p_partkey", F.lower(F.concat_ws(" ", "p_name", "p_type")).alias("text"))
     terms = part.select(F.lower("p_type").alias("term"), F.col("p_type").alias("shown")).distinct()
-    hits = align.term_hits(texts, terms, "p_partkey").join(F.broadcast(terms), "term")
+    hits = search.term_hits(texts, terms, "p_partkey").join(F.broadcast(terms), "term")
     return align.capped(hits, "p_partkey", [F.desc(F.length("shown")), "shown"], 3).select("p_partkey", F.col("shown").alias("term"), F.col("rank").cast("long").alias("rank"))
 
 
@@ -158,7 +158,7 @@ def e_as_of(spark, sf_dir):
 def e_overlap_join(spark, sf_dir):
     start = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 1e6)
     s = table(spark, sf_dir, "events").select(F.col("user_id").alias("k"), start.alias("start"), (start + 2000).alias("end"), F.col("event_id").alias("id"))
-    return align.overlap_join(s, s, "k", 4000).where("id <> id_b").select("k", "id", "id_b")
+    return align.overlap_join(s, s, "k").where("id <> id_b").select("k", "id", "id_b")
 
 
 @L.add("E42 H35", f"with {LINES_SQL}, h as (select doc_id, line_no, abs(line_no - 10) as d from ln where contains(line, 'the ')) select doc_id, line_no from (select *, row_number() over (partition by doc_id order by d, line_no) as r from h) where r = 1")
@@ -172,29 +172,45 @@ def e_unique_grams(spark, sf_dir):
     return align.unique_grams(table(spark, sf_dir, "benchmark"), "item_id", 12).withColumn("pos", F.col("pos").cast("long"))
 
 
-@L.add("E15 E16 E24 E17")
+@L.add("E15 E16")
 def e_fuzzy_map(spark, sf_dir):
-    docs = _docs(spark, sf_dir).select("doc_id", "text")
-    return align.fuzzy_map(docs, docs.withColumnRenamed("doc_id", "other_id"), "doc_id", "other_id", 0.9, 12).where("doc_id < other_id")
+    """Pairs of like texts, and each copy with the first of its text."""
+    return fuzzy.like_groups(_docs(spark, sf_dir).select("doc_id", "text"), "doc_id", "other_id", 0.9)
 
 
-@L.add("E18 H30")
+@L.add("E18", "select doc_id, i - 1 as line_no, string_split(text, chr(10))[i] as line, len(regexp_extract_all(string_split(text, chr(10))[i], '[^ \t\n\r\f\v]+')) > 0 as found from documents, unnest(range(1, len(string_split(text, chr(10))) + 1)) as t(i) where text is not null")
 def e_best_windows(spark, sf_dir):
+    """Every line of a document in the document itself, where it must be found whole."""
     docs = _docs(spark, sf_dir)
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no") + 1)
-    return align.best_windows(lines, docs.select("doc_id", F.col("text").alias("passage")), "doc_id")
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line_no", F.col("line_no").cast("long"))
+    got = align.best_windows(lines, docs.select("doc_id", F.col("text").alias("passage")), "doc_id")
+    return got.select("doc_id", "line_no", "line", ((F.col("score") == 1) & (F.col("window") == F.trim(F.regexp_replace("line", r"\s+", " ")))).alias("found"))
 
 
-@L.add("E19")
+_SENTENCES = "string_split(regexp_replace(coalesce(text, ''), '[.][ \t\n\f\r]', '.' || chr(1), 'g'), chr(1))"
+
+
+def _sql_letters(parts, name):
+    """Spans of the parts of a text among its letters."""
+    return f"{name} as (select doc_id, i - 1 as i, length(regexp_replace(p, '[^\\p{{L}}]', '', 'g')) as n, sum(length(regexp_replace(p, '[^\\p{{L}}]', '', 'g'))) over (partition by doc_id order by i) as e from (select doc_id, i, {parts}[i] as p from documents, unnest(range(1, len({parts}) + 1)) as t(i)))"
+
+
+@L.add("E19", f"""with {_sql_letters("string_split(coalesce(text, ''), chr(10))", "a")}, {_sql_letters(_SENTENCES, "b")},
+m as (select a.doc_id || '' as work, a.i as row, b.i as block, least(a.e, b.e) - greatest(a.e - a.n, b.e - b.n) as letters, a.n as na, b.n as nb from a join b on a.doc_id = b.doc_id and a.e - a.n < b.e and b.e - b.n < a.e)
+select work, row, block, letters::bigint as letters from m where letters > 0 and (letters >= 8 or letters = na or letters = nb)""")
 def e_concordance(spark, sf_dir):
     text = F.coalesce("text", F.lit(""))
     docs = _docs(spark, sf_dir).select(F.col("doc_id").cast("string").alias("work"), F.split(text, "\n").alias("a"), F.split(text, r"(?<=[.])\s").alias("b"))
-    return align.concordance(docs)
+    return longs(align.concordance(docs), "row", "block", "letters")
 
 
-@L.add("E20 E31 E35 A48")
+@L.add("E20", """with s as (select doc_id, coalesce(text, '') as t, least(10, length(coalesce(text, ''))) as a, least(40, length(coalesce(text, ''))) as z from documents),
+p as (select *, substr(t, a + 1, z - a) as span from s), q as (select *, a + length(span) - length(ltrim(span, chr(10))) as f, z - (length(span) - length(rtrim(span, chr(10)))) as l from p),
+n as (select *, length(left(t, f)) - length(replace(left(t, f), chr(10), '')) as nf, length(left(t, l)) - length(replace(left(t, l), chr(10), '')) as nl from q)
+select doc_id, a as "start", z as "end", case when f < l then f + 2 * nf end as to_start, case when f < l then l + 2 * nl end as to_end from n""")
 def e_projected_spans(spark, sf_dir):
+    """Spans of a text in the same text with its line feeds written out."""
     docs = _docs(spark, sf_dir).withColumn("text", F.coalesce("text", F.lit("")))
-    texts = docs.select("doc_id", F.col("text").alias("a"), F.regexp_replace("text", "\n", " — ").alias("b"))
-    return align.projected_spans(docs.select("doc_id", F.least(F.lit(10), F.length("text")).alias("start"), F.least(F.lit(40), F.length("text")).alias("end")), texts, "doc_id")
-
+    texts = docs.select("doc_id", F.col("text").alias("a"), F.regexp_replace("text", "\n", "⏎⏎⏎").alias("b"))
+    spans = docs.select("doc_id", F.least(F.lit(10), F.length("text")).alias("start"), F.least(F.lit(40), F.length("text")).alias("end"))
+    return longs(align.projected_spans(spans, texts, "doc_id"), "start", "end", "to_start", "to_end")

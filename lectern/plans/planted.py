@@ -11,9 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as K
 
-from lectern.functions import fold, tibetan
+from lectern.functions import blocks, fold, tibetan
 from lectern.functions import text as T
-from lectern.operators import align, checks, hooks, intake, layout, scores, segment, sequence, terms
+from lectern.operators import align, checks, fuzzy, hooks, intake, layout, scores, segment, sequence, terms
+from lectern.operators import stanzas as stanza_search
 from lectern.plans.base import Listing, table
 from lectern.sources import notes, sinks
 from lectern.streaming import feed
@@ -308,7 +309,7 @@ def p_lost_texts(spark, sf_dir):
 
 @L.add("H29 H30 D11", _rows(["k ; 'insert' ; length(name) ; length(name) ; length(name) ; length(name) + 2", "k ; 'replace' ; 0 ; 1 ; 0 ; 1"], "k tag a0 a1 b0 b1"))
 def p_text_edits(spark, sf_dir):
-    edits = fold.opcodes("name", F.concat(F.lit("#"), F.expr("substring(name, 2)"), F.lit("!?")))
+    edits = blocks.opcodes("name", F.concat(F.lit("#"), F.expr("substring(name, 2)"), F.lit("!?")))
     return _part(spark, sf_dir).select("k", F.explode(edits).alias("e")).select("k", "e.*")
 
 
@@ -391,12 +392,15 @@ def p_labelled_pairs(spark, sf_dir):
     return align.labelled_pairs(source, p.select("k", F.concat(F.lit("(Kha) second (Ka) first "), "kind").alias("text")), "k")
 
 
-@L.add("E17", f"with {PART} select k as doc_id, 1::bigint as stanza_id, case when k % 2 = 0 then 2 else 1 end as start_line, 2 as matched from p")
+@L.add("E17", f"with {PART} select k as doc_id, s::bigint as stanza_id, case when s = 2 then 6 when k % 5 = 1 then 1 when k % 5 = 3 then 4 else 2 end as start_line, case when s = 2 then 1 when k % 5 = 2 then 2 else 3 end as matched from p, unnest([1, 2]) as t(s) where s = 1 or k % 5 = 4")
 def p_stanza_places(spark, sf_dir):
-    p = _part(spark, sf_dir).withColumn("a", F.expr("concat('aaaa ', name)")).withColumn("b", F.expr("concat('bbbb ', kind, ' ', brand)"))
-    stanzas = p.select(F.col("k").alias("doc_id"), F.lit(1).cast("long").alias("stanza_id"), F.array("a", "b").alias("lines"))
-    docs = p.select(F.col("k").alias("doc_id"), F.expr("case when k % 2 = 0 then array('qqqqq', 'rrrrr', a, b, 'sssss') else array('qqqqq', concat(a, b), 'rrrrr') end").alias("lines"))
-    return align.stanza_places(stanzas, docs)
+    """A stanza of three lines: as it is, in one line, with another line in its midst, after a place with fewer of its lines, and before a single line that a closing line follows; and one that is nowhere."""
+    p = _part(spark, sf_dir).withColumns({"a": F.expr("concat('aaaa ', name)"), "b": F.expr("concat('bbbb ', kind, ' ', brand)"), "c": F.expr("concat('cccc ', brand, ' ', name)"), "d": F.expr("concat('dddd ', k, kind, name)")})
+    stanza = lambda n, *lines: p.select(F.col("k").alias("doc_id"), F.lit(n).cast("long").alias("stanza_id"), F.array(*lines).alias("lines"))
+    own = stanza(1, "a", "b", "c").union(stanza(2, "d", F.lit("0000 missing"), F.lit("0001 missing")).where("doc_id % 5 = 4")).union(stanza(3, F.lit("9999 nowhere"), F.lit("9998 nowhere")))
+    docs = p.select(F.col("k").alias("doc_id"), F.expr("""case k % 5 when 0 then array('qqqqq', 'rrrrr', a, b, c, 'sssss') when 1 then array('qqqqq', concat(a, b, c), 'rrrrr') when 2 then array('qqqqq', 'rrrrr', a, 'zzzzzzz', c, 'sssss')
+        when 3 then array('qqqqq', a, b, 'rrrrr', a, b, c, 'sssss') else array('qqqqq', 'rrrrr', a, b, c, 'sssss', d, 'uuuuuuu', 'cespani 1') end""").alias("lines"))
+    return stanza_search.stanza_places(own, docs)
 
 
 @L.add("E21 E35", f"with {PART} select k, 0 as row, 3 as place from p union all select k, 1, 3 + length(replace(name, ' ', '')) + 4 from p union all select k, 2, -1 from p")
@@ -414,10 +418,14 @@ def p_outline_alignment(spark, sf_dir):
     return layout.outline_alignment(outline, p.select("k", F.posexplode(F.array("name", F.lit("0123456789"), F.concat("kind", F.lit(" more")), F.lit("the end of all"))).alias("pos", "label")), "k")
 
 
-@L.add("E24", f"with {PART} select k as a, k as b, 1.0::double as score from p where k % 2 = 0")
+@L.add("E24", f"with {PART} select k as a, k + 1 as b, round(2 * (n - 1) / (2 * n), 9) as score from (select k, length(name) + length(kind) + 34 as n from p) where k % 2 = 0 and k + 1 in (select k from p)")
 def p_best_matches(spark, sf_dir):
-    p = _part(spark, sf_dir).select("k", F.expr("concat(name, ' ', lpad(k * 7919, 12, '0'), ' ', kind)").alias("text"))
-    return align.best_match(p.where("k % 2 = 0").select(F.col("k").alias("a"), "text"), p.where("k % 2 = 0").select(F.col("k").alias("b"), "text"), "a", "b", 0.97, 12)
+    """Each even row's text with one sign changed is the odd row's after it; the odd row after that has two changed."""
+    p = _part(spark, sf_dir).withColumn("text", F.expr("concat(name, ' ', md5(cast(k as string)), ' ', kind)"))
+    odd = p.select((F.col("k") + 1).alias("b"), F.expr("concat('#', substring(text, 2))").alias("text")).union(p.select((F.col("k") + 3).alias("b"), F.expr("concat('#', substring(text, 2, length(text) - 2), '#')").alias("text"))).where("b % 2 = 1")
+    odd = odd.join(p.select(F.col("k").alias("b")), "b", "left_semi")
+    found = fuzzy.best_match(p.where("k % 2 = 0").select(F.col("k").alias("a"), "text"), odd, "a", "b", 0.95)
+    return found.select("a", "b", F.round("score", 9).alias("score"))
 
 
 @L.add("E31", f"with {PART} select k, 1 as row, 't1' as text, name as block, false as flagged from p union all select k, 2, 't2', kind, false from p union all select k, 3, 't3', kind, true from p")

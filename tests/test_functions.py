@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lectern.functions import fold, tibetan
+from lectern.functions import fold, letters, tibetan
 from lectern.functions import text as T
 
 
@@ -80,10 +80,8 @@ def test_normal_forms(value):
 
 def test_alignment_functions():
     assert fold.similarity("abcd", "bcde") == 0.75 and fold.similarity("abcd", "wxyz", 0.5) == 0
-    a = "x" + "abcdefghijklmnop" + "qrstuvwxyz0123456789"
-    assert fold.project(a, "__" + a[1:], [1, 17])[0] == 2
-    assert fold.locate_letters("A, bcd efg", "cd e") == 2 and fold.locate_letters("abc", "zzz") == -1
-    assert fold.letter_span("xx abcdefgh ijkl mnop yy", "abcdefgh mnop") is None and fold.letter_span("xx abcdefgh ij mnopqrst yy", "abcdefghmnopqrst") == (2, 20)  # by its ends
+    assert letters.locate_letters("A, bcd efg", "cd e") == 2 and letters.locate_letters("abc", "zzz") == -1 and letters.locate_letters("ab ab ab", "ab", 3) == 4
+    assert letters.letter_span("xx abcdefgh ijkl mnop yy", "abcdefgh mnop") is None and letters.letter_span("xx abcdefgh ij mnopqrst yy", "abcdefghmnopqrst") == (2, 20)  # by its ends
     assert fold.align_outline(["alpha", "beta"], ["noise", "alpha", "betas"]) == [(0, 1), (1, 2)]
     chain = fold.anchor_chain("abcdefgh12345678", "zzabcdefgh__12345678", 4)
     assert chain[0] == (0, 2) and chain[-1] == (12, 16)

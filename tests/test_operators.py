@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import difflib
+import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,11 +12,12 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lectern.operators import align, checks, hooks, intake, layout, scores, segment, sequence, terms
+from lectern.functions import blocks, letters, windows
+from lectern.operators import align, checks, fuzzy, hooks, intake, layout, scores, search, segment, sequence, stanzas, terms
 
 
 def rows(df, *columns):
-    return sorted(tuple(r[c] for c in columns or df.columns) for r in df.collect())
+    return sorted((tuple(r[c] for c in columns or df.columns) for r in df.collect()), key=lambda t: [(v is not None, v) for v in t])
 
 
 def test_full_outer(spark):
@@ -142,35 +146,133 @@ def test_substring_join_both_ways(spark, monkeypatch):
     texts = spark.createDataFrame([(1, "abcabc xyz"), (2, "b"), (3, "")], "id int, text string")
     words = spark.createDataFrame([("abc",), ("b",), ("xyz",), ("bcab",), ("",)], "term string")
     want = [(1, "abc", 2), (1, "b", 2), (1, "bcab", 1), (1, "xyz", 1), (2, "b", 1)]
-    assert rows(align.term_hits(texts, words, "id")) == want
-    monkeypatch.setattr(align, "BROADCAST_CHARS", -1)
-    assert rows(align.term_hits(texts, words, "id")) == want
+    assert rows(search.term_hits(texts, words, "id")) == want
+    monkeypatch.setattr(search, "AUTOMATON_CHARS", 3)  # several automata
+    hits = search.term_hits(texts, words, "id")
+    assert rows(hits) == want and "NestedLoop" not in hits._jdf.queryExecution().toString()
+    again = spark.createDataFrame([(1, "aaaa aaa"), (2, None)], "id int, text string")
+    assert rows(search.term_hits(again, spark.createDataFrame([("aa",), ("a",), (None,)], "term string"), "id")) == [(1, "a", 7), (1, "aa", 3)]
+    assert search.term_hits(texts, words.where("false"), "id").count() == 0
 
 
 def test_fuzzy_map(spark):
-    a = spark.createDataFrame([(1, "the quick brown fox"), (2, "other words here")], "a int, text string")
-    b = spark.createDataFrame([(7, "the quick brown fax"), (8, "other words here"), (9, "nothing alike at all")], "b int, text string")
-    got = rows(align.fuzzy_map(a, b, "a", "b", 0.8))
-    assert [(x, y) for x, y, _ in got] == [(1, 7), (2, 8)] and got[1][2] == 1.0
+    a = spark.createDataFrame([(1, "the quick brown fox"), (2, "other words here"), (3, None)], "a int, text string")
+    b = spark.createDataFrame([(7, "the quick brown fax"), (8, "other words here"), (9, "nothing alike at all"), (10, "other words here")], "b int, text string")
+    got = rows(fuzzy.fuzzy_map(a, b, "a", "b", 0.8))
+    assert [(x, y) for x, y, _ in got] == [(1, 7), (2, 8), (2, 10)] and got[1][2] == 1.0
+    assert rows(fuzzy.best_rejected(a, b, "a", "b", 0.99, 0.8), "a", "b") == [(1, 7)]
+    assert fuzzy.fuzzy_map(a.where("false"), b, "a", "b", 0.8).count() == 0
+
+
+def edited(rng, text, share):
+    """A text with single signs taken out and put in by turns, so that no long run stays."""
+    out = []
+    for i, c in enumerate(text):
+        if i % share == share - 1:
+            out.append(rng.choice("0123456789"))
+        if i % share != share // 2:
+            out.append(c)
+    return "".join(out)
+
+
+def test_fuzzy_map_loses_no_pair(spark, monkeypatch):
+    """All pairs by `difflib`, also those without a run of twelve signs in common; blocks of few texts."""
+    monkeypatch.setattr(fuzzy, "BLOCK_CHARS", 600)
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(rng.randrange(20, 160))) for _ in range(14)]
+    texts += [edited(rng, t, 18) for t in texts[:8]] + [edited(rng, t, 16) for t in texts[:8]] + [texts[0], texts[0], "", ""]
+    longest = max((m.size for x, y in zip(texts, texts[14:22], strict=False) for m in difflib.SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()), default=0)
+    assert longest < 12
+    ratio = lambda x, y: difflib.SequenceMatcher(None, x, y, autojunk=False).ratio()
+    first = {}
+    for i, t in enumerate(texts):
+        first.setdefault(t, i)
+    want = sorted((i, j, ratio(texts[i], texts[j])) for i in first.values() for j in first.values() if i < j and ratio(texts[i], texts[j]) >= 0.9)
+    want = sorted(want + [(first[t], i, 1.0) for i, t in enumerate(texts) if first[t] != i])
+    assert len(want) > 14
+    df = spark.createDataFrame(list(enumerate(texts)), "a long, text string")
+    assert rows(fuzzy.like_groups(df, "a", "b", 0.9)) == want
+    pairs = {(i, j) for i, x in enumerate(texts) for j, y in enumerate(texts) if ratio(x, y) >= 0.9}
+    assert {(r["a"], r["b"]) for r in fuzzy.fuzzy_map(df, df.withColumnRenamed("a", "b"), "a", "b", 0.9).collect()} == pairs
+
+
+def test_copies_are_compared_once(spark):
+    common = "the quick brown fox jumps over the lazy dog and runs far away from the old grey house"
+    texts = spark.createDataFrame([(i, f"{common} {i % 7:03d}") for i in range(210)], "a long, text string")
+    assert fuzzy.like_groups(texts, "a", "b", 0.9).count() == 7 * 6 // 2 + 203
 
 
-def test_fuzzy_map_keeps_runs_that_many_texts_have(spark):
-    common = "the quick brown fox jumps over the lazy dog and runs far away from the old grey house"
-    texts = spark.createDataFrame([(i, f"{common} {i:03d}") for i in range(210)], "a int, text string")
-    got = align.fuzzy_map(texts, texts.withColumnRenamed("a", "b"), "a", "b", 0.9, 12).where("a < b")
-    assert got.count() == 210 * 209 // 2
+@settings(deadline=None, max_examples=150)
+@given(st.text("abc d", max_size=60), st.text("abc d", max_size=60), st.sampled_from([0, 30, 40_000]), st.sampled_from([0.0, 0.5, 0.9]))
+def test_matching_blocks_are_those_of_difflib(a, b, small, least):
+    plain = difflib.SequenceMatcher(None, a, b, autojunk=False)
+    before, blocks.SMALL = blocks.SMALL, small
+    try:
+        assert blocks.matching_blocks(a, b) == [tuple(m) for m in plain.get_matching_blocks() if m.size]
+        assert blocks.edits(a, b) == [tuple(o) for o in plain.get_opcodes() if o[0] != "equal"]
+        assert blocks.ratio_of(a, b, least) == (plain.ratio() if plain.ratio() >= least else 0.0)
+    finally:
+        blocks.SMALL = before
+
+
+def test_long_texts_are_matched_in_bounded_time():
+    rng = random.Random(3)
+    a = " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(60_000))
+    b = a[:1000] + "#" + a[1100:300_000] + "##" + a[300_000:]
+    began = time.time()
+    assert blocks.edits(a, b) == [("replace", 1000, 1100, 1000, 1001), ("insert", 300_000, 300_000, 299_901, 299_903)]
+    assert time.time() - began < 30
+
+
+@settings(deadline=None, max_examples=100)
+@given(st.text("abcdef ", min_size=1, max_size=40), st.lists(st.tuples(st.integers(0, 40), st.integers(0, 3), st.text("XYZ", max_size=4)), max_size=4))
+def test_places_have_equal_signs_and_what_is_gone_has_none(a, changes):
+    b, kept, at = "", [], 0
+    for start, size, new in sorted(changes):
+        start = min(max(start, at), len(a))
+        b, kept, at = b + a[at:start] + new, kept + list(range(at, start)), min(start + size, len(a))
+    b, kept = b + a[at:], kept + list(range(at, len(a)))
+    places = letters.place_map(a, b)
+    found = [(i, p) for i, p in enumerate(places.tolist()) if p >= 0]
+    assert all(a[i] == b[p] for i, p in found) and all(x[1] < y[1] for x, y in zip(found, found[1:], strict=False))
+    assert letters.projected("abcdef", "abXcdef", [(0, 6), (2, 3), (6, 6)]) == [(0, 7), (3, 4), None]
+    assert letters.projected("0123456789abcdefghij", "0123456789fghij", [(10, 15), (8, 12), (9, 16)]) == [None, (8, 10), (9, 11)]
+
+
+def test_best_window_by_all_windows():
+    rng = random.Random(5)
+    for _ in range(40):
+        passage = [rng.choice(["ab", "abc", "bca", "d", "dab", "cc"]) for _ in range(rng.randrange(0, 14))]
+        line = [rng.choice(["ab", "abc", "bca", "dd"]) for _ in range(rng.randrange(0, 5))]
+        best = (0.0, "")
+        for n in range(max(1, len(line) - 1), len(line) + 2) if line else ():
+            for i in range(len(passage) - n + 1):
+                window = " ".join(passage[i:i + n])
+                score = difflib.SequenceMatcher(None, " ".join(line), window, autojunk=False).ratio()
+                best = (score, window) if score > best[0] else best
+        assert windows.Passage(" ".join(passage)).best(" ".join(line)) == best
 
 
 def test_stanza_places(spark):
-    stanza = spark.createDataFrame([(1, 5, ["one line", "two line"])], "doc_id long, stanza_id long, lines array<string>")
-    doc = spark.createDataFrame([(1, ["zero", "one line", "two line", "end"])], "doc_id long, lines array<string>")
-    assert rows(align.stanza_places(stanza, doc)) == [(1, 5, 1, 2)]
+    stanza = spark.createDataFrame([(1, 5, ["one line", "two line"]), (2, 6, ["abcdefgh", "qrstuvwx", "1"]), (1, 9, ["one line", "two line"])], "doc_id long, stanza_id long, lines array<string>")
+    doc = spark.createDataFrame([(1, ["zero", "one line", "two line", "end"]), (2, ["abcdefgh", "x", "y"]), (3, None)], "doc_id long, lines array<string>")
+    assert rows(stanzas.stanza_places(stanza, doc)) == [(1, 5, 1, 2)]
+
+
+def test_overlaps_of_spans_of_any_length(spark):
+    rng = random.Random(6)
+    spans = [("k", i, s, s + rng.choice([0, 1, 2, 5, 40, 10 ** 9])) for i in range(60) for s in [rng.randrange(-50, 60)]] + [("z", 99, 0, 10 ** 9), ("z", 100, 5, 6)]
+    df = spark.createDataFrame(spans, "k string, id int, start long, end long")
+    want = sorted((x[1], y[1]) for x in spans for y in spans if x[0] == y[0] and x[2] < y[3] and x[3] > y[2])
+    assert rows(align.overlap_join(df, df, "k"), "id", "id_b") == want
+    sizes = df.select(F.size(align._cover(F.col("start"), F.col("end"))).alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] <= 64
 
 
 def test_projection_and_concordance(spark):
     texts = spark.createDataFrame([("k", "abcdefghijklmnopqrst", "XXabcdefghijklmnopqrst")], "k string, a string, b string")
-    spans = spark.createDataFrame([("k", 3, 8)], "k string, start int, end int")
-    assert rows(align.projected_spans(spans, texts, "k"), "to_start", "to_end") == [(5, 10)]
+    spans = spark.createDataFrame([("k", 3, 8), ("k", 20, 20)], "k string, start int, end int")
+    assert rows(align.projected_spans(spans, texts, "k"), "to_start", "to_end") == [(None, None), (5, 10)]
     pairs = spark.createDataFrame([("w", ["abc def", "ghi"], ["abc", "def ghi"])], "work string, a array<string>, b array<string>")
     assert rows(align.concordance(pairs), "row", "block", "letters") == [(0, 0, 3), (1, 1, 3)]
 
@@ -280,9 +382,3 @@ def test_coverage_names_every_operator():
 def test_long_texts_are_cut_at_double_marks_only():
     assert segment.halved("aaaa bbbb cccc dddd", 5) == ["aaaa bbbb cccc dddd"]
     assert segment.halved("aaaa། །bbbb", 5) == ["aaaa། །", "bbbb"] and segment.halved("aaaa། །bbbb", 50) == ["aaaa། །bbbb"]
-
-
-def test_stanzas_in_one_line_and_before_closers():
-    assert align.stanza_span(["abcdefgh", "ijklmnop"], ["abcdefghijklmnop"], 0) == (2, 1)
-    assert align.stanza_span(["abcdefgh", "ijklmnop", "qrstuvwx"], ["abcdefgh", "1", "2"], 0) == (0, 0)
-    assert align.stanza_span(["abcdefgh"], ["abcdefgh", "cespani 1"], 0) == (1, 1)
