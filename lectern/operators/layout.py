@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as K
 
-from lectern.functions import fold
+from lectern.functions import fold, metre
 from lectern.functions import text as T
 from lectern.operators.sequence import with_field
 
@@ -206,31 +206,22 @@ def assembled(sections: DataFrame, key: str, drop: list[str]) -> DataFrame:
     return kept.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text"))), lambda s: s["text"]), "\n\n").alias("text"))
 
 
-def verse_units(clauses: DataFrame, key: str, low: int = 5, high: int = 25, least: int = 4, longest: int = 120) -> DataFrame:
-    """Units of a text's clauses ``(key, pos, size, closed, final)``: runs of ``least`` closed clauses about as long as the run's median are verse, clause by clause; the rest are sentences, up to a final clause or ``longest`` syllables."""
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
+def verse_units(clauses: DataFrame, key: str, low: int = metre.LOW, high: int = metre.HIGH, least: int = metre.LEAST, longest: int = metre.LONGEST) -> DataFrame:
+    """Units of a text's clauses ``(key, pos, size, closed, final)``: verse lines by their metre, and sentences between them.
+
+    Where the clauses have them, ``ending`` (their last syllables) tells refrains,
+    ``quotes`` lines that close a quotation, and ``cut`` the ends of paragraphs.
+    """
+    for name, kind in (("ending", "string"), ("quotes", "boolean"), ("cut", "boolean")):
+        if name not in clauses.columns:
+            clauses = clauses.withColumn(name, F.lit("" if kind == "string" else False).cast(kind))
+
+    def lay_out(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("pos")
-        size, closed, final = pdf["size"].tolist(), pdf["closed"].tolist(), pdf["final"].tolist()
-        verse, i = [False] * len(size), 0
-        while i < len(size):
-            j = i
-            while j < len(size) and closed[j] and low <= size[j] <= high:
-                middle = sorted(size[i:j])[(j - i - 1) // 2] if j > i else size[i]
-                if abs(size[j] - middle) > (0 if middle <= 9 else 1 if middle <= 12 else 2):
-                    break
-                j += 1
-            if j - i >= least:
-                verse[i:j] = [True] * (j - i)
-            i = max(j, i + 1)
-        unit, total, out, before = 0, 0, [], None
-        for k, n in enumerate(size):
-            if before is not None and (verse[k] or before):
-                unit, total = unit + 1, 0
-            out.append((unit, "verse" if verse[k] else "prose"))
-            total += n
-            before = verse[k] or final[k] or total >= longest
-        return pdf.assign(unit=[u for u, _ in out], kind=[t for _, t in out])
-    return clauses.groupBy(key).applyInPandas(cut, K.StructType([*with_field(clauses, "unit", K.IntegerType()).fields, K.StructField("kind", K.StringType())]))
+        size, closed, final, ending, quotes, cut = (pdf[c].tolist() for c in ("size", "closed", "final", "ending", "quotes", "cut"))
+        verse = metre.verse_lines(size, closed, final, ending, quotes, low, high, least)
+        return pdf.assign(unit=metre.units(size, verse, final, cut, longest), kind=["verse" if v else "prose" for v in verse])
+    return clauses.groupBy(key).applyInPandas(lay_out, K.StructType([*with_field(clauses, "unit", K.IntegerType()).fields, K.StructField("kind", K.StringType())]))
 
 
 def moved_up(lines: DataFrame, keys: list[str], order: str, marked: Column) -> DataFrame:

@@ -11,11 +11,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as K
 
-from lectern.functions import fixed
+from lectern.functions import cuts, fixed
 from lectern.operators.sequence import with_field
 
-#: Cut rules: name, pattern, and whether the cut is before or after it.
-RULES = (("opening", r"(?:^|\s)(?=[#>])", "before"), ("clause", r"།+\s*", "after"), ("sentence", r"[.!?]+[\"'”’)]*\s+", "after"), ("semicolon", r"[;:]\s+", "after"))
 _TIBETAN = re.compile(fixed.TIBETAN_RUN)
 
 
@@ -24,24 +22,30 @@ def syllable_size(text: str) -> int:
     return len(_TIBETAN.findall(text)) or len(text.split())
 
 
-def rule_cuts(text: str, rules=RULES) -> list[tuple[int, str]]:
+def rule_cuts(text: str, rules: tuple[cuts.Rule, ...] = cuts.GENERAL) -> list[tuple[int, str]]:
     """Places of cuts with the first rule that makes each; none at the ends, after a syllable mark, or inside brackets."""
-    depth, open_at = 0, []
-    for c in text:
-        open_at.append(depth)
-        depth = max(0, depth + (c in "([") - (c in ")]"))
-    found: dict[int, str] = {}
-    for name, pattern, side in rules:
-        for m in re.finditer(pattern, text):
-            at = m.start() if side == "before" else m.end()
-            if valid_cut(text, at) and not open_at[at]:
-                found.setdefault(at, name)
-    return sorted(found.items())
+    found = cuts.cut(text, rules, in_brackets=False)
+    order = [r.name for r in rules]
+    named = {at: min((x[at] for x in (found.begins, found.ends) if at in x), key=order.index) for at in found.places}
+    return sorted(named.items())
 
 
 def valid_cut(text: str, at: int) -> bool:
-    """Whether a text may be cut at a place: inside it, and not after a syllable mark, which stands within a phrase."""
-    return 0 < at < len(text.rstrip()) and not text[:at].rstrip().endswith(fixed.TSHEG)
+    return cuts.Line(text).may_cut(at)
+
+
+def named_pieces(docs: DataFrame, key: str, rules: tuple[cuts.Rule, ...] = cuts.TIBETAN, structural: bool = False, text: str = "text") -> DataFrame:
+    """Pieces of each text by the ordered rules: ``(key, pos, start, end, begins, ends, piece)``. What a weak rule would cut is a row without a piece, with its place and name."""
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for k, t in zip(pdf[key], pdf[text], strict=True):
+                t = t if isinstance(t, str) else ""
+                found = cuts.cut(t, rules, structural)
+                rows += [(k, i, a, b, begins, ends, t[a:b]) for i, (a, b, begins, ends) in enumerate(cuts.pieces(t, found))]
+                rows += [(k, -1, at, at, name, None, None) for at, name in found.candidates]
+            yield pd.DataFrame(rows, columns=[key, "pos", "start", "end", "begins", "ends", "piece"])
+    return docs.select(key, text).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, pos int, start int, end int, begins string, ends string, piece string")
 
 
 def clauses(text: Column | str) -> Column:
@@ -49,8 +53,8 @@ def clauses(text: Column | str) -> Column:
     return F.filter(F.transform(F.regexp_extract_all(text, F.lit(r"[^།.!?]+[།.!?]*\s*"), F.lit(0)), lambda x: F.trim(x)), lambda x: x != "")
 
 
-def split_at(text: str, cuts: list[int]) -> list[str]:
-    edges = [0, *cuts, len(text)]
+def split_at(text: str, places: list[int]) -> list[str]:
+    edges = [0, *places, len(text)]
     return [text[a:b] for a, b in zip(edges, edges[1:], strict=False)]
 
 
@@ -91,19 +95,30 @@ def merged_short(pieces: list[str], least: int, most: int) -> list[str]:
     return ["".join(parts) for parts, _ in out]
 
 
-def halved(text: str, least: int = 800, at: str = r"།\s*།") -> list[str]:
-    """A text of ``least`` characters or more cut at the double mark nearest its middle, and its parts again.
+# Characters from which a text is cut, and the share of it before a cut, at least and at most.
+LONG, EARLIEST, LATEST = 800, 0.2, 0.85
+
+
+def halved(text: str, least: int = LONG, at: str = r"།\s*།") -> list[str]:
+    """A text of ``least`` characters or more cut just after the double mark nearest its middle, and its parts again; white space around a cut goes.
 
-    A cut lies strictly between a fifth and 85 % of the text, just after the
-    mark; white space around it goes. A text without such a mark stays whole.
+    The marks are looked for once; what is cut further are spans between them.
     """
-    n = len(text)
-    ends = [m.end() for m in re.finditer(at, text) if n / 5 < m.end() < 0.85 * n] if n >= least else []
-    if not ends:
-        return [text]
-    cut = min(ends, key=lambda e: abs(e - n / 2))
-    parts = text[:cut].rstrip(), text[cut:].lstrip()
-    return [x for part in parts for x in halved(part, least, at)] if all(parts) else [text]
+    marks = [m.end() for m in re.finditer(at, text)]
+    todo, out = [(0, len(text))], []
+    while todo:
+        lo, hi = todo.pop()
+        size = hi - lo
+        inner = marks[bisect_right(marks, lo + EARLIEST * size):bisect_left(marks, lo + LATEST * size)] if size >= least else []
+        k = bisect_left(inner, lo + size / 2)
+        near = sorted(inner[max(0, k - 1):k + 1], key=lambda e: abs(e - lo - size / 2))
+        left = len(text[lo:near[0]].rstrip()) if near else 0
+        right = len(text[near[0]:hi].lstrip()) if near else 0
+        if left and right:
+            todo += [(hi - right, hi), (lo, lo + left)]
+        else:
+            out.append(text[lo:hi])
+    return out
 
 
 def at_connectors(text: str, most: int, connectors=("and", "but", "or", "because", "དང་", "ནས", "སྟེ")) -> list[str]:

@@ -179,26 +179,7 @@ def p_best_rejected(spark, sf_dir):
     """Even rows have their own text on the other side, odd ones theirs with half as much added."""
     t = _part(spark, sf_dir).select("k", F.expr("concat(repeat(char(65 + k % 26), 20), md5(cast(k as string)))").alias("text"))
     other = t.select(F.col("k").alias("b"), F.expr("case when k % 2 = 0 then text else concat(text, repeat('#', 26)) end").alias("text"))
-    return fuzzy.best_rejected(t.select(F.col("k").alias("a"), "text"), other, "a", "b", 0.9, 0.6).select("a", "b", F.round("score", 9).alias("score"))
-
-
-@L.add("D24", f"""with {PART} select 'missing_term' as check_name, 'error' as severity, '1-' || k || '/t' || k as entity_id, '' as detail from p where k % 5 = 0
-union all select 'rendering_differs', 'error', '1-' || k || '/t' || k, '' from p where k % 5 = 1 union all select 'out_of_scope', 'error', '1-' || k || '/t' || k, '' from p where k % 5 = 2
-union all select 'not_in_text', 'warn', '1-' || k || '/t' || k, '' from p where k % 5 = 3 union all select 'overlapping_scope', 'error', name || ' ' || k, 't' || k || '/u' || k from p where k % 5 = 4""")
-def p_grade_checks(spark, sf_dir):
-    p = _part(spark, sf_dir).withColumns({"verse_id": F.expr("concat('1-', k)"), "term": F.expr("concat('t', k)"), "form": F.expr("concat(name, ' ', k)")})
-    base = p.where("k % 5 <> 0").select("term", F.col("kind").alias("rendering"), F.expr("case when k % 5 = 2 then array('9-9') else array(verse_id) end").alias("verse_ids"), "form")
-    second = p.where("k % 5 = 4").select(F.expr("concat('u', k)"), F.lit("other"), F.expr("array(verse_id)"), "form")
-    grade = p.select("verse_id", "term", F.expr("case when k % 5 = 1 then 'wrong' else kind end").alias("rendering"), "form")
-    texts = p.select("verse_id", F.expr("case when k % 5 = 3 then 'nothing' else concat('of ', form) end").alias("text"))
-    return checks.grade_checks(grade, base.union(second), texts)
-
-
-@L.add("E15", f"with {PART} select k as a, k as b, round(64 / 96, 9) as score from p where k % 2 = 1")
-def p_best_rejected(spark, sf_dir):
-    t = _part(spark, sf_dir).select("k", F.expr("md5(cast(k as string))").alias("text"))
-    other = t.select(F.col("k").alias("b"), F.expr("case when k % 2 = 0 then text else concat(text, repeat('#', 32)) end").alias("text"))
-    return fuzzy.best_rejected(t.select(F.col("k").alias("a"), "text"), other, "a", "b", 0.9, 0.6).select("a", "b", F.round("score", 9).alias("score"))
+    return fuzzy.best_rejected(t.select(F.col("k").alias("a"), "text"), other, "a", "b", 0.9, 0.75).select("a", "b", F.round("score", 9).alias("score"))
 
 
 @L.add("D24", f"""with {PART}, v as (select k, k % 10 as m, '1-' || k as verse, 't' || k as term from p)

@@ -595,10 +595,41 @@ def p_applied_merges(spark, sf_dir):
     return segment.applied_groups(blocks, merges, "k")
 
 
-@L.add("H6 H13 H14", _rows(["k ; 0 ; 0 ; 'verse'", "k ; 1 ; 1 ; 'verse'", "k ; 2 ; 2 ; 'verse'", "k ; 3 ; 3 ; 'verse'", "k ; 4 ; 4 ; 'prose'", "k ; 5 ; 4 ; 'prose'", "k ; 6 ; 5 ; 'prose'"], "k pos unit kind"))
+_CLAUSES = {  # sizes, which are closed, which end a sentence; and the units and kinds (v for verse) that they make
+    0: ([7, 7, 7, 7, 40, 30, 12], 4, [5], [0, 1, 2, 3, 4, 4, 5], "vvvvppp"),  # a passage, then sentences
+    1: ([7, 7, 7, 7, 6, 30], 5, [], [0, 1, 2, 3, 4, 5], "vvvvvp"),  # a contraction after it
+    2: ([9, 9, 9, 9, 3, 9, 9, 9, 9, 20], 9, [], [0, 1, 2, 3, 4, 5, 6, 7, 8, 9], "vvvvvvvvvp"),  # a damaged line between
+    3: ([11, 12, 11, 12, 30], 4, [0, 1, 2], [0, 1, 2, 3, 3], "ppppp"),  # a list of sentences of about one length
+    4: ([11, 12, 11, 12, 30], 4, [0, 1, 2], [0, 1, 2, 3, 4], "vvvvp"),  # the same as a refrain
+    5: ([7, 7, 7, 8, 8, 8, 8, 70, 60, 5], 7, [], [0, 0, 0, 1, 2, 3, 4, 5, 5, 6], "pppvvvvppp"),  # too few lines of one metre before another; a long sentence
+}
+
+
+@L.add("H14", f"with {PART}, c as (select * from (values " + ", ".join(f"({m}, {units}, '{kinds}')" for m, (_, _, _, units, kinds) in _CLAUSES.items()) + ") as t(m, units, kinds)) select k, i - 1 as pos, units[i] as unit, case when kinds[i] = 'v' then 'verse' else 'prose' end as kind from p join c on k % 6 = m, unnest(range(1, len(units) + 1)) as u(i)")
 def p_verse_units(spark, sf_dir):
-    clauses = F.expr("transform(array(7, 7, 7, 7, 40, 30, 12), (n, i) -> named_struct('pos', i, 'size', n, 'closed', i < 4, 'final', i = 5))")
-    return layout.verse_units(_part(spark, sf_dir).select("k", F.explode(clauses).alias("c")).select("k", "c.*"), "k").select("k", "pos", "unit", "kind")
+    """A text of one of six kinds a row, by its key."""
+    def of(m):
+        sizes, closed, finals, _, _ = _CLAUSES[m]
+        end = "'ཕྱག་འཚལ'" if m == 4 else "'x'"
+        return f"transform(array({', '.join(map(str, sizes))}), (n, i) -> named_struct('pos', i, 'size', n, 'closed', i < {closed}, 'final', array_contains(array({', '.join(map(str, finals or [-1]))}), i), 'ending', {end}))"
+    choice = "case k % 6 " + " ".join(f"when {m} then {of(m)}" for m in _CLAUSES) + " end"
+    return layout.verse_units(_part(spark, sf_dir).select("k", F.explode(F.expr(choice)).alias("c")).select("k", "c.*"), "k").select("k", "pos", "unit", "kind")
+
+
+_CUT_LINES = {  # what stands between the name and the kind; where it is cut (after so many characters), and the rules that name the piece after and before
+    0: (" ཞེས་སོ། །", 10, None, "quote-close"), 1: (" མདོ་ལས།", 8, None, "quote-open"), 2: (" གཉིས་སྟེ།", 10, None, "enumeration-head"), 3: ("། དང་པོ་", 2, "ordinal-open", None),
+    4: (" ཞེ་ན།", 6, None, "objection-close"), 5: ("། འོ་ན་", 2, "objection-open", None), 6: (" ཡིན་ནོ། །", 10, None, "terminal-particle"), 7: ("། (གཉིས་པ་", 2, "ordinal-open", None),
+}
+
+
+@L.add("H1", f"with {PART}, c as (select * from (values " + ", ".join(f"({m}, '{t}', {len(t) if e else a}, {repr(b) if b else 'null'}, {repr(e) if e else 'null'})" for m, (t, a, b, e) in _CUT_LINES.items()) + """) as t(m, x, a, b, e)), w as (select k, name || x as head, length(name) + a as cut, name || x || kind as line, b, e from p join c on k % 9 = m)
+select k, 0 as pos, null as begins, e as ends, left(line, cut) as piece from w union all select k, 1, b, null, substr(line, cut + 1) from w
+union all select k, 0, null, null, name || 'འོ་ན་' || kind from p where k % 9 = 8 union all select k, -1, 'objection-open', null, null from p where k % 9 = 8""")
+def p_rule_cuts(spark, sf_dir):
+    """A line that one of the rules cuts, by its key; the last is one where a weak rule has no closing mark near."""
+    choice = "case k % 9 " + " ".join(f"when {m} then '{t}'" for m, (t, _, _, _) in _CUT_LINES.items()) + " else 'འོ་ན་' end"
+    lines = _part(spark, sf_dir).select("k", F.concat("name", F.expr(choice), "kind").alias("text"))
+    return segment.named_pieces(lines, "k").select("k", "pos", "begins", "ends", "piece")
 
 
 @L.add("H15 E41", _rows(["k ; 1 ; name", "k ; 2 ; '## ' || brand", "k ; 3 ; kind"], "k new_line line"))

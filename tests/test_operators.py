@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lectern.functions import blocks, letters, windows
+from lectern.functions import blocks, cuts, letters, windows
 from lectern.operators import align, checks, fuzzy, hooks, intake, layout, scores, search, segment, sequence, stanzas, terms
 
 
@@ -382,3 +382,23 @@ def test_coverage_names_every_operator():
 def test_long_texts_are_cut_at_double_marks_only():
     assert segment.halved("aaaa bbbb cccc dddd", 5) == ["aaaa bbbb cccc dddd"]
     assert segment.halved("aaaa། །bbbb", 5) == ["aaaa། །", "bbbb"] and segment.halved("aaaa། །bbbb", 50) == ["aaaa། །bbbb"]
+
+
+def test_rules_name_pieces_on_both_sides_and_structure_counts_strong_marks():
+    line = "ཀ་ཞེས་སོ། །(དང་པོ་ཁ་ནོ། ག་ཞེ་ན། ང"
+    found = cuts.cut(line, cuts.TIBETAN)
+    assert [(line[a:b], x, y) for a, b, x, y in cuts.pieces(line, found)] == [("ཀ་ཞེས་སོ། །", None, "quote-close"), ("(དང་པོ་ཁ་ནོ།", "ordinal-open", "terminal-particle"), (" ག་ཞེ་ན།", None, "objection-close"), (" ང", None, None)]
+    assert [y for _, _, _, y in cuts.pieces(line, cuts.cut(line, cuts.TIBETAN, structural=True))] == ["quote-close", None]
+    assert cuts.cut("དཔེ་དང་པོ་ནི", cuts.TIBETAN).places == []  # after a syllable mark
+
+
+def test_cuts_of_a_long_text_take_linear_time():
+    text = "Some words here. And (more; of them) here; " * 24_000
+    began = time.time()
+    assert len(segment.rule_cuts(text)) > 40_000 and time.time() - began < 10
+
+
+def test_halves_are_spans_between_marks():
+    assert segment.halved("aaaa bbbb cccc dddd", 5) == ["aaaa bbbb cccc dddd"]
+    assert segment.halved("aaaa། །bbbb", 5) == ["aaaa། །", "bbbb"] and segment.halved("aaaa། །bbbb", 50) == ["aaaa། །bbbb"]
+    assert segment.halved("aa། །bb། ། cc། །dd", 9) == ["aa། །", "bb། །", "cc། །dd"]
