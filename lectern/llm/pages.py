@@ -34,9 +34,10 @@ BROADCAST_BYTES = 16_000_000
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>", re.DOTALL)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.IGNORECASE)
 _PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
-_RAW = frozenset(("script", "style", "noscript", "textarea", "title", "iframe", "svg", "template", "select", "object", "canvas", "audio", "video", "math"))
+_RAW = frozenset(("script", "style", "noscript", "textarea", "title", "iframe", "svg", "template", "select"))
 _VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"))
-_INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var".split())
+_INLINE = frozenset("""a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var
+math mrow mi mo mn ms mtext mfrac msqrt mroot msub msup msubsup munder mover munderover mstyle mpadded mphantom semantics audio video canvas object picture""".split())
 _BOILER_TAGS = frozenset(("nav", "footer", "aside", "form", "button", "menu", "dialog", "head", "fieldset"))
 _BOILER_WORDS = frozenset("""ad ads advert advertisement advertising adverts sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs
 sidebar footer masthead topbar cookie cookies notice consent gdpr newsletter subscribe subscription signup login comment comments respond reply replies discussion disqus
@@ -276,7 +277,8 @@ def main_text(page: Page, slot: int | None = None, template: frozenset[tuple[int
     a slot, content stands in the article, where the page marks one. Inside
     either, no block counts that stands under an element which is none by its
     tag, class, id or role, nor what an article's own header has beside its
-    headings; where no article is marked, no block that is mostly links either.
+    headings; where neither a slot nor an article is known, no block outside a
+    paragraph that is nothing but links either.
     """
     inside = [slot is None or n.index == slot for n in page.nodes]
     for n in page.nodes[1:]:
@@ -288,7 +290,7 @@ def main_text(page: Page, slot: int | None = None, template: frozenset[tuple[int
         words, linked = n.blocks[k]
         if not inside[i] or n.boiler or (article and not n.article) or (i, block_hash(words)) in template:
             continue
-        if n.tag not in _HEADINGS and (n.header if n.article else linked * 2 > len(words)):
+        if n.tag not in _HEADINGS and (n.header if n.article else slot is None and n.tag != "p" and linked >= len(words)):
             continue
         out.append(words)
     return " ".join(out)

@@ -327,7 +327,7 @@ def trained() -> Crf:
 _IP6 = re.compile(r"(?=.*[0-9A-Fa-f])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=(?:[^:]*:){2,7}[^:]*$)(?=.*[0-9A-Fa-f])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})*)?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4})*)?")
 _MAIL = re.compile(r"[^\s@]+(?:@|\s*[(\[]at[)\]]\s*)[^\s@]+.*|[A-Za-z0-9._%+-]+\s+at\s+[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+|\s+dot\s+[A-Za-z0-9-]+)+", re.IGNORECASE)
 #: A line without any of these has no span that passes `_holds`.
-_TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]|::|\bat\s+\S+(?:\.|\s+dot\s)", re.IGNORECASE)
+_TRIGGER = re.compile(r"[0-9@]|[(\[]at[)\]]|::|[0-9A-F]:[0-9A-F]|\bat\s+\S+(?:\.|\s+dot\s)", re.IGNORECASE)
 _PHONE_LIKE = re.compile(r"[+(]?[0-9][0-9\x20()./-]*[0-9]")
 
 

@@ -401,6 +401,8 @@ def test_wrapper_drops_constant_slots_and_boilerplate(spark, monkeypatch):
     ("<header>Site</header><nav>x</nav><main><h1>T &eacute;</h1><p>One<p>Two <a href=x>l</a><ul><li>a<li>b</ul><div class=ad-slot>Buy</div><form>Mail</form></main><aside>s</aside><section id=comments><p>nice</section><footer>c", "T é One Two l a b"),
     ("<article><div class='article-header'><h1>H</h1><p>by me</p></div><p>x <b>y</b><br>z</p><div class=comment>no</div><footer>f</footer></article>", "H x y z"),
     ("<div class=site-header><h1>Site</h1></div><div><p>only</div><ul><li><a href=a>a link here</a></ul>", "only"),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be <video>a film</video> here</p><p><a href=a>all of this paragraph is a link</a></p><p>and <a href=b>most of this one as well</a></article>", "Let x=1 be a film here all of this paragraph is a link and most of this one as well"),
+    ("<div><p>text <a href=a>with a long link in it</a></p><div><a href=x>Home</a> <a href=y>News</a></div></div>", "text with a long link in it"),
     ("<article><p>cut sh", "cut sh"), ("<p>a<script>var x='<p>no';</script><style>p{}</style><!-- c --><p hidden>h<p>b", "a b"), ("plain &amp; text", "plain & text"), ("<p title=\"a>b\">t</p><p title='x>q</p>", "t q"),
 ])
 def test_main_text_of_odd_pages(source, want):

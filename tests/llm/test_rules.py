@@ -460,3 +460,9 @@ def test_rows_without_an_id_stay(spark):
     docs = spark.createDataFrame([(None, "one text of many words that stands here twice over", "en", "s", 1), (None, "one text of many words that stands here twice over", "en", "s", 1), (1, "x y z", "en", "s", 1)], DOCS)
     for name, stage in corpus_pipeline.STAGES[1:4]:
         assert stage(spark, docs, "/root/testdata/sf0.001").where("doc_id is null").count() == 2, name
+
+
+def test_every_address_that_can_hold_is_decoded():
+    """What a span may be triggers the field, letters alone as well."""
+    for text in ("fe:ab:cd:ef:fe:ab:cd:ef", "FE80::1", "a:b:c:d:e:f:a:b"):
+        assert personal_data._holds("ip", text) and personal_data._TRIGGER.search(f"via {text} it went")
