@@ -290,7 +290,7 @@ def main_text(page: Page, slot: int | None = None, template: frozenset[tuple[int
         words, linked = n.blocks[k]
         if not inside[i] or n.boiler or (article and not n.article) or (i, block_hash(words)) in template:
             continue
-        if n.tag not in _HEADINGS and (n.header if n.article else slot is None and n.tag != "p" and linked >= len(words)):
+        if n.tag not in _HEADINGS and (n.header if n.article else slot is None and n.tag != "p" and linked + words.count(" ") >= len(words)):
             continue
         out.append(words)
     return " ".join(out)
