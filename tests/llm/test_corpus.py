@@ -558,7 +558,7 @@ def test_stages_take_odd_rows(spark):
             assert out.count() > 0, name
 
 
-@pytest.mark.parametrize("name", [f"op{i}_" for i in range(1, 11)])
+@pytest.mark.parametrize("name", [f"op{i}_" for i in range(1, 14)])
 def test_every_operator_has_one_query(name):
     from lectern.llm import registry
     assert sum(q.startswith(name) for q in registry.QUERIES) == 1
