@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lectern.sources import books
 
 FRONTMATTER = r"(?s)\A---\r?\n(.*?)\r?\n---"
 
@@ -321,8 +322,8 @@ def docx_markdown(runs: DataFrame) -> DataFrame:
 
 def _epub_rows(content: bytes) -> list[tuple]:
     book, out = zipfile.ZipFile(io.BytesIO(content)), []
-    for name in sorted(n for n in book.namelist() if n.lower().endswith((".xhtml", ".html", ".htm"))):
-        root = ElementTree.fromstring(book.read(name))
+    for name in books.reading_order(book):
+        root = books.page_tree(book.read(name))
         n = 0
         for e in root.iter():
             tag = str(e.tag).rpartition("}")[2]
