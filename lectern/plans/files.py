@@ -127,6 +127,19 @@ def r_ledger_stream(spark, sf_dir):
     return spark.read.schema("event_id long, event_type string").json(log).groupBy("event_type").agg(F.count("*").alias("n"), F.min("event_id").alias("first_id"))
 
 
+@L.add("B7 I9", "select event_id, event_type, case when event_id % 3 = 0 then 1 when event_id % 3 = 1 then 2 else 3 end as run from events where event_id is not null")
+def r_bucketed_ledger(spark, sf_dir):
+    """Three runs over a growing folder of events, each with all of the earlier ones again; compacted between them."""
+    source, path = fresh_path(spark, "growing"), fresh_path(spark, "buckets")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    for run in range(3):
+        events.where(F.col("event_id") % 3 <= run).write.mode("append").parquet(source)
+        stream = feed.messages(spark, source, events.schema)
+        feed.into_ledger(stream, path, "event_id", fresh_path(spark, "marks"), lambda df, n=run + 1: df.withColumn("run", F.lit(n)), buckets=8).awaitTermination()
+        feed.compacted(spark, path, "event_id", most=1)
+    return feed.ledger(spark, path, "event_id").select("event_id", "event_type", "run")
+
+
 # what needs no file, and stands in no other list
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lectern.plans.base import Listing, table
 from lectern.plans.planted import PART
 from lectern.sources import books
+from lectern.sources.stage import small
 
 L = Listing()
 _W = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
@@ -46,7 +47,8 @@ def _files(spark, sf_dir, make):
     def made(k: pd.Series, name: pd.Series, kind: pd.Series, size: pd.Series) -> pd.Series:
         return pd.Series([make(*r) for r in zip(k, name, kind, size, strict=True)], dtype=object)
     made.__annotations__ = dict.fromkeys(("k", "name", "kind", "size", "return"), pd.Series)
-    rows = table(spark, sf_dir, "part")
+    rows, cores = table(spark, sf_dir, "part"), spark.sparkContext.defaultParallelism
+    rows = rows.repartition(cores) if small(rows, cores) else rows
     return rows.select(F.col("p_partkey").cast("string").alias("path"), F.pandas_udf(made, "binary")("p_partkey", "p_name", "p_type", "p_size").alias("content"))
 
 

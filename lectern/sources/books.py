@@ -28,19 +28,31 @@ def files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
+#: Rows that go to Spark at once: a small file's would each cost a batch of their own.
+BATCH = 5000
+
+
 def _scan(source: DataFrame, read: Callable[[zipfile.ZipFile], Iterator[tuple]], schema: str) -> DataFrame:
     names = K.StructType.fromDDL(schema).names
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found: list[tuple] = []
         for pdf in batches:
             for path, content in zip(pdf["path"], pdf["content"], strict=True):
+                start = len(found)
                 try:
                     with zipfile.ZipFile(io.BytesIO(content or b"")) as z:
-                        found = [(path, None, *r) for r in read(z)]
+                        found += [(path, None, *r) for r in read(z)]
                 except (zipfile.BadZipFile, ElementTree.ParseError, KeyError, UnicodeDecodeError, ValueError) as e:
-                    found = [(path, f"{type(e).__name__}: {e}", *[None] * len(names))]
-                if found:
-                    yield pd.DataFrame(found, columns=["path", "error", *names])
+                    found[start:] = [(path, f"{type(e).__name__}: {e}", *[None] * len(names))]
+                if len(found) >= BATCH:
+                    yield framed(found)
+                    found = []
+        if found:
+            yield framed(found)
+
+    def framed(found: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(found, columns=["path", "error", *names], dtype=object)
 
     return source.select("path", "content").mapInPandas(rows, f"path string, error string, {schema}")
 
