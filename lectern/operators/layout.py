@@ -12,6 +12,7 @@ from pyspark.sql import types as K
 
 from lectern.functions import fold, metre
 from lectern.functions import text as T
+from lectern.operators import sequence
 from lectern.operators.sequence import with_field
 
 
@@ -33,14 +34,10 @@ def zone_ids(rows: DataFrame, keys: list[str], order: str, colophon: Column) ->
 
 def parents(headings: DataFrame, keys: list[str], order: str, level: str) -> DataFrame:
     """``parent`` of each heading: the last before it of the level above; none where that level is skipped or there is none."""
-    def nest(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, last, out = pdf.sort_values(order), {}, []
-        for n, d in zip(pdf[order], pdf[level], strict=True):
-            last = {k: v for k, v in last.items() if k < d}
-            out.append(last.get(d - 1))
-            last[d] = n
-        return pdf.assign(parent=pd.array(out, dtype="Int64"))
-    return headings.groupBy(*keys).applyInPandas(nest, with_field(headings, "parent", K.LongType()))
+    def nest(last: dict | None, n: int, d: int) -> tuple:
+        last = {k: v for k, v in (last or {}).items() if k < d}
+        return last | {d: n}, last.get(d - 1)
+    return sequence.scanned(headings, keys, order, level, "parent", K.LongType(), nest)
 
 
 def tree_text(nodes: DataFrame, key: str) -> DataFrame:

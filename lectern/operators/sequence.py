@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -74,16 +76,35 @@ def heading_numbers(rows: DataFrame, keys: list[str], order: str, level: str) ->
     return rows.withColumn("assigned_id", out).drop("_h2", "_h3", "_n")
 
 
+def scanned(rows: DataFrame, keys: list[str], order: str, value: str, out: str, kind: K.DataType, step: Callable[[object, object, object], tuple]) -> DataFrame:
+    """Adds ``out``: what ``step(state, place, value)`` gives, row after row of each key, with the next state; the first state is none.
+
+    Rows come by in order, many keys to a batch, and a task holds one batch and
+    one state, so neither many small keys nor one large one cost more than their rows.
+    """
+    first = F.row_number().over(W.partitionBy(*keys).orderBy(order)) == 1
+    names = rows.columns
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        state = None
+        for pdf in batches:
+            found = []
+            for new, place, v in zip(pdf["_first"], pdf[order], pdf[value], strict=True):
+                state, x = step(None if new else state, place, v)
+                found.append(x)
+            yield pdf[names].assign(**{out: pd.Series(found, index=pdf.index, dtype=object)})
+
+    return rows.withColumn("_first", first).sortWithinPartitions(*keys, order).mapInPandas(run, with_field(rows, out, kind))
+
+
 def depth_ids(rows: DataFrame, keys: list[str], order: str, depth: str) -> DataFrame:
     """Decimal heading ids by depth: a counter for each depth, reset by any heading above it."""
-    def number(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, at, out = pdf.sort_values(order), [], []
-        for d in pdf[depth]:
-            at = at[:d] + [0] * (d - len(at))
-            at[d - 1] += 1
-            out.append("-".join(map(str, at)) + "-0")
-        return pdf.assign(assigned_id=out)
-    return rows.groupBy(*keys).applyInPandas(number, with_field(rows, "assigned_id", K.StringType()))
+    def number(at: list[int] | None, _, d: int) -> tuple:
+        d = int(d)
+        at = (at or [])[:d] + [0] * (d - len(at or []))
+        at[-1] += 1
+        return at, "-".join(map(str, at)) + "-0"
+    return scanned(rows, keys, order, depth, "assigned_id", K.StringType(), number)
 
 
 def body_ids(rows: DataFrame, keys: list[str], order: str, label: Column, consumes: Column) -> DataFrame:
@@ -194,15 +215,12 @@ def capped_batches(rows: DataFrame, key: str, order: str, size: str, most: int,
 
 def size_bounded_parts(lines: DataFrame, key: str, order: str, mark: str, most: int, slack: int = 150) -> DataFrame:
     """``part`` of each line: cut only at a mark, once a part has ``most - slack`` lines."""
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf, part, n, out = pdf.sort_values(order), 0, 0, []
-        for m in pdf[mark]:
-            if m and n >= most - slack:
-                part, n = part + 1, 0
-            out.append(part)
-            n += 1
-        return pdf.assign(part=out)
-    return lines.groupBy(key).applyInPandas(cut, with_field(lines, "part", K.IntegerType()))
+    def cut(state: tuple[int, int] | None, _, m: bool) -> tuple:
+        part, n = state or (0, 0)
+        if m and n >= most - slack:
+            part, n = part + 1, 0
+        return (part, n + 1), part
+    return scanned(lines, [key], order, mark, "part", K.IntegerType(), cut)
 
 
 def same_target_islands(rows: DataFrame, keys: list[str], order: str, target: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("terms", "text", "order", "match", "audit", "planted", "files", "office", "works")
+MODULES = ("terms", "text", "order", "match", "audit", "planted", "files", "office", "varied", "works")
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 COVERS: dict[str, tuple[str, ...]] = {}

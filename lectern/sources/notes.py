@@ -36,17 +36,19 @@ def body(text: Column | str) -> Column:
     return F.regexp_replace(text, FRONTMATTER + r"\r?\n?", "")
 
 
-def patched(text: Column | str, updates: dict[str, str]) -> Column:
-    """The text with frontmatter keys set: in place where they are, else added at the block's end."""
+def patched(text: Column | str, updates: dict[str, Column | str]) -> Column:
+    """The text with frontmatter keys set, each to a value or a column's: in place where they are, else added at the block's end. A null value leaves the text as it is."""
     t = F.col(text) if isinstance(text, str) else text
     t = F.when(F.rlike(t, F.lit(FRONTMATTER)), t).otherwise(F.concat(F.lit("---\n---\n"), t))
     t = F.regexp_replace(t, r"\A---\n---", "---\n\n---")
     for key, value in updates.items():
-        line, there = F.lit(f"{key}: {value}".replace("\\", "\\\\").replace("$", "\\$")), rf"(?m)^{re.escape(key)}:.*$"
+        shown = value if isinstance(value, Column) else F.lit(value)
+        line = F.concat(F.lit(f"{key}: "), F.replace(F.replace(shown.cast("string"), F.lit("\\"), F.lit("\\\\")), F.lit("$"), F.lit("\\$")))
+        there = rf"(?m)^{re.escape(key)}:.*$"
         head = F.regexp_extract(t, FRONTMATTER, 0)
         rest = F.substring(t, F.length(head) + 1, F.length(t))
         new = F.when(F.rlike(head, F.lit(there)), F.regexp_replace(head, F.lit(there), line)).otherwise(F.regexp_replace(head, F.lit(r"\n+---\z"), F.concat(F.lit("\n"), line, F.lit("\n---"))))
-        t = F.concat(new, rest)
+        t = F.coalesce(F.concat(new, rest), t)
     return t
 
 
