@@ -257,3 +257,31 @@ def test_best_windows_query_searches_every_line(spark, tmp_path):
     spark.createDataFrame(docs, "doc_id long, text string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     got = {(r["doc_id"], r["line_no"], r["found"]) for r in match.e_best_windows(spark, str(tmp_path)).collect()}
     assert got == {(1, 0, True), (2, 0, True), (2, 1, True), (2, 2, False), (2, 3, True)}
+
+
+def test_scan_over_batches(spark):
+    import random
+
+    from lectern.operators import layout, sequence
+    rng = random.Random(3)
+    notes = {k: [rng.randint(1, 5) for _ in range(n)] for k, n in (("a", 1), ("b", 700), ("c", 2), ("d", 40))}
+    rows = [(k, i, d) for k, ds in notes.items() for i, d in enumerate(ds)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, i long, d int").repartition(5)
+    ids, parents = {}, {}
+    for k, ds in notes.items():
+        for i, d in enumerate(ds):
+            at = []
+            for level in range(1, d + 1):  # rows of the level since the last above it
+                since = max((j for j in range(i + 1) if ds[j] < level), default=-1)
+                at.append(sum(ds[j] == level for j in range(since + 1, i + 1)))
+            ids[k, i] = "-".join(map(str, at)) + "-0"
+            above = max((j for j in range(i) if ds[j] < d), default=None)
+            parents[k, i] = above if above is not None and ds[above] == d - 1 else None
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")  # keys stand in many batches, and batches in many keys
+    try:
+        assert {(r["k"], r["i"]): r["assigned_id"] for r in sequence.depth_ids(df, ["k"], "i", "d").collect()} == ids
+        assert {(r["k"], r["i"]): r["parent"] for r in layout.parents(df, ["k"], "i", "d").collect()} == parents
+        assert sequence.depth_ids(df.limit(0), ["k"], "i", "d").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
