@@ -11,7 +11,9 @@ from itertools import groupby
 LOW, HIGH, LEAST = 5, 25, 4
 DRIFT = ((9, 0), (12, 1))
 WIDEST = 2
-LONGEST = 120
+LONGEST = 200
+# Syllables of a line of a verse text, at least; syllables of a run between its lines, at most.
+SHORTEST, LONGEST_RUN = 4, 80
 REFRAIN = ("ཕྱག", "འཚལ", "བསྟོད", "འདུད")
 
 
@@ -43,7 +45,7 @@ def is_passage(size: list[int], final: list[bool], ending: list[str], least: int
     if len(size) < least:
         return False
     closing = [e for e, f in zip(ending, final, strict=True) if f]
-    if not drift(middle(sorted(size))) or 3 * len(closing) <= len(size):
+    if not drift(sorted(size)[len(size) // 2]) or 3 * len(closing) <= len(size):
         return True
     words, times = Counter(closing).most_common(1)[0]
     return 2 * times >= len(closing) and any(w in words for w in REFRAIN)
@@ -73,3 +75,29 @@ def units(size: list[int], verse: list[bool], final: list[bool], cut: list[bool]
         total += n
         open_ = not (v or f or c or total >= longest)
     return out
+
+
+def padas(size: list[int], closed: list[bool], final: list[bool], rubric: list[bool], cut: list[bool], main: int, longest: int = LONGEST_RUN) -> list[int]:
+    """Numbers of the units of a verse text: its lines one by one, and what is no verse (mantras, instructions, lists) in runs.
+
+    A line is closed, of the main metre or a neighbour's, and next to another.
+    One that closes a run as its label goes with it. A run ends with a label, a
+    rubric, a paragraph, or when it would be too long.
+    """
+    n = len(size)
+    fit = [c and s >= SHORTEST for s, c in zip(size, closed, strict=True)]
+    near = lambda k, j: 0 <= j < n and fit[j] and abs(size[k] - size[j]) <= 1
+    like = [fit[k] and (abs(size[k] - main) <= 1 or near(k, k - 1) or near(k, k + 1)) for k in range(n)]
+    verse = [b and (a or c) for a, b, c in zip([False, *like], like, [*like[1:], False], strict=False)]
+    out, number, total, open_ = [], -1, 0, False
+    before = True
+    for k in range(n):
+        label = verse[k] and k > 0 and not before and final[k] and not cut[k - 1]
+        line = verse[k] and not label
+        if line or not open_ or total + size[k] > longest:
+            number, total = number + 1, 0
+        out.append(number)
+        total += size[k]
+        open_ = not (line or label or cut[k] or (closed[k] and rubric[k]))
+        before = line
+    return out

@@ -613,7 +613,7 @@ def p_verse_units(spark, sf_dir):
         end = "'ཕྱག་འཚལ'" if m == 4 else "'x'"
         return f"transform(array({', '.join(map(str, sizes))}), (n, i) -> named_struct('pos', i, 'size', n, 'closed', i < {closed}, 'final', array_contains(array({', '.join(map(str, finals or [-1]))}), i), 'ending', {end}))"
     choice = "case k % 6 " + " ".join(f"when {m} then {of(m)}" for m in _CLAUSES) + " end"
-    return layout.verse_units(_part(spark, sf_dir).select("k", F.explode(F.expr(choice)).alias("c")).select("k", "c.*"), "k").select("k", "pos", "unit", "kind")
+    return layout.verse_units(_part(spark, sf_dir).select("k", F.explode(F.expr(choice)).alias("c")).select("k", "c.*"), "k", longest=120).select("k", "pos", "unit", "kind")
 
 
 _CUT_LINES = {  # what stands between the name and the kind; where it is cut (after so many characters), and the rules that name the piece after and before

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.operators import dayfile, units
+from lectern.operators import dayfile, roottext, units
 from lectern.plans.base import Listing
 from lectern.plans.planted import PART, _part
 
@@ -90,3 +90,46 @@ def p_day_files(spark, sf_dir):
         ("practice", "## Practice", 3, True, None, 3, 5, "words", None, "_", "**Actual Practice:**", None, None, r"_\(([^)]+)\)_", ["Patience", "Doing good"]),
     ], dayfile.PLAN)
     return dayfile.day_file_checks(files, plan, spark.createDataFrame([("em dash", "—"), ("two blanks", "  ")], "name string, pattern string"))
+
+
+_LINE, _LONG, _SAID = "ཀ་ཁ་ག་ང་ཅ་ཆ་ཇ། །", "བཀའ་སྩལ་ནས་ནི་འདི་ལྟར་རབ་ཏུ་གསུངས་ཏེ། འཁོར་རྣམས་ཀྱིས་ཉན་པར་འདོད་པ་ཡིན་ནོ། །", "བཀའ་སྩལ་ཏོ། །"
+_LABELS, _HONOUR = "རྒྱ་གར་སྐད་དུ། ས་ར། བོད་སྐད་དུ། མདོ་ཀ་ཁ།", "སངས་རྒྱས་ལ་ཕྱག་འཚལ་ལོ། །"
+_WROTE, _TURNED = "སློབ་དཔོན་གྱིས་མཛད་པ་རྫོགས་སོ། །", "རྒྱ་གར་གྱི་མཁན་པོ་དང་། ལོ་ཙཱ་བ་ཡིས་བསྒྱུར་བའོ། །"
+_I, _B, _A = ("front", "heading", "## ཀླད་ཀྱི་དོན། ^I-0"), ("body", "heading", "## གཞུང་དངོས། ^1-0"), ("closing", "heading", "## མཇུག་བྱང། ^a-0")
+_BY, _OF = "### མཛད་བྱང། ^a-%d-0", "### འགྱུར་བྱང། ^a-%d-0"
+#: By the key: a root text, and its lines: zone, kind, text, and whether a paragraph ends there (1) inside a sentence (2). NAME and KIND stand for the row's, BRAND for a title.
+_ROOTS = {
+    # a verse text with all of a frame
+    0: (f"# BRAND\n\n{_LABELS} {_HONOUR}{_LINE * 6}\n\n{_LINE * 4}{_WROTE}{_TURNED}\n\n[^1]: NAME", [("title", "heading", "# BRAND ^0"), _I, ("front", "text", _LABELS), ("front", "text", _HONOUR), _B, *[("body", "P", _LINE)] * 5, ("body", "P", _LINE, 1), *[("body", "P", _LINE)] * 4, _A, ("closing", "heading", _BY % 1), ("closing", "text", _WROTE), ("closing", "heading", _OF % 2), ("closing", "text", _TURNED), ("notes", "text", "[^1]: NAME")]),
+    # prose with a stanza in it, and no frame
+    1: (f"NAME {_LONG}{_SAID}{_LINE * 4}ཀ་ཞེས་KIND། {_SAID}", [_B, ("body", "S", f"NAME {_LONG}"), ("body", "S", _SAID), *[("body", "V", _LINE)] * 4, ("body", "S", f"ཀ་ཞེས་KIND། {_SAID}")]),
+    # a title that the text repeats, and homage; a paragraph that ends inside a sentence, another that does not
+    2: (f"# མདོ་ཀ་ཁ་BRAND\n\nམདོ་ཀ་ཁ། {_HONOUR}ཀ་NAME་ནས།\n\nཁ་KIND {_SAID}\n\nག་NAME {_SAID}", [("title", "heading", "# མདོ་ཀ་ཁ་BRAND ^0"), _I, ("front", "text", "མདོ་ཀ་ཁ།"), ("front", "text", _HONOUR), _B, ("body", "S", "ཀ་NAME་ནས།", 2), ("body", "S", f"ཁ་KIND {_SAID}", 1), ("body", "S", f"ག་NAME {_SAID}")]),
+    # frontmatter; language labels without homage; translators only
+    3: (f"---\na: NAME\n---\n{_LABELS} ང་KIND {_SAID}{_TURNED}", [("frontmatter", "text", "---\na: NAME\n---\n"), _I, ("front", "text", _LABELS), _B, ("body", "S", f"ང་KIND {_SAID}"), _A, ("closing", "heading", _OF % 1), ("closing", "text", _TURNED)]),
+    # an instruction between the lines of a verse text is one line
+    4: (f"{_LINE * 12}ཧ་NAME། ཀ་ཁ་KINDའོ། །{_LINE * 12}", [_B, *[("body", "P", _LINE)] * 12, ("body", "P", "ཧ་NAME། ཀ་ཁ་KINDའོ། །"), *[("body", "P", _LINE)] * 12]),
+    # the marks that open a text go with its first line; a verse text whose author alone is named
+    5: (f"༄༅། །{_LINE * 8}{_WROTE}", [_B, ("body", "P", f"༄༅། །{_LINE}"), *[("body", "P", _LINE)] * 7, _A, ("closing", "heading", _BY % 1), ("closing", "text", _WROTE)]),
+}
+#: The parts of a work whose key is 6 in 7, and its lines.
+_PARTED = (f"# BRAND\n\nང་KIND {_SAID}ཅ་NAME {_SAID}ཆ་KIND། ཇ་BRAND {_SAID}", [("title", "heading", "# BRAND ^0"), ("body", "heading", "## NAME ^1-0"), ("body", "S", f"ང་KIND {_SAID}"), ("body", "S", f"ཅ་NAME {_SAID}"), ("body", "S", "ཆ་KIND།"), ("body", "heading", "## KIND ^2-0"), ("body", "S", f"ཇ་BRAND {_SAID}"), ("unplaced", "heading", "BRAND")])
+_ALL_ROOTS = {**_ROOTS, 6: _PARTED}
+
+
+def _sql_roots() -> str:
+    rows = [f"({m}, {i}, '{zone}', '{kind}', '{text.strip() if zone != 'frontmatter' else text}', {str(bool(ends)).lower()}, {str(ends == [2]).lower()})" for m, (_, made) in _ALL_ROOTS.items() for i, (zone, kind, text, *ends) in enumerate(made)]
+    return f"with {PART}, u as (select * from (values {', '.join(rows)}) as t(m, line, zone, kind, x, breaks, doubtful)) select k, line, zone, u.kind, replace(replace(replace(x, 'NAME', name), 'KIND', p.kind), 'BRAND', brand) as text, breaks, doubtful from p join u on k % 7 = m"
+
+
+@L.add("H13 H14 F34", _sql_roots())
+def p_root_texts(spark, sf_dir):
+    """A root text a row, of one of seven forms by its key; the last has parts, of which the first moves up and the last is not found."""
+    said = lambda t: "'" + t.replace("\n", "\\n") + "'"
+    form = F.expr("case k % 7 " + " ".join(f"when {m} then {said(t)}" for m, (t, _) in _ALL_ROOTS.items()) + " end")
+    rows = _part(spark, sf_dir)
+    text = form
+    for word, column in (("NAME", "name"), ("KIND", "kind"), ("BRAND", "brand")):
+        text = F.replace(text, F.lit(word), F.col(column))
+    parts = rows.where("k % 7 = 6").select("k", F.expr("inline(array(named_struct('pos', 1, 'label', name, 'anchor', concat('ཅ་', name)), named_struct('pos', 2, 'label', kind, 'anchor', concat('ཇ་', brand)), named_struct('pos', 3, 'label', brand, 'anchor', concat(name, kind))))"))
+    return roottext.laid_out(rows.select("k", text.alias("text")), "k", parts)
