@@ -30,7 +30,6 @@ BANDS = ((50_000, "dominant"), (10_000, "very high"), (3_000, "high"), (500, "me
 
 # Code-point ranges of scripts.
 SCRIPTS = (("deva", 0x0900, 0x097F), ("tibt", 0x0F00, 0x0FFF), ("hani", 0x4E00, 0x9FFF), ("sinh", 0x0D80, 0x0DFF), ("mymr", 0x1000, 0x109F), ("thai", 0x0E00, 0x0E7F))
-SCRIPT_SAMPLE = 20_000
 
 # Marks that separate Tibetan syllables and clauses, and the letters' range.
 TSHEG, TSHEG_NB, SHAD = "་", "༌", "།"

@@ -225,9 +225,9 @@ def expand_range(first: Column | str, last: Column | str, most: int = 500) -> Co
     return F.when(fits, F.transform(F.sequence(lo, F.greatest(lo, hi)), lambda i: F.concat_ws("-", stem(a), i.cast("string"))))
 
 
-def script(text: Column | str) -> Column:
-    """The script with the most letters in the text's sample; ties in the order listed, Latin last and where there are none."""
-    t = F.substring(_c(text), 1, fixed.SCRIPT_SAMPLE)
+def script(text: Column | str, sample: int | None = None) -> Column:
+    """The script with the most letters in the text, or in a sample of so many characters at its head; ties in the order listed, Latin last and where there are none."""
+    t = _c(text) if sample is None else F.substring(_c(text), 1, sample)
     counts = [(name, F.regexp_count(t, F.lit(f"[\\x{{{a:X}}}-\\x{{{b:X}}}]"))) for name, a, b in fixed.SCRIPTS]
     counts.append(("latn", F.regexp_count(t, F.lit(r"[\p{L}&&[\x{0}-\x{24F}]]|[\x{1E00}-\x{1EFF}]"))))
     most = F.greatest(*(n for _, n in counts))

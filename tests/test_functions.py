@@ -99,3 +99,8 @@ def test_sql_names(spark):
     T.register(spark)
     row = spark.sql("select squeeze('a b') a, script('བོད') b, plain_html('<p>a') c, cast(work_day(timestamp'2024-01-01 20:00:00') as string) d").first()
     assert tuple(row) == ("ab", "tibt", "a", "2024-01-02")
+
+
+def test_script_of_a_whole_text(spark):
+    row = spark.createDataFrame([("a" * 30_000 + "བོད" * 20_000,)], "t string").select(T.script("t").alias("whole"), T.script("t", 20_000).alias("head")).first()
+    assert (row["whole"], row["head"]) == ("tibt", "latn")
