@@ -84,19 +84,22 @@ def capped(hits: DataFrame, key: str, order: list, most: int) -> DataFrame:
 
 
 def best_windows(queries: DataFrame, texts: DataFrame, on: str) -> DataFrame:
-    """Of the runs of about a line's words in a passage the one most like it: ``(line, passage)`` by ``on``; other columns of the queries stay."""
+    """Of the runs of about a line's words in a passage the one most like it: ``(line, passage)`` by ``on``; other columns of the queries stay.
+
+    The lines of a passage go to it together, so it is sent and read once.
+    """
     extra = [c for c in queries.columns if c not in (on, "line")]
 
     def find(batches):
         for pdf in batches:
-            rows, last = [], (None, None)
-            for key, line, passage, *more in zip(pdf[on], pdf["line"], pdf["passage"], *(pdf[c] for c in extra), strict=True):
-                if passage != last[0]:
-                    last = passage, windows.Passage(passage or "")
-                rows.append((key, *more, line, *last[1].best(line or "")))
+            rows = []
+            for key, asked, text in zip(pdf[on], pdf["asked"], pdf["passage"], strict=True):
+                passage = windows.Passage(text or "")
+                rows += [(key, *(q[c] for c in extra), q["line"], *passage.best(q["line"] or "")) for q in asked]
             yield pd.DataFrame(rows, columns=[on, *extra, "line", "score", "window"])
     kinds = ", ".join(f"{c} {dict(queries.dtypes)[c]}" for c in (on, *extra))
-    return queries.join(texts, on).select(on, *extra, "line", "passage").mapInPandas(find, f"{kinds}, line string, score double, window string")
+    asked = queries.groupBy(on).agg(F.collect_list(F.struct("line", *extra)).alias("asked"))
+    return asked.hint("merge").join(texts, on).select(on, "asked", "passage").mapInPandas(find, f"{kinds}, line string, score double, window string")
 
 
 def concordance(pairs: DataFrame, min_overlap: int = 8) -> DataFrame:
