@@ -130,7 +130,7 @@ def projected_spans(spans: DataFrame, texts: DataFrame, key: str) -> DataFrame:
                 rows += [(k, *span, *(to or (None, None))) for span, to in zip(own, letters.projected(a or "", b or "", own), strict=True)]
             yield pd.DataFrame(rows, columns=[key, "start", "end", "to_start", "to_end"]).astype({"to_start": "Int64", "to_end": "Int64"})
     asked = spans.groupBy(key).agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))).alias("asked"))
-    return asked.join(texts, key).select(key, "a", "b", "asked").mapInPandas(run, f"{key} {dict(spans.dtypes)[key]}, start int, end int, to_start int, to_end int")
+    return asked.hint("merge").join(texts, key).select(key, "a", "b", "asked").mapInPandas(run, f"{key} {dict(spans.dtypes)[key]}, start int, end int, to_start int, to_end int")
 
 
 #: Levels of the powers of two that a span of longs can need.
