@@ -7,6 +7,7 @@ import random
 
 from lectern.functions import blocks, windows
 from lectern.operators import align, intake, stanzas, terms
+from lectern.plans import files
 
 
 def plan(df) -> str:
@@ -63,3 +64,8 @@ def test_no_side_of_a_table_is_broadcast(spark):
     rows = spark.createDataFrame([(1, 1, ["abcdef", "ghijkl"])], "doc_id long, stanza_id long, lines array<string>")
     for df in (align.overlap_join(spans, spans, "k"), intake.overlaid(spans.drop("block_id"), spans, "k"), align.projected_spans(spans.select("k", "start", "end"), texts, "k"), stanzas.stanza_places(rows, rows.select("doc_id", "lines"))):
         assert "BroadcastExchange" not in plan(df) and df.count() == 1
+
+
+def test_best_rejected_query_has_no_floor_near_its_rows(spark):
+    found = files.p_best_rejected(spark, "/root/testdata/sf0.001").collect()
+    assert len(found) > 50 and {r["score"] for r in found} == {round(64 / 96, 9)} and all(r["a"] == r["b"] and r["a"] % 2 for r in found)
