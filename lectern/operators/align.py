@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import blocks, letters, windows
 from lectern.functions import text as T
+from lectern.sources.stage import staged
 
 
 def full_outer(source: DataFrame, target: DataFrame, key: str = "block_id") -> DataFrame:
@@ -163,10 +164,11 @@ def overlap_join(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     of length n has no more than 2 log n rows. Of two such intervals that meet,
     one holds the other: each of a span's intervals is also listed by those that
     hold it and that the other table has levels for, and the join is on equal
-    intervals. Each pair is kept once, where its first common place lies.
+    intervals. Each pair is kept once, where its first common place lies. The
+    intervals of both tables are written once.
     """
-    left = a.withColumn("_piece", F.explode(_cover(F.col("start"), F.col("end"))))
-    right = b.select(key, *(F.col(c).alias(f"{c}_b") for c in b.columns if c != key)).withColumn("_piece", F.explode(_cover(F.col("start_b"), F.col("end_b"))))
+    left = staged(a.withColumn("_piece", F.explode(_cover(F.col("start"), F.col("end")))))
+    right = staged(b.select(key, *(F.col(c).alias(f"{c}_b") for c in b.columns if c != key)).withColumn("_piece", F.explode(_cover(F.col("start_b"), F.col("end_b")))))
 
     def above(df: DataFrame, levels: list[int]) -> DataFrame:
         higher = F.array(*map(F.lit, levels)).cast("array<int>")
@@ -175,8 +177,9 @@ def overlap_join(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
     levels = lambda df: sorted(r[0] for r in df.select("_piece.level").distinct().collect())  # noqa: E731  62 at most
     as_b = lambda df: df.withColumnRenamed("_piece", "_piece_b")
-    one = above(left, levels(right)).join(as_b(right.withColumn("_node", F.col("_piece"))), [key, "_node"])
-    two = as_b(above(right, levels(left)).where("_node.level > _piece.level")).join(left.withColumn("_node", F.col("_piece")), [key, "_node"])
+    # what the pieces of spans come to can't be told from the tables' sizes, so neither side is broadcast
+    one = above(left, levels(right)).hint("merge").join(as_b(right.withColumn("_node", F.col("_piece"))), [key, "_node"])
+    two = as_b(above(right, levels(left)).where("_node.level > _piece.level")).hint("merge").join(left.withColumn("_node", F.col("_piece")), [key, "_node"])
     columns = [c for c in one.columns if not c.startswith("_")]
     both = one.select(*columns, "_piece", "_piece_b").unionByName(two.select(*columns, "_piece", "_piece_b"))
     begin = lambda p: F.call_function("shiftleft", F.col(f"{p}.place"), F.col(f"{p}.level"))

@@ -61,7 +61,7 @@ def overlaid(layers: DataFrame, blocks: DataFrame, key: str) -> DataFrame:
     own = layers.withColumn("layer_id", F.xxhash64(*layers.columns))
     hit = overlap_join(own, blocks, key)
     cut = hit.select(key, "layer_id", "block_id_b", F.greatest(F.lit(0), F.col("start") - F.col("start_b")).alias("from"), (F.least("end", "end_b") - F.col("start_b")).alias("to"))
-    rest = own.join(hit.select("layer_id").distinct(), "layer_id", "left_anti").select(key, "layer_id", F.lit(None).cast(dict(blocks.dtypes)["block_id"]).alias("block_id_b"), F.lit(None).cast(dict(cut.dtypes)["from"]).alias("from"), F.lit(None).cast(dict(cut.dtypes)["to"]).alias("to"))
+    rest = own.hint("merge").join(hit.select("layer_id").distinct(), "layer_id", "left_anti").select(key, "layer_id", F.lit(None).cast(dict(blocks.dtypes)["block_id"]).alias("block_id_b"), F.lit(None).cast(dict(cut.dtypes)["from"]).alias("from"), F.lit(None).cast(dict(cut.dtypes)["to"]).alias("to"))
     return cut.union(rest).withColumnRenamed("block_id_b", "block_id")
 
 
