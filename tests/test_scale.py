@@ -6,10 +6,13 @@ import difflib
 import random
 
 from lectern.functions import blocks, windows
-from lectern.operators import align, intake, stanzas, terms
+from lectern.operators import align, fuzzy, intake, stanzas, terms
 from lectern.plans import files
 
 
+blocks_common = blocks.common_subsequence
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -69,3 +72,24 @@ def test_no_side_of_a_table_is_broadcast(spark):
 def test_best_rejected_query_has_no_floor_near_its_rows(spark):
     found = files.p_best_rejected(spark, "/root/testdata/sf0.001").collect()
     assert len(found) > 50 and {r["score"] for r in found} == {round(64 / 96, 9)} and all(r["a"] == r["b"] and r["a"] % 2 for r in found)
+
+
+def test_short_texts_are_compared_at_once(monkeypatch):
+    dice = random.Random(5)
+    texts = ["".join(dice.choices("abcdefghij𝄞", k=dice.choice((30, 40, 63)))) for _ in range(60)] + [""]
+    texts += [t[:12] + "#" + t[13:] for t in texts]
+    for least in (0.5, 0.9):
+        want = [(i, j, blocks.ratio_of(t, u)) for i, t in enumerate(texts) for j, u in enumerate(texts) if blocks.ratio_of(t, u) >= least]
+        monkeypatch.setattr(blocks, "common_subsequence", lambda a, b, least=0: blocks_common(a, b, least) if calls.append(a) is None else 0)
+        calls = []
+        assert fuzzy.compare(texts, texts, least) == want
+        assert len(calls) < len(texts) ** 2 / (1 if least == 0.5 else 20)
+        monkeypatch.undo()
+
+
+def test_best_rejected_leaves_out_equal_texts_first(spark):
+    a = spark.createDataFrame([(1, "abcdefgh"), (2, "abcdefxx"), (3, None)], "a long, text string")
+    b = spark.createDataFrame([(7, "abcdefgh"), (8, "zzzz")], "b long, text string")
+    got = fuzzy.best_rejected(a, b, "a", "b", 0.9)
+    assert [(r["a"], r["b"]) for r in got.collect()] == [(2, 7)]
+    assert [(r["a"], r["b"], r["score"]) for r in fuzzy.best_rejected(a, b, "a", "b", 1.5).orderBy("a").collect()] == [(1, 7, 1.0), (2, 7, 0.75)]
