@@ -5,9 +5,12 @@ from __future__ import annotations
 import difflib
 import random
 
-from lectern.functions import blocks, windows
+from pyspark.sql import functions as F
+
+from lectern.functions import blocks, fixed, windows
+from lectern.functions import text as T
 from lectern.operators import align, fuzzy, intake, stanzas, terms
-from lectern.plans import files
+from lectern.plans import files, text
 
 
 blocks_common = blocks.common_subsequence
@@ -93,3 +96,22 @@ def test_best_rejected_leaves_out_equal_texts_first(spark):
     got = fuzzy.best_rejected(a, b, "a", "b", 0.9)
     assert [(r["a"], r["b"]) for r in got.collect()] == [(2, 7)]
     assert [(r["a"], r["b"], r["score"]) for r in fuzzy.best_rejected(a, b, "a", "b", 1.5).orderBy("a").collect()] == [(1, 7, 1.0), (2, 7, 0.75)]
+
+
+def test_terms_are_counted_in_their_row(spark):
+    docs = spark.createDataFrame([(1, "x", "Bodhi-tree, bodhi! śīla śīla"), (2, "x", "the"), (3, "x", None), (None, "y", "seven karmas"), (None, "y", "karmas")], "doc_id long, lang string, text string")
+    got = terms.counted(docs.where("doc_id is not null"), ["doc_id", "lang"])
+    assert "Exchange" not in plan(got)
+    assert sorted((r["doc_id"], r["word"], r["count"]) for r in got.collect()) == [(1, "bodhi", 1), (1, "bodhi-tree", 1), (1, "śīla", 2)]
+    assert {(r["doc_id"], r["word"], r["count"]) for r in terms.counted(docs, ["doc_id", "lang"]).where("lang = 'y'").collect()} == {(None, "karmas", 2)}
+
+
+def test_words_without_the_passes_that_change_none(spark):
+    dice = random.Random(11)
+    signs = ["a", "Bé", "ñ", "Ō", "×", "\xaa", "ŋ", "-", "--", " ", "\n", "#", "[", "*", "7", "^", "^a-1", "![[", "]]", "---\n", "\n---", "K", "|"]
+    rows = [("".join(dice.choices(signs, k=dice.randint(0, 30))),) for _ in range(400)] + [(None,), ("---\na: b\n---\nc",)]
+    word = f"[a-zA-Z{fixed.TRANSLITERATION}À-ÖØ-öø-ÿß]+"
+    plain = F.transform(F.regexp_extract_all(T.plain_markup("t"), F.lit(f"{word}(?:-{word})*"), F.lit(0)), F.lower)
+    df = spark.createDataFrame(rows, "t string").select("t", plain.alias("want"), T.english_tokens("t").alias("got"))
+    assert [r for r in df.collect() if r["want"] != r["got"]] == []
+    assert plan(df.select("got")).count("regexp_replace") == 3
