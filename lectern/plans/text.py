@@ -8,6 +8,7 @@ from lectern.functions import text as T
 from lectern.operators import segment, terms
 from lectern.plans.base import LINES_SQL, Listing, longs, sql_words, table
 from lectern.sources import notes, sinks
+from lectern.sources.stage import staged
 
 L = Listing()
 
@@ -149,7 +150,7 @@ def f_batch_summary(spark, sf_dir):
 
 @L.add("H26", f"with w as (select word, count(*) as c from (select unnest({sql_words('text')}) as word from documents) group by word), v as (select * from w where c >= 5), u as (select word from w where c < 5), k as (select word, k, left(word, k) as head, substr(word, k + 1) as tail from u, unnest(range(2, length(word) - 1)) as t(k)), b as (select k.*, a.c as h, z.c as t from k join v a on a.word = head join v z on z.word = tail) select word, head, tail from (select *, row_number() over (partition by word order by least(h, t) desc, k) as r from b) where r = 1")
 def h_two_word_splits(spark, sf_dir):
-    counts = terms.word_counts(_docs(spark, sf_dir))
+    counts = staged(terms.word_counts(_docs(spark, sf_dir)))
     return segment.two_word_splits(counts.where("count < 5"), counts.where("count >= 5"))
 
 

@@ -115,3 +115,7 @@ def test_words_without_the_passes_that_change_none(spark):
     df = spark.createDataFrame(rows, "t string").select("t", plain.alias("want"), T.english_tokens("t").alias("got"))
     assert [r for r in df.collect() if r["want"] != r["got"]] == []
     assert plan(df.select("got")).count("regexp_replace") == 3
+
+
+def test_word_counts_are_written_once(spark):
+    assert "documents" not in plan(text.h_two_word_splits(spark, "/root/testdata/sf0.001"))
