@@ -119,3 +119,10 @@ def test_words_without_the_passes_that_change_none(spark):
 
 def test_word_counts_are_written_once(spark):
     assert "documents" not in plan(text.h_two_word_splits(spark, "/root/testdata/sf0.001"))
+
+
+def test_terms_of_a_verse_go_together(spark):
+    found = spark.createDataFrame([("a", "A b", 1), ("a", "a b", 2), ("c", "zz", 1), ("c", "zz", 1), ("d", None, 1), ("e", "x", None)], "term string, rendering string, verse_id long")
+    got = terms.evidence_ratio(found, spark.createDataFrame([(1, "xa By"), (2, None), (3, "a b")], "verse_id long, text string"))
+    assert "collect_list" in plan(got)
+    assert sorted(map(tuple, got.collect())) == [("a", "A b", 1, 1, 1.0), ("c", "zz", 2, 0, 0.0), ("d", None, 1, None, None)]
