@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import blocks, letters, windows
 from lectern.functions import text as T
-from lectern.sources.stage import staged
+from lectern.sources.stage import staged, tasks_for
 
 
 def full_outer(source: DataFrame, target: DataFrame, key: str = "block_id") -> DataFrame:
@@ -201,9 +201,17 @@ def nearest(rows: DataFrame, key: str, line: str, target: str) -> DataFrame:
     return rows.groupBy(key).agg(F.min_by(line, F.struct(F.abs(F.col(line) - F.col(target)), F.col(line))).alias(line))
 
 
+#: Rows of edges that one task sorts.
+BACK_ROWS = 500_000
+
+
 def back_references(edges: DataFrame, order: DataFrame) -> DataFrame:
-    """For each target the notes that refer to it, and the first and last of its blocks that they cover."""
-    return edges.join(order, ["dst_note", "dst_block"]).groupBy("dst_note", "src_note").agg(F.min_by("dst_block", "pos").alias("first_block"), F.max_by("dst_block", "pos").alias("last_block"), F.count_distinct("dst_block").alias("n_blocks"))
+    """For each target the notes that refer to it, and the first and last of its blocks that they cover; edges are dealt to tasks of a bounded number of rows."""
+    at = ["dst_note", "dst_block"]
+    tasks = tasks_for(edges, BACK_ROWS)
+    own = edges.select(*at, "src_note").repartition(tasks, *at)
+    places = order.repartition(tasks, *at).groupBy(*at).agg(F.min("pos").alias("_lo"), F.max("pos").alias("_hi"))
+    return own.distinct().join(places, at).repartition(tasks, "dst_note", "src_note").groupBy("dst_note", "src_note").agg(F.min_by("dst_block", "_lo").alias("first_block"), F.max_by("dst_block", "_hi").alias("last_block"), F.count("*").alias("n_blocks"))
 
 
 def propagated(notes: DataFrame, sources: DataFrame, key: str, fields: list[str]) -> DataFrame:

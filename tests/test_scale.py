@@ -126,3 +126,12 @@ def test_terms_of_a_verse_go_together(spark):
     got = terms.evidence_ratio(found, spark.createDataFrame([(1, "xa By"), (2, None), (3, "a b")], "verse_id long, text string"))
     assert "collect_list" in plan(got)
     assert sorted(map(tuple, got.collect())) == [("a", "A b", 1, 1, 1.0), ("c", "zz", 2, 0, 0.0), ("d", None, 1, None, None)]
+
+
+def test_edges_are_dealt_by_their_number(spark, monkeypatch):
+    monkeypatch.setattr(align, "BACK_ROWS", 1)
+    edges = spark.createDataFrame([("a", "t", 1), ("a", "t", 1), ("a", "t", 3), ("b", "t", 2), ("b", "t", None), ("c", "u", 9)], "src_note string, dst_note string, dst_block long")
+    order = spark.createDataFrame([("t", 1, 5), ("t", 1, 9), ("t", 2, 1), ("t", 3, 7)], "dst_note string, dst_block long, pos long")
+    got = align.back_references(edges, order)
+    assert plan(got).count(", 6), REPARTITION_BY_NUM") == 3
+    assert sorted(map(tuple, got.collect())) == [("t", "a", 1, 1, 2), ("t", "b", 2, 2, 1)]
