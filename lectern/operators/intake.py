@@ -37,15 +37,20 @@ def parallel_rows(source: DataFrame, target: DataFrame, key: str, block: str) ->
 
 
 def referenced(paragraphs: DataFrame, known: DataFrame, key: str) -> DataFrame:
-    """Commentary paragraphs with the numbers that they begin with; one of numbers alone gives them to the next, one without keeps those before it. Numbers that aren't known are dropped and told."""
+    """Commentary paragraphs with the numbers that they begin with; one of numbers alone gives them to the next, one without keeps those before it. Numbers that aren't known are dropped and told.
+
+    A paragraph's numbers are compared in its row with those known of its work, so paragraphs go by their work alone and are never regrouped.
+    """
     w = W.partitionBy(key).orderBy("pos")
     rows = paragraphs.withColumn("_r", T.reference_list("text")).withColumn("_only", (F.size("_r") > 0) & F.rlike("text", F.lit(r"^\s*[\d\s,.)–-]+$")))
     rows = rows.withColumn("_own", F.when(F.size("_r") > 0, F.col("_r")))
     rows = rows.withColumn("refs", F.last("_own", ignorenulls=True).over(w)).where("not _only")
-    flat = rows.select(key, "pos", F.explode_outer("refs").alias("ref"))
-    there = flat.join(known.select(key, "ref").distinct().withColumn("_k", F.lit(True)), [key, "ref"], "left")
-    good = there.groupBy(key, "pos").agg(F.array_sort(F.collect_list(F.when(F.col("_k"), F.col("ref")))).alias("refs"), F.array_sort(F.collect_list(F.when(F.col("_k").isNull(), F.col("ref")))).alias("unknown"))
-    return rows.select(key, "pos", "text").join(good, [key, "pos"])
+    there = known.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_set("ref").alias("_known"))
+    refs, own = F.coalesce("refs", F.array().cast(dict(rows.dtypes)["refs"])), F.coalesce("_known", F.array())
+    rows = rows.where(F.col(key).isNotNull() & F.col("pos").isNotNull()).hint("merge").join(there, key, "left")
+    good = F.array_sort(F.filter(refs, lambda x: F.array_contains(own, x)))
+    unknown = F.array_sort(F.filter(refs, lambda x: ~F.array_contains(own, x)))
+    return rows.select(key, "pos", "text", good.alias("refs"), unknown.alias("unknown"))
 
 
 def inferred_references(found: DataFrame, key: str) -> DataFrame:

@@ -135,3 +135,10 @@ def test_edges_are_dealt_by_their_number(spark, monkeypatch):
     got = align.back_references(edges, order)
     assert plan(got).count(", 6), REPARTITION_BY_NUM") == 3
     assert sorted(map(tuple, got.collect())) == [("t", "a", 1, 1, 2), ("t", "b", 2, 2, 1)]
+
+
+def test_references_are_compared_in_their_row(spark):
+    rows = spark.createDataFrame([(1, 1, "1-3. a"), (1, 2, "3, 7."), (1, 3, "b"), (2, 1, "c"), (2, 2, "4. d"), (None, 1, "1. e")], "k long, pos long, text string")
+    got = intake.referenced(rows, spark.createDataFrame([(1, 1), (1, 3), (1, 3), (None, 1), (1, None)], "k long, ref int"), "k")
+    assert "Generate" not in plan(got)
+    assert sorted((r["k"], r["pos"], r["refs"], r["unknown"]) for r in got.collect()) == [(1, 1, [1, 3], [2]), (1, 3, [3], [7]), (2, 1, [], []), (2, 2, [], [4])]
