@@ -17,6 +17,7 @@ from lectern.operators import align, checks, fuzzy, hooks, intake, layout, score
 from lectern.operators import stanzas as stanza_search
 from lectern.plans.base import Listing, table
 from lectern.sources import notes, sinks
+from lectern.sources.stage import staged
 from lectern.streaming import feed
 
 L = Listing()
@@ -102,6 +103,7 @@ def p_typed_units(spark, sf_dir):
 @L.add("A11 A48", _rows(["k ; '2-' || size ; 7 ; name || ' ^2-2' || chr(10) || 'and ' || brand || ' ^2-' || size"], "k block_id start text"))
 def p_root_ids(spark, sf_dir):
     units = notes.typed_units(_texts(spark, sf_dir, *_UNITS), ["k"])
+    units = staged(units.where("block_id <> ''").select("k", "block_id", "start", "end", "text"))
     out = None
     for n in range(1, 52):
         found = notes.extract_block(units, ["k"], f"2-{n}").select("k", F.lit(f"2-{n}").alias("block_id"), "start", "text") if n in (1, 2) else None

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from lectern.functions import blocks, fixed, windows
 from lectern.functions import text as T
 from lectern.operators import align, fuzzy, intake, stanzas, terms
-from lectern.plans import files, text
+from lectern.plans import base, files, planted, text
+from lectern.sources import notes
 
 
 blocks_common = blocks.common_subsequence
@@ -142,3 +143,9 @@ def test_references_are_compared_in_their_row(spark):
     got = intake.referenced(rows, spark.createDataFrame([(1, 1), (1, 3), (1, 3), (None, 1), (1, None)], "k long, ref int"), "k")
     assert "Generate" not in plan(got)
     assert sorted((r["k"], r["pos"], r["refs"], r["unknown"]) for r in got.collect()) == [(1, 1, [1, 3], [2]), (1, 3, [3], [7]), (2, 1, [], []), (2, 2, [], [4])]
+
+
+def test_lines_of_a_part_stay_in_its_task(spark, monkeypatch):
+    monkeypatch.setattr(base, "PART_ROWS", 10)
+    units = notes.typed_units(planted._texts(spark, "/root/testdata/sf0.001", "name", "kind"), ["k"])
+    assert plan(units).count("Exchange hashpartitioning") == 1 and ", 20), REPARTITION_BY_NUM" in plan(units)
