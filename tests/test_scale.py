@@ -11,7 +11,8 @@ from lectern.functions import blocks, fixed, windows
 from lectern.functions import text as T
 from lectern.operators import align, fuzzy, intake, stanzas, terms
 from lectern.plans import base, files, planted, text
-from lectern.sources import notes
+from lectern.sources import books, notes
+from lectern.sources.stage import dealt
 
 
 blocks_common = blocks.common_subsequence
@@ -149,3 +150,28 @@ def test_lines_of_a_part_stay_in_its_task(spark, monkeypatch):
     monkeypatch.setattr(base, "PART_ROWS", 10)
     units = notes.typed_units(planted._texts(spark, "/root/testdata/sf0.001", "name", "kind"), ["k"])
     assert plan(units).count("Exchange hashpartitioning") == 1 and ", 20), REPARTITION_BY_NUM" in plan(units)
+
+
+def test_phrases_are_counted_once_in_small_tasks(spark, monkeypatch):
+    monkeypatch.setattr(terms, "PHRASE_TASK_BYTES", 100)
+    docs = spark.createDataFrame([(i, "red deer run far " * 2) for i in range(3)] + [(9, "red deer")], "k long, text string")
+    assert dealt(spark.range(100), ["id"], 80).rdd.getNumPartitions() == 10 and dealt(docs, ["k"], 80).rdd.getNumPartitions() == 4
+    got = terms.phrases(docs, ["k"])
+    assert "concat_ws" not in plan(got)
+    assert {(r["phrase"], r["df"]) for r in got.collect()} == {("red deer run far", 3), ("deer run far red", 3), ("run far red deer", 3), ("far red deer run", 3)}
+
+
+def test_script_without_passes_over_latin_texts(spark):
+    rows = [("abc", "latn", False), ("été", "latn", False), ("བོད་ abc xyz", "latn", False), ("བོད་ཡིག ab", "tibt", True), ("ab བོད", "tibt", True), ("कखग བོད", "deva", False), ("བོད་ ab1", "tibt", True), ("", "latn", False), (None, None, None)]
+    df = spark.createDataFrame([r[:1] for r in rows], "t string").select("t", T.script("t").alias("s"), T.has_stray_latin("t").alias("x"))
+    assert [r["s"] for r in df.collect()] == [r[1] for r in rows]
+    assert "octet_length" in plan(df)
+
+
+def test_concordance_reads_few_texts_at_a_time(spark):
+    got = align.concordance(spark.createDataFrame([(str(i), ["abc def", "ghi"], ["abcdefg", "hi"]) for i in range(200)], "work string, a array<string>, b array<string>"))
+    assert "MapInArrow" in plan(got) and got.count() == 400
+
+
+def test_word_files_are_read_by_arrow(spark):
+    assert "MapInArrow" in plan(books.word_notes(spark.createDataFrame([("a", b"")], "path string, content binary")))
