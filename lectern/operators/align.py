@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -103,22 +104,28 @@ def best_windows(queries: DataFrame, texts: DataFrame, on: str) -> DataFrame:
     return asked.hint("merge").join(texts, on).select(on, "asked", "passage").mapInPandas(find, f"{kinds}, line string, score double, window string")
 
 
+#: Texts of a batch that are Python objects at a time.
+CONCORDANCE_ROWS = 64
+
+
 def concordance(pairs: DataFrame, min_overlap: int = 8) -> DataFrame:
     """Letters of two cuts of a text in common, by row and block: ``(work, a, b)`` are arrays of texts; a pair needs ``min_overlap`` letters or a whole side."""
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for work, a, b in zip(pdf["work"], pdf["a"], pdf["b"], strict=True):
-                la, lb = (["".join(filter(str.isalpha, t)) for t in x] for x in (a, b))
-                own_a, own_b = (np.repeat(np.arange(len(x)), [len(t) for t in x]) for x in (la, lb))
-                met = [own_a[x:x + n] * len(lb) + own_b[y:y + n] for x, y, n in blocks.matching_blocks("".join(la), "".join(lb))]
-                pairs, letters = np.unique(np.concatenate(met) if met else np.zeros(0, np.int64), return_counts=True)
-                for at, n in zip(pairs.tolist(), letters.tolist(), strict=True):
-                    i, j = divmod(at, len(lb))
-                    if n >= min_overlap or n in (len(la[i]), len(lb[j])):
-                        rows.append((work, i, j, n))
-            yield pd.DataFrame(rows, columns=["work", "row", "block", "letters"])
-    return pairs.mapInPandas(run, "work string, row int, block int, letters int")
+        for batch in batches:
+            for start in range(0, batch.num_rows, CONCORDANCE_ROWS):
+                rows = []
+                for work, a, b in zip(*(c.to_pylist() for c in batch.slice(start, CONCORDANCE_ROWS).columns), strict=True):
+                    la, lb = (["".join(filter(str.isalpha, t)) for t in x] for x in (a, b))
+                    own_a, own_b = (np.repeat(np.arange(len(x)), [len(t) for t in x]) for x in (la, lb))
+                    met = [own_a[x:x + n] * len(lb) + own_b[y:y + n] for x, y, n in blocks.matching_blocks("".join(la), "".join(lb))]
+                    pairs, letters = np.unique(np.concatenate(met) if met else np.zeros(0, np.int64), return_counts=True)
+                    for at, n in zip(pairs.tolist(), letters.tolist(), strict=True):
+                        i, j = divmod(at, len(lb))
+                        if n >= min_overlap or n in (len(la[i]), len(lb[j])):
+                            rows.append((work, i, j, n))
+                yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(shape.types)], schema=shape)
+    shape = pa.schema([("work", pa.string()), ("row", pa.int32()), ("block", pa.int32()), ("letters", pa.int32())])
+    return pairs.select("work", "a", "b").mapInArrow(run, "work string, row int, block int, letters int")
 
 
 def projected_spans(spans: DataFrame, texts: DataFrame, key: str) -> DataFrame:
