@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lectern.plans.base import Listing, table
 from lectern.plans.planted import PART
 from lectern.sources import books
-from lectern.sources.stage import small
+from lectern.sources.stage import staged
 
 L = Listing()
 _W = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
@@ -47,9 +47,7 @@ def _files(spark, sf_dir, make):
     def made(k: pd.Series, name: pd.Series, kind: pd.Series, size: pd.Series) -> pd.Series:
         return pd.Series([make(*r) for r in zip(k, name, kind, size, strict=True)], dtype=object)
     made.__annotations__ = dict.fromkeys(("k", "name", "kind", "size", "return"), pd.Series)
-    rows, cores = table(spark, sf_dir, "part"), spark.sparkContext.defaultParallelism
-    rows = rows.repartition(cores) if small(rows, cores) else rows
-    return rows.select(F.col("p_partkey").cast("string").alias("path"), F.pandas_udf(made, "binary")("p_partkey", "p_name", "p_type", "p_size").alias("content"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("path"), F.pandas_udf(made, "binary")("p_partkey", "p_name", "p_type", "p_size").alias("content"))
 
 
 def _listed(k, name, kind, size) -> bytes:
@@ -71,7 +69,7 @@ select k, 1, 2, '[^2]: two of ' || kind, false from n)""")
 def r_word_lists(spark, sf_dir):
     """Numbered paragraphs, highlights and footnotes of a word-processor file a part."""
     files = _files(spark, sf_dir, _listed)
-    return books.word_markdown(books.word_paragraphs(files), books.word_notes(files))
+    return books.word_markdown(staged(books.word_paragraphs(files)), books.word_notes(files))
 
 
 def _page(body: str) -> str:

@@ -17,11 +17,12 @@ from pathlib import PurePosixPath
 from urllib.parse import unquote
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as K
+from pyspark.sql.pandas.types import to_arrow_schema
 
 
 def files(spark: SparkSession, path: str) -> DataFrame:
@@ -34,11 +35,12 @@ BATCH = 5000
 
 def _scan(source: DataFrame, read: Callable[[zipfile.ZipFile], Iterator[tuple]], schema: str) -> DataFrame:
     names = K.StructType.fromDDL(schema).names
+    shape = to_arrow_schema(K.StructType.fromDDL(f"path string, error string, {schema}"))
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: list[tuple] = []
-        for pdf in batches:
-            for path, content in zip(pdf["path"], pdf["content"], strict=True):
+        for batch in batches:
+            for path, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 start = len(found)
                 try:
                     with zipfile.ZipFile(io.BytesIO(content or b"")) as z:
@@ -51,10 +53,10 @@ def _scan(source: DataFrame, read: Callable[[zipfile.ZipFile], Iterator[tuple]],
         if found:
             yield framed(found)
 
-    def framed(found: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(found, columns=["path", "error", *names], dtype=object)
+    def framed(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), shape, strict=True)], schema=shape)
 
-    return source.select("path", "content").mapInPandas(rows, f"path string, error string, {schema}")
+    return source.select("path", "content").mapInArrow(rows, f"path string, error string, {schema}")
 
 
 # word-processor files
