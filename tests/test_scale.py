@@ -152,6 +152,14 @@ def test_lines_of_a_part_stay_in_its_task(spark, monkeypatch):
     assert plan(units).count("Exchange hashpartitioning") == 1 and ", 20), REPARTITION_BY_NUM" in plan(units)
 
 
+def test_pairs_of_a_text_are_counted_in_its_row(spark):
+    docs = spark.createDataFrame([(1, "a b a b c"), (2, "a"), (3, ""), (4, None), (5, "c c c b")], "k long, text string")
+    got = terms.perplexity(terms.pair_logs(terms.bigrams(docs, "k"), "k"), "k")
+    assert "Window" not in plan(got)
+    words = docs.select("k", F.posexplode(T.english_tokens("text")).alias("pos", "word"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, terms.perplexity(terms.bigram_logs(words, "k", "pos"), "k").collect()))
+
+
 def test_phrases_are_counted_once_in_small_tasks(spark, monkeypatch):
     monkeypatch.setattr(terms, "PHRASE_TASK_BYTES", 100)
     docs = spark.createDataFrame([(i, "red deer run far " * 2) for i in range(3)] + [(9, "red deer")], "k long, text string")
