@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as K
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from lectern.functions import fixed
 
@@ -97,6 +99,38 @@ def scanned(rows: DataFrame, keys: list[str], order: str, value: str, out: str,
     return rows.withColumn("_first", first).sortWithinPartitions(*keys, order).mapInPandas(run, with_field(rows, out, kind))
 
 
+def by_key(rows: DataFrame, keys: list[str], order: list[str], columns: list[str], make: Callable[[tuple, list[tuple]], list[tuple]], kind: K.StructType) -> DataFrame:
+    """Rows that ``make(key, own)`` gives for each key, where ``own`` are its ``columns`` in order, as tuples of Python values.
+
+    Keys come by one after the other in a sorted scan, many to a batch, so a key
+    costs its rows and no call of its own; a task holds the rows of one key.
+    """
+    first = F.row_number().over(W.partitionBy(*keys).orderBy(*order)) == 1
+    names, n = [*keys, *columns], len(keys)
+    made = to_arrow_schema(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(out: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), made, strict=True)], schema=made)
+
+        key, own = None, []
+        for batch in batches:
+            out: list[tuple] = []
+            values = zip(*(batch.column(c).to_pylist() for c in names), strict=True)
+            for new, row in zip(batch.column("_first").to_pylist(), values, strict=True):
+                if new:
+                    if own:
+                        out += make(key, own)
+                    key, own = row[:n], []
+                own.append(row[n:])
+            if out:
+                yield told(out)
+        if own and (out := make(key, own)):
+            yield told(out)
+
+    return rows.withColumn("_first", first).sortWithinPartitions(*keys, *order).select(*names, "_first").mapInArrow(run, kind)
+
+
 def depth_ids(rows: DataFrame, keys: list[str], order: str, depth: str) -> DataFrame:
     """Decimal heading ids by depth: a counter for each depth, reset by any heading above it."""
     def number(at: list[int] | None, _, d: int) -> tuple:

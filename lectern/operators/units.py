@@ -5,13 +5,15 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
+from itertools import groupby
+from operator import itemgetter
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as K
 
 from lectern.functions import fixed
-from lectern.operators import fuzzy
+from lectern.operators import fuzzy, sequence
 from lectern.sources.stage import staged
 
 # What introduces and what closes a quoted line, a homage and other frames, the first of several points, an announcement of a count, a question on the sentence before.
@@ -201,19 +203,20 @@ def functional_units(blocks: DataFrame, root: DataFrame, key: str, quotes: str =
     In order: root lines are cut out of prose, pieces of one stanza joined, false
     stanzas made prose, quotations put inline (``quotes='inline'``), prose joined
     on what its words say, long units cut back. Clauses are matched with the root
-    by a join over all works; what follows runs per work, on its clauses.
+    by a join over all works; what follows runs per work, on its clauses, in one
+    scan over works.
     """
     rows = matched_clauses(blocks.where("trim(text) <> ''"), root, [key, "pos", "kind"])
 
-    def lay_out(pdf: pd.DataFrame) -> pd.DataFrame:
+    def lay_out(work: tuple, own: list[tuple]) -> list[tuple]:
         units: list[Unit] = []
-        for (_, kind), own in pdf.sort_values(["pos", "n"]).groupby(["pos", "kind"], sort=True):
-            units.append(Unit(kind, tuple(Clause(t, None if pd.isna(line) else int(line), alone is True or alone == 1) for t, line, alone in zip(own["clause"], own["line"], own["alone"], strict=True))))
+        for (_, kind), parts in groupby(own, key=itemgetter(0, 1)):
+            units.append(Unit(kind, tuple(Clause(t, line, bool(alone)) for _, _, t, line, alone in parts)))
         steps = [cut_quotes, join_verse, demote, *([inline] if quotes == "inline" else []), merge]
         for step in steps:
             units = step(units)
         units = within(units, longest)
-        first = pdf[key].iloc[0]
-        return pd.DataFrame([(first, i, u.kind, "\n".join(c.text.strip() for c in u.clauses) if u.kind == "V" else u.text.strip()) for i, u in enumerate(units)], columns=[key, "unit", "kind", "text"])
+        return [(*work, i, u.kind, "\n".join(c.text.strip() for c in u.clauses) if u.kind == "V" else u.text.strip()) for i, u in enumerate(units)]
 
-    return rows.groupBy(key).applyInPandas(lay_out, f"{key} {dict(blocks.dtypes)[key]}, unit int, kind string, text string")
+    kind = K.StructType([K.StructField(key, blocks.schema[key].dataType), K.StructField("unit", K.IntegerType()), K.StructField("kind", K.StringType()), K.StructField("text", K.StringType())])
+    return sequence.by_key(rows, [key], ["pos", "kind", "n"], ["pos", "kind", "clause", "line", "alone"], lay_out, kind)

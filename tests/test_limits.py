@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from lectern.operators import checks
+from pyspark.sql import types as K
+
+from lectern.operators import checks, sequence, units
 
 
 def test_titles_of_small_files_are_not_broadcast(spark, tmp_path):
@@ -13,3 +15,30 @@ def test_titles_of_small_files_are_not_broadcast(spark, tmp_path):
     found = checks.title_attestation(toc, lines, ["k"])
     assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
     assert sorted((r["k"], r["attested"]) for r in found.collect()) == [(k, ("near", "elsewhere", "absent")[k % 3]) for k in range(2000)]
+
+
+def plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_come_by_in_order_across_batches(spark):
+    """A key that goes over batches is made once, of all its rows in order; rows may be null."""
+    df = spark.range(3000).selectExpr("case when id % 7 = 0 then null else id % 7 end as k", "2999 - id as pos", "if(id % 5 = 0, null, id) as v").repartition(3)
+    kind = K.StructType([K.StructField("k", K.LongType()), K.StructField("n", K.IntegerType()), K.StructField("vs", K.ArrayType(K.LongType()))])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 100)
+    try:
+        got = {r["k"]: (r["n"], r["vs"]) for r in sequence.by_key(df, ["k"], ["pos"], ["v"], lambda key, own: [(*key, len(own), [v for v, in own])], kind).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    for k in range(7):
+        ids = [i for i in range(2999, -1, -1) if i % 7 == k]
+        assert got[k or None] == (len(ids), [None if i % 5 == 0 else i for i in ids])
+
+
+def test_works_need_no_python_group_each(spark):
+    root = units.root_lines(spark.createDataFrame([(1, "ཀ་ཁ་ག་ང་ཅ་ཆ་ཇ་ཉ་ཏ། །")], "pos int, text string"))
+    blocks = spark.createDataFrame([("b", 2, "P", "y"), ("b", 1, "H", "# x"), ("a", 1, "P", "z"), ("a", 2, "P", " ")], "k string, pos int, kind string, text string")
+    found = units.functional_units(blocks, root, "k")
+    assert "FlatMapGroupsInPandas" not in plan(found)
+    assert sorted(map(tuple, found.collect())) == [("a", 0, "P", "z"), ("b", 0, "H", "# x"), ("b", 1, "P", "y")]
