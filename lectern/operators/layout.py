@@ -213,12 +213,16 @@ def verse_units(clauses: DataFrame, key: str, low: int = metre.LOW, high: int =
         if name not in clauses.columns:
             clauses = clauses.withColumn(name, F.lit("" if kind == "string" else False).cast(kind))
 
-    def lay_out(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos")
-        size, closed, final, ending, quotes, cut = (pdf[c].tolist() for c in ("size", "closed", "final", "ending", "quotes", "cut"))
+    names = [c for c in clauses.columns if c != key]
+    at = [names.index(c) for c in ("size", "closed", "final", "ending", "quotes", "cut")]
+
+    def lay_out(text: tuple, own: list[tuple]) -> list[tuple]:
+        size, closed, final, ending, quotes, cut = ([row[i] for row in own] for i in at)
         verse = metre.verse_lines(size, closed, final, ending, quotes, low, high, least)
-        return pdf.assign(unit=metre.units(size, verse, final, cut, longest), kind=["verse" if v else "prose" for v in verse])
-    return clauses.groupBy(key).applyInPandas(lay_out, K.StructType([*with_field(clauses, "unit", K.IntegerType()).fields, K.StructField("kind", K.StringType())]))
+        return [(*text, *row, unit, "verse" if v else "prose") for row, unit, v in zip(own, metre.units(size, verse, final, cut, longest), verse, strict=True)]
+
+    clauses = clauses.select(key, *names)
+    return sequence.by_key(clauses, [key], ["pos"], names, lay_out, K.StructType([*with_field(clauses, "unit", K.IntegerType()).fields, K.StructField("kind", K.StringType())]))
 
 
 def moved_up(lines: DataFrame, keys: list[str], order: str, marked: Column) -> DataFrame:

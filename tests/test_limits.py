@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as K
 
-from lectern.operators import checks, sequence, units
+from lectern.operators import checks, layout, sequence, units
 
 
 def test_titles_of_small_files_are_not_broadcast(spark, tmp_path):
@@ -42,3 +42,10 @@ def test_works_need_no_python_group_each(spark):
     found = units.functional_units(blocks, root, "k")
     assert "FlatMapGroupsInPandas" not in plan(found)
     assert sorted(map(tuple, found.collect())) == [("a", 0, "P", "z"), ("b", 0, "H", "# x"), ("b", 1, "P", "y")]
+
+
+def test_texts_need_no_python_group_each(spark):
+    c = spark.createDataFrame([(k, i, n, True, False) for k in ("k", "l") for i, n in enumerate([7, 7, 7, 7, 30, 3])], "k string, pos int, size int, closed boolean, final boolean")
+    found = layout.verse_units(c, "k")
+    assert "FlatMapGroupsInPandas" not in plan(found)
+    assert [(r["k"], r["unit"], r["kind"]) for r in found.orderBy("k", "pos").collect()] == [(k, u, w) for k in "kl" for u, w in [(0, "verse"), (1, "verse"), (2, "verse"), (3, "verse"), (4, "prose"), (4, "prose")]]
