@@ -32,18 +32,18 @@ def stitched(messages: DataFrame, author: str, ts: str, gap: int = fixed.STITCH_
 
     The order is that of a channel. Without one it is global: messages are dealt
     by days, and a day begins with the last message, and the units, of those
-    before it, so no task sorts more than a day. Messages of one time count in
-    any order.
+    before it, so no task sorts more than a day. Messages of one time count by
+    their authors, so one order holds for all steps and runs.
     """
     seconds = F.unix_micros(F.col(ts).cast("timestamp")) / 1e6
     rows = messages.withColumn("_s", seconds)
     by = list(channel or [])
     if not channel:
         rows, by = rows.withColumn("_day", F.floor(F.col("_s") / 86_400)), ["_day"]
-    w = W.partitionBy(*by).orderBy(ts)
+    w = W.partitionBy(*by).orderBy(ts, author)
     before = {"_author": F.lag(author).over(w), "_before": F.lag("_s").over(w)}
     if not channel:
-        lasts = rows.groupBy("_day").agg(F.max_by(F.struct(F.col(author).alias("a"), F.col("_s").alias("s")), F.col(ts)).alias("_last"))
+        lasts = rows.groupBy("_day").agg(F.max_by(F.struct(F.col(author).alias("a"), F.col("_s").alias("s")), F.struct(ts, author)).alias("_last"))
         days = lasts.select(F.col("_day").alias("_d"), F.lag("_last").over(W.orderBy("_day")).alias("_last"))  # a row a day
         rows = rows.join(days, rows["_day"].eqNullSafe(days["_d"])).drop("_d")
         before = {"_author": F.coalesce(before["_author"], F.when(F.row_number().over(w) == 1, F.col("_last.a"))), "_before": F.coalesce(before["_before"], F.col("_last.s"))}

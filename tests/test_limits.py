@@ -73,3 +73,14 @@ def test_an_empty_source_needs_no_translation(spark, tmp_path):
     """Nor is a footnote mark another one for a line break in it."""
     u = spark.createDataFrame([("a", "", ""), ("b", " ", " "), ("c", "x", ""), ("d", "y [^see p. 3]", "y [^see p.\n3]"), ("e", "y [^1]", "y [^2]")], "id string, source string, target string")
     assert sorted((r["check_name"], r["entity_id"]) for r in checks.unit_check(u, "id").collect()) == [("empty", "c"), ("footnote_marks", "e"), ("line_parity", "d")]
+
+
+def test_messages_of_one_time_count_in_one_order(spark):
+    """Ties at the end of a day: the next day goes on with the one that is last in the day's own order."""
+    at = lambda s: datetime(2024, 1, 2) + timedelta(seconds=s)
+    rows = [("C", at(-1)), ("A", at(-1)), ("B", at(-1)), ("C", at(1)), ("B", at(1)), ("A", at(2)), ("B", at(2))]
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "author string, ts timestamp").repartition(3)
+        got = sequence.stitched(df, "author", "ts").orderBy("unit", "ts", "author").collect()
+        assert [(r["author"], r["ts"], r["unit"]) for r in got] == [("A", at(-1), 1), ("B", at(-1), 2), ("C", at(-1), 3), ("B", at(1), 4), ("C", at(1), 5), ("A", at(2), 6), ("B", at(2), 7)]
+        assert [r["n"] for r in sequence.units(sequence.stitched(df.where("ts <> timestamp'2024-01-02 00:00:02'").where("not (author = 'B' and ts > timestamp'2024-01-02')"), "author", "ts"), "author", "ts").orderBy("unit").collect()] == [1, 1, 2]
