@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import types as K
 
+from lectern.functions import features
 from lectern.operators import checks, layout, sequence, stanzas, units
 from lectern.plans import audit
 
@@ -84,3 +87,16 @@ def test_messages_of_one_time_count_in_one_order(spark):
         got = sequence.stitched(df, "author", "ts").orderBy("unit", "ts", "author").collect()
         assert [(r["author"], r["ts"], r["unit"]) for r in got] == [("A", at(-1), 1), ("B", at(-1), 2), ("C", at(-1), 3), ("B", at(1), 4), ("C", at(1), 5), ("A", at(2), 6), ("B", at(2), 7)]
         assert [r["n"] for r in sequence.units(sequence.stitched(df.where("ts <> timestamp'2024-01-02 00:00:02'").where("not (author = 'B' and ts > timestamp'2024-01-02')"), "author", "ts"), "author", "ts").orderBy("unit").collect()] == [1, 1, 2]
+
+
+def test_words_of_many_texts_are_counted_in_bounded_stretches():
+    """A stretch has a bounded number of words or one text; a text's counts are its own wherever it stands."""
+    assert list(features.chunks(np.array([3, 3, 9, 0, 1]), 6)) == [(0, 2), (2, 3), (3, 5)] and list(features.chunks(np.array([], int))) == []
+    words = [["a", "b", "a"], ["b"], ["b", "c", "b", "b"]]
+    sents, marks = [[0, 0, 1], [0], [0, 0, 1, 1]], [[4, 6, 4], [4], [4, 0, 4, 5]]
+    at, columns = features.word_features(*map(pa.array, (words, sents, marks)))
+    got = {(i, *row) for i, *row in zip(at.tolist(), *(c.to_pylist() for c in columns), strict=True)}
+    for i in range(3):
+        _, alone = features.word_features(*(pa.array([x[i]]) for x in (words, sents, marks)))
+        assert {g[1:] for g in got if g[0] == i} == set(zip(*(c.to_pylist() for c in alone), strict=True))
+    assert (0, "b", 1, 0, 1, 1, 0.0, 1, 1, 0, 0, 2, 1.5, 0.5, 2) in got and len(got) == 4
