@@ -164,6 +164,21 @@ def _cover(start: Column, end: Column) -> Column:
     return F.array_compact(F.flatten(F.transform(levels, of)))
 
 
+def _power(start: Column, end: Column) -> Column:
+    """The power of two that is a span's length or the next above it."""
+    return F.length(F.bin(F.greatest(end - start, F.lit(1)) - 1))
+
+
+def _met_in_cells(a: DataFrame, b: DataFrame, key: str, power: int) -> DataFrame:
+    """`overlap_join` of spans no longer than a power of two: of those over half as long that touch a cell, no part is without overlaps there for long, so few pairs meet in vain."""
+    cell = lambda place: _at(place, F.lit(power))
+    touched = lambda start, end: F.explode(F.sequence(cell(start), cell(F.greatest(end, start + 1) - 1)))
+    left = a.withColumn("_cell", touched(F.col("start"), F.col("end")))
+    right = b.select(key, *(F.col(c).alias(f"{c}_b") for c in b.columns if c != key)).withColumn("_cell", touched(F.col("start_b"), F.col("end_b")))
+    met = left.hint("merge").join(right, [key, "_cell"]).where("start < end_b and end > start_b")
+    return met.where(cell(F.greatest("start", "start_b")) == F.col("_cell")).drop("_cell")
+
+
 def overlap_join(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """Half-open spans of two tables that overlap, by key, however long they are.
 
@@ -172,8 +187,13 @@ def overlap_join(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     one holds the other: each of a span's intervals is also listed by those that
     hold it and that the other table has levels for, and the join is on equal
     intervals. Each pair is kept once, where its first common place lies. The
-    intervals of both tables are written once.
+    intervals of both tables are written once. Spans of about one length (over
+    half of a power of two, and no more than it) are listed by the cells of that
+    power that they touch, two at most, and nothing is written.
     """
+    powers = {r[0] for df in (a, b) for r in df.where("start is not null and `end` is not null").select(_power(F.col("start"), F.col("end"))).distinct().collect()}
+    if len(powers) == 1:
+        return _met_in_cells(a, b, key, powers.pop())
     left = staged(a.withColumn("_piece", F.explode(_cover(F.col("start"), F.col("end")))))
     right = staged(b.select(key, *(F.col(c).alias(f"{c}_b") for c in b.columns if c != key)).withColumn("_piece", F.explode(_cover(F.col("start_b"), F.col("end_b")))))
 

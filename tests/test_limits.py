@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from datetime import datetime, timedelta
 
 import numpy as np
@@ -9,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import types as K
 
 from lectern.functions import features
-from lectern.operators import checks, layout, sequence, stanzas, units
+from lectern.operators import align, checks, layout, sequence, stanzas, units
 from lectern.plans import audit
 
 
@@ -100,3 +101,15 @@ def test_words_of_many_texts_are_counted_in_bounded_stretches():
         _, alone = features.word_features(*(pa.array([x[i]]) for x in (words, sents, marks)))
         assert {g[1:] for g in got if g[0] == i} == set(zip(*(c.to_pylist() for c in alone), strict=True))
     assert (0, "b", 1, 0, 1, 1, 0.0, 1, 1, 0, 0, 2, 1.5, 0.5, 2) in got and len(got) == 4
+
+
+def test_spans_of_one_length_meet_in_cells(spark):
+    """Spans of about one length are listed twice at most and give the pairs that all pairs give, negative places and empty spans among others."""
+    rnd = random.Random(5)
+    for sizes in ((9, 16), (0, 1), (3, 40)):
+        spans = [(rnd.randint(0, 1), s := rnd.randint(-60, 60), s + rnd.randint(*sizes), i) for i in range(80)]
+        df = spark.createDataFrame([*spans, (0, None, 4, 99)], "k long, start long, end long, id long")
+        found = align.overlap_join(df, df, "k")
+        assert ("_cell" in plan(found)) == (sizes[1] < 40)
+        assert found.columns == ["k", "start", "end", "id", "start_b", "end_b", "id_b"]
+        assert sorted((r["id"], r["id_b"]) for r in found.collect()) == sorted((a[3], b[3]) for a in spans for b in spans if a[0] == b[0] and a[1] < b[2] and a[2] > b[1])
